@@ -116,9 +116,9 @@ def rolling_volume(metrics: DataFrame, minutes: int = 30) -> DataFrame:
     """Click, cart and purchase volume of the newest minutes, by the newest window."""
     names = {"click_1m": "click", "cart_1m": "add_to_cart", "purchase_1m": "purchase"}
     rows = metrics.filter(F.col("metric_name").isin(*names))
-    newest = rows.agg(F.max("window_start").alias("newest"))
-    recent = rows.join(F.broadcast(newest)).filter(
-        F.col("window_start") > F.col("newest") - F.make_dt_interval(mins=F.lit(minutes))
+    newest = rows.agg(F.max("window_start")).scalar()
+    recent = rows.filter(
+        F.col("window_start") > newest - F.make_dt_interval(mins=F.lit(minutes))
     )
     return (
         recent.groupBy("window_start")
