@@ -1,0 +1,82 @@
+"""Hand-made events for the tests."""
+
+from __future__ import annotations
+
+import json
+import os
+from datetime import datetime, timedelta
+
+FLAT = """
+    event_id STRING, event_type STRING, timestamp TIMESTAMP, user_id STRING,
+    user_segment STRING, country STRING, product_id STRING, sku STRING, category STRING,
+    sale_price DECIMAL(18,2), quantity INT, time_on_page_sec INT
+"""
+
+START = datetime(2024, 3, 1, 10, 0)
+
+
+def at(minutes: float = 0, **more) -> datetime:
+    return START + timedelta(minutes=minutes, **more)
+
+
+def event(number: int, kind: str, when: datetime, **given) -> dict:
+    row = {
+        "event_id": f"e{number}",
+        "event_type": kind,
+        "timestamp": when,
+        "user_id": "u1",
+        "user_segment": "casual",
+        "country": "VN",
+        "product_id": "p1",
+        "sku": "s1",
+        "category": "books",
+        "sale_price": None,
+        "quantity": 1,
+        "time_on_page_sec": None,
+    }
+    return {**row, **given}
+
+
+def frame(spark, rows: list[dict]):
+    from decimal import Decimal
+
+    for row in rows:
+        if isinstance(row.get("sale_price"), (int, float)):
+            row["sale_price"] = Decimal(str(row["sale_price"]))
+    names = [part.split()[0] for part in FLAT.replace("DECIMAL(18,2)", "DECIMAL").split(",")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], FLAT)
+
+
+def message(row: dict) -> str:
+    price = row["sale_price"]
+    return json.dumps(
+        {
+            "event_id": row["event_id"],
+            "event_type": row["event_type"],
+            "timestamp": row["timestamp"].isoformat() + "+00:00",
+            "user": {
+                "user_id": row["user_id"],
+                "segment": row["user_segment"],
+                "country": row["country"],
+            },
+            "product": {
+                "product_id": row["product_id"],
+                "sku": row["sku"],
+                "category": row["category"],
+                "sale_price": None if price is None else float(price),
+            },
+            "event_data": {
+                "quantity": row["quantity"],
+                "time_on_page_sec": row["time_on_page_sec"],
+            },
+        }
+    )
+
+
+def write_messages(folder: str, name: str, lines: list[str], order: int) -> None:
+    """A file of JSON lines; ``order`` sets its age, by which a stream takes files."""
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w") as out:
+        out.write("\n".join(lines) + "\n")
+    os.utime(path, (1_700_000_000 + order, 1_700_000_000 + order))

@@ -131,8 +131,7 @@ def run_daily(
     Covers the day before ``today`` and the lookback before that day.
     """
     yesterday = today - timedelta(days=1)
-    ready = quality.day_has_events(read_raw_events(spark, tables), yesterday)
-    if not ready.first()["ready"]:
+    if quality.events_of_day(read_raw_events(spark, tables), yesterday).isEmpty():
         raise NotReady(f"no events on {yesterday}")
     midnight = datetime.combine(yesterday, datetime.min.time())
     first, last = touched_dates(midnight, lookback_hours)[0], yesterday

@@ -158,11 +158,14 @@ def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:
     return combine(results)
 
 
-def day_has_events(events: DataFrame, day: date) -> DataFrame:
-    """One row, ``ready``: are there events on ``day``? Stops at the first one found."""
+def events_of_day(events: DataFrame, day: date) -> DataFrame:
     inside = (F.col("timestamp") >= F.lit(day)) & (
         F.col("timestamp") < F.lit(day + timedelta(days=1))
     )
-    same_date = F.col("event_date") == F.lit(day)
-    found = events.filter(same_date & inside).select(F.lit(1).alias("one")).limit(1)
+    return events.filter((F.col("event_date") == F.lit(day)) & inside)
+
+
+def day_has_events(events: DataFrame, day: date) -> DataFrame:
+    """One row, ``ready``: are there events on ``day``?"""
+    found = events_of_day(events, day).select(F.lit(1).alias("one")).limit(1)
     return found.agg((F.count("one") > 0).alias("ready"))

@@ -644,12 +644,17 @@ def q8_data_ready(spark, sf):
 # -- jobs -------------------------------------------------------------------------
 
 
+def _newest_date(spark, where: t.Tables) -> date:
+    return t.read_raw_events(spark, where).agg(F.max("event_date")).first()[0]
+
+
 @query
 def p1_daily_run(spark, sf):
-    """Daily job for 16 January over stored tables; the marts it wrote."""
+    """The daily job with a lookback over all events; the mart it wrote."""
     where = t.Tables(shared_dir(spark, "daily"))
     _write_tables(spark, sf, where)
-    jobs.run_daily(spark, where, date(2024, 1, 16))
+    today = _newest_date(spark, where) + timedelta(days=1)
+    jobs.run_daily(spark, where, today, lookback_hours=24 * 365)
     return jobs.read_mart(spark, where, "mart_daily_summary")
 
 
@@ -657,16 +662,18 @@ def p1_daily_run(spark, sf):
 def p2_hourly_run(spark, sf):
     where = t.Tables(shared_dir(spark, "hourly"))
     _write_tables(spark, sf, where)
-    return plain_times(jobs.run_hourly(spark, where, datetime(2024, 1, 16, 6)))
+    now = datetime.combine(_newest_date(spark, where), datetime.max.time())
+    return plain_times(jobs.run_hourly(spark, where, now, lookback_hours=24 * 365))
 
 
 @query
 def p3_incremental_rebuild(spark, sf):
-    """Two daily runs that overlap by their lookback."""
+    """Two daily runs; the second rebuilds days of the first and adds the rest."""
     where = t.Tables(shared_dir(spark, "rebuild"))
     _write_tables(spark, sf, where)
-    for day in (16, 17):
-        jobs.run_daily(spark, where, date(2024, 1, day))
+    today = _newest_date(spark, where) + timedelta(days=1)
+    jobs.run_daily(spark, where, today - timedelta(days=12), lookback_hours=24 * 365)
+    jobs.run_daily(spark, where, today, lookback_hours=24 * 14)
     return jobs.read_mart(spark, where, "mart_user_segments")
 
 

@@ -18,6 +18,7 @@ half-way leaves folders nobody reads, and the next one overwrites them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +37,15 @@ _OUTPUT = (*METRIC_COLUMNS, "computed_at", "run", "batch_id")
 
 
 def newest_per_key(rows: DataFrame) -> DataFrame:
-    """One row per metric key, from the latest run and batch."""
-    rest = [c for c in rows.columns if c not in METRIC_KEY and c not in ("run", "batch_id")]
-    newest = F.max(F.struct("run", "batch_id", *rest)).alias("newest")
-    return rows.groupBy(*METRIC_KEY).agg(newest).select(*METRIC_KEY, "newest.*")
+    """One row per metric key, from the latest run and batch.
+
+    Run and batch make up one number, so the aggregate keeps only fixed-width
+    values and stays a hash aggregate.
+    """
+    place = F.shiftleft(F.col("run").cast("long"), 40) + F.col("batch_id")
+    rest = [c for c in rows.columns if c not in METRIC_KEY]
+    newest = [F.max_by(c, "_place").alias(c) for c in rest]
+    return rows.withColumn("_place", place).groupBy(*METRIC_KEY).agg(*newest)
 
 
 class MetricTable:
@@ -104,7 +110,9 @@ class MetricTable:
         rows = self.spark.read.schema(_STORED).parquet(self._path("updates"))
         return rows.filter(~_within(state["batches"]))
 
-    def _merged(self, state: dict, pending: DataFrame | None, dates: set[str] | None) -> DataFrame:
+    def _merged(
+        self, state: dict, pending: DataFrame | None, dates: set[str] | None = None
+    ) -> DataFrame:
         base = self._base(state, dates)
         parts = [p for p in (base, pending) if p is not None]
         if not parts:
@@ -114,10 +122,23 @@ class MetricTable:
             rows = rows.unionByName(part.select(*_OUTPUT))
         return newest_per_key(rows)
 
-    def current(self) -> DataFrame:
-        """The newest value of every metric key."""
+    def current(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """The newest value of every metric key, of all dates or of a range.
+
+        A range reads only the base folders of its dates.
+        """
         state = self._state()
-        return self._merged(state, self._pending(state), None).select(*_OUTPUT)
+        dates = None
+        if first is not None or last is not None:
+            low, high = str(first or date.min), str(last or date.max)
+            dates = {d["window_date"] for d in state["dates"] if low <= d["window_date"] <= high}
+        rows = self._merged(state, self._pending(state), dates).select(*_OUTPUT)
+        day = F.to_date("window_start")
+        if first is not None:
+            rows = rows.filter(day >= F.lit(first))
+        if last is not None:
+            rows = rows.filter(day <= F.lit(last))
+        return rows
 
     def audit(self) -> DataFrame:
         return self.spark.read.schema(_AUDIT).json(self._path("audit"))

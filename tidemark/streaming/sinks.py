@@ -122,20 +122,19 @@ def insert_absent(
     that failed may simply be repeated.
     """
     spark: SparkSession = incoming.sparkSession
-    fresh, before = incoming, 0
+    fresh, before = incoming.filter(F.col(key).isNotNull()), 0
     if files.exists(spark, path):
         table = spark.read.schema(incoming.schema).parquet(path)
         before = table.count()
         for column in (key, unique):
             fresh = fresh.join(table.select(column), column, "left_anti")
-
-    def first_of(df: DataFrame, column: str, order: str) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(column).orderBy(F.col(order).asc_nulls_last()))
-        # A missing unique value clashes with nothing, as in SQL.
-        keep = (F.col("_place") == 1) | F.col(column).isNull()
-        return df.withColumn("_place", place).filter(keep).drop("_place")
-
-    fresh = first_of(first_of(fresh, key, unique), unique, key)
+    by_key = Window.partitionBy(key).orderBy(F.col(unique).asc_nulls_last())
+    fresh = fresh.withColumn("_place", F.row_number().over(by_key)).filter("_place = 1")
+    # A missing unique value clashes with nothing, as in SQL: such rows are told
+    # apart by their key and never form one large group.
+    alone = F.when(F.col(unique).isNull(), F.col(key))
+    by_unique = Window.partitionBy(unique, alone).orderBy(key)
+    fresh = fresh.withColumn("_place", F.row_number().over(by_unique)).filter("_place = 1")
     fresh.select(*incoming.columns).write.mode("append").parquet(path)
     after = spark.read.schema(incoming.schema).parquet(path).count()
     inserted = after - before
