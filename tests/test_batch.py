@@ -283,6 +283,13 @@ def test_reads_only_the_dates_it_needs(spark, folder, plan):
     assert "search_keyword" not in schema and "user_id" in schema
 
 
+def test_validity_reaches_the_files(spark, folder, plan):
+    where = install(spark, folder, [event(1, "click", day(1))])
+    text = plan(staging.stg_events(t.read_raw_events(spark, where)))
+    pushed = text[text.index("PushedFilters") :].splitlines()[0]
+    assert "IsNotNull(event_id)" in pushed and "In(event_type" in pushed
+
+
 # -- reads -----------------------------------------------------------------------
 
 

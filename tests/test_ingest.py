@@ -43,6 +43,7 @@ def test_verdict(spark, name, body, reason):
     flat = ingest.flatten(ingest.parse(messages(spark, [json.dumps(body)])))
     (row,) = ingest.validate(flat).collect()
     assert row["error_reason"] == reason
+    assert flat.filter(ingest.is_valid()).count() == (reason is None)
 
 
 @pytest.mark.parametrize("text", ["not json", "", "[1]", "{"])
@@ -73,6 +74,14 @@ def test_each_message_is_parsed_once(spark, plan):
     assert plan(clean).count("from_json") == 1
 
 
+def test_only_needed_fields_are_decoded(spark, plan):
+    clean, _ = ingest.ingest(messages(spark, [json.dumps(GOOD)]), ("sale_price", "quantity"))
+    assert set(clean.columns) == {*ingest.VALIDATED, "sale_price", "quantity"}
+    (row,) = clean.collect()
+    assert (row.user_id, float(row.sale_price), row.quantity) == ("u", 2.5, 2)
+    assert "screen_size" not in plan(clean) and "referrer" not in plan(clean)
+
+
 def test_stored_form_renames(spark):
     clean, _ = ingest.ingest(messages(spark, [json.dumps(GOOD)]))
     stored = ingest.to_stored(clean)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.schemas import (
     EVENT_JSON,
@@ -50,6 +51,10 @@ FLAT_COLUMNS = {
     "kafka_timestamp": "kafka_timestamp",
 }
 
+ALL_COLUMNS = tuple(FLAT_COLUMNS)
+# What the validation rules look at.
+VALIDATED = ("event_id", "user_id", "event_type", "timestamp")
+
 # Stored column -> flat column, where the names differ.
 STORED_NAMES = {
     "category_name": "category",
@@ -57,26 +62,56 @@ STORED_NAMES = {
     "ingested_at": "kafka_timestamp",
 }
 
+# Which of several rows with one id came first. Few columns, so that a query
+# that needs few columns shuffles few.
+_REPEAT_ORDER = ("timestamp", "ingested_at", "event_type", "user_id")
+
+
+def _fields_for(columns: tuple[str, ...]) -> StructType:
+    """The part of the message schema that some flat columns come from."""
+    wanted: dict[str, set[str]] = {}
+    for name in columns:
+        head, _, leaf = FLAT_COLUMNS[name].partition(".")
+        wanted.setdefault(head, set()).add(leaf)
+    fields = []
+    for field in ddl(EVENT_JSON):
+        if field.name in wanted and isinstance(field.dataType, StructType):
+            leaves = [f for f in field.dataType if f.name in wanted[field.name]]
+            fields.append(StructField(field.name, StructType(leaves)))
+        elif field.name in wanted:
+            fields.append(field)
+    return StructType(fields)
+
 
-def parse(messages: DataFrame) -> DataFrame:
+def parse(messages: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS) -> DataFrame:
     """Decode JSON. Text that is no JSON gives a row of nulls.
 
     ``inline`` makes the parsed fields plain columns of a generator. A filter on
     them cannot be pushed below it, so each message is parsed once, not once per
-    field a later filter looks at.
+    field a later filter looks at. Only the fields behind ``columns`` are decoded.
     """
-    decoded = F.from_json(F.col("value").cast("string"), ddl(EVENT_JSON))
+    decoded = F.from_json(F.col("value").cast("string"), _fields_for(columns))
     renamed = messages.select("value", F.col("timestamp").alias("kafka_timestamp"))
     return renamed.select("kafka_timestamp", F.inline(F.array(decoded)))
 
 
-def flatten(parsed: DataFrame) -> DataFrame:
-    def column(name: str, path: str) -> Column:
+def flatten(parsed: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS) -> DataFrame:
+    def column(name: str) -> Column:
+        value = F.col(FLAT_COLUMNS[name])
         # A price that no decimal can hold counts as missing instead of failing the job.
-        value = F.col(path).try_cast(MONEY) if name == "sale_price" else F.col(path)
-        return value.alias(name)
+        return (value.try_cast(MONEY) if name == "sale_price" else value).alias(name)
 
-    return parsed.select(*[column(n, p) for n, p in FLAT_COLUMNS.items()])
+    return parsed.select(*[column(name) for name in columns])
+
+
+def is_valid() -> Column:
+    """Passes every rule. A conjunction, so that file scans can skip by it."""
+    return (
+        F.col("event_id").isNotNull()
+        & F.col("user_id").isNotNull()
+        & F.col("event_type").isin(*VALID_EVENT_TYPES)
+        & F.col("timestamp").isNotNull()
+    )
 
 
 def error_reason() -> Column:
@@ -96,13 +131,15 @@ def validate(flat: DataFrame) -> DataFrame:
 
 def route(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean events, and dead letters with their reason."""
-    checked = validate(flat)
-    clean = checked.filter("error_reason IS NULL").drop("error_reason")
-    return clean, checked.filter("error_reason IS NOT NULL")
+    return flat.filter(is_valid()), validate(flat).filter("error_reason IS NOT NULL")
 
 
-def ingest(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return route(flatten(parse(messages)))
+def ingest(
+    messages: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS
+) -> tuple[DataFrame, DataFrame]:
+    """Parse, flatten and route; ``columns`` limits the work to what a query needs."""
+    needed = tuple(c for c in ALL_COLUMNS if c in columns or c in VALIDATED)
+    return route(flatten(parse(messages, needed), needed))
 
 
 def to_stored(clean: DataFrame) -> DataFrame:
@@ -124,6 +161,6 @@ def drop_repeats(events: DataFrame) -> DataFrame:
     The filter on the row number lets Spark cut every id down to one row per
     map task before the shuffle, so an id that repeats without end stays small.
     """
-    order = [F.col("timestamp"), F.xxhash64(*events.columns)]
+    order = [c for c in _REPEAT_ORDER if c in events.columns]
     first = F.row_number().over(Window.partitionBy("event_id").orderBy(*order))
     return events.withColumn("_copy", first).filter("_copy = 1").drop("_copy")

@@ -33,16 +33,21 @@ def between_dates(events: DataFrame, first: date, last: date | None) -> DataFram
     return kept if last is None else kept.filter(F.col("event_date") <= F.lit(last))
 
 
-def replace_dates(mart: DataFrame, path: str, partition: str = "date") -> None:
-    """Overwrite just the partitions that occur in ``mart``."""
+def replace_dates(rows: DataFrame, path: str, partition: str = "date") -> None:
+    """Overwrite just the partitions that occur in ``rows``."""
     (
-        mart.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
 
 
+def one_file_per_date(mart: DataFrame) -> DataFrame:
+    """Gather each date's rows before a write; AQE splits a date that is large."""
+    return mart.hint("rebalance", "date")
+
+
 def sessions_begun(events: DataFrame, first: date, last: date) -> DataFrame:
     """Sessions that began on the given dates, whole.
 
@@ -141,7 +146,7 @@ def run_daily(
     staged = new_events(spark, tables, first - timedelta(days=1), today, repeats_since)
     replace_dates(staged, tables.path("stg_events"), "event_date")
     for name, mart in build_daily_marts(spark, tables, first, last).items():
-        replace_dates(mart, tables.path(name))
+        replace_dates(one_file_per_date(mart), tables.path(name))
     results = quality.combine(
         [
             quality.staging_checks(
@@ -159,7 +164,7 @@ def run_daily(
             ),
         ]
     )
-    checked = results.withColumn("run_date", F.lit(today))
+    checked = results.coalesce(1).withColumn("run_date", F.lit(today))
     replace_dates(checked, tables.path("check_results"), "run_date")
     done = spark.read.parquet(tables.path("check_results")).filter(F.col("run_date") == F.lit(today))
     quality.enforce(done)
@@ -176,5 +181,6 @@ def run_hourly(
     """Rebuild the hourly mart on the dates the lookback touches."""
     first, last = touched_dates(now, lookback_hours)
     kpis = marts.hourly_kpi(new_events(spark, tables, first, last, repeats_since))
-    replace_dates(kpis.withColumn("date", F.to_date("hour_start")), tables.path("mart_hourly_kpi"))
+    dated = kpis.withColumn("date", F.to_date("hour_start"))
+    replace_dates(one_file_per_date(dated), tables.path("mart_hourly_kpi"))
     return read_mart(spark, tables, "mart_hourly_kpi").drop("date")

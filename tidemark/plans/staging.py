@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ingest import drop_repeats, error_reason
+from tidemark.operators.ingest import drop_repeats, is_valid
 
 
 def stg_events(raw_events: DataFrame) -> DataFrame:
     """Valid events, one row per event id, typed and in snake case."""
-    valid = raw_events.filter(error_reason().isNull())
-    return drop_repeats(valid).withColumn("search_keyword", F.lower("search_keyword"))
+    return drop_repeats(raw_events.filter(is_valid())).withColumn("search_keyword", F.lower("search_keyword"))
 
 
 def stg_users(users: DataFrame) -> DataFrame:

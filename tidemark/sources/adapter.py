@@ -2,8 +2,7 @@
 
 The supplied ``events`` are not shop events, so the mapping is invented; the
 oracle SQL repeats it. Dimension columns cost a join, so callers ask for them.
-No join is hinted: table statistics decide between broadcast and shuffle, and
-AQE splits hot join keys.
+Table sizes decide between broadcast and shuffle; AQE splits hot join keys.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.joins import broadcast_if_small
 from tidemark.schemas import MONEY
 from tidemark.session import apply_settings
 from tidemark.sources.streams import exact_path
@@ -22,11 +22,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _event_type(product: Column) -> Column:
+def _product_key() -> Column:
+    return F.get_json_object("props", "$.k").cast("long")
+
+
+def _event_type() -> Column:
+    # Only views look into the JSON.
     kind = F.col("event_type")
     return (
         F.when(kind == "signup", "add_to_cart")
-        .when((kind == "view") & (product % 2 == 0), "product_view")
+        .when((kind == "view") & (_product_key() % 2 == 0), "product_view")
         .when(kind == "view", "page_view")
         .otherwise(kind)
     )
@@ -34,17 +39,18 @@ def _event_type(product: Column) -> Column:
 
 def _map_events(raw: DataFrame) -> DataFrame:
     """Event columns that need no dimension table."""
-    key = F.get_json_object("props", "$.k").cast("long")
+    typed = raw.withColumn("product_id", _product_key().cast("string")).withColumn(
+        "event_type", _event_type()
+    )
     kind, number = F.col("event_type"), F.col("event_id")
-    keyed = raw.withColumn("product_key", key).withColumn("event_type", _event_type(F.col("product_key")))
-    return keyed.select(
+    return typed.select(
         F.col("event_id").cast("string").alias("event_id"),
         "event_type",
         F.lit("1.0").alias("event_version"),
         F.col("ts").alias("timestamp"),
         F.lit(None).cast("string").alias("session_id"),
         F.col("user_id").cast("string").alias("user_id"),
-        F.col("product_key").cast("string").alias("product_id"),
+        "product_id",
         F.col("value").cast(MONEY).alias("sale_price"),
         F.when(kind == "purchase", 1 + number % 5)
         .when(kind == "add_to_cart", 1 + number % 3)
@@ -120,7 +126,8 @@ def _add_dimensions(events: DataFrame, sf_dir: str, user: bool, product: bool) -
     spark = events.sparkSession
     if user:
         columns = users(spark, sf_dir).select("user_id", "user_segment", "country", "city")
-        events = events.join(columns, "user_id", "left")
+        customers = _table(spark, sf_dir, "customer")
+        events = events.join(broadcast_if_small(columns, customers), "user_id", "left")
     if product:
         columns = products(spark, sf_dir).select(
             "product_id", "sku", F.col("category_name").alias("category"), "brand"

@@ -9,20 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import metrics as m
-from tidemark.operators.ingest import ingest
+from tidemark.operators.ingest import ALL_COLUMNS, ingest
 from tidemark.streaming import sinks
 from tidemark.streaming.metric_table import MetricTable
 
 WATERMARK = os.environ.get("SPARK_WATERMARK", "5 minutes")
 
-# Streaming metric queries. Each reads the source once; hourly metrics of all
-# dimensions share one query, as do the two rates.
+# Streaming metric queries and the columns they need beside the validated ones.
+# Each reads the source once; hourly metrics of all dimensions share one query,
+# as do the two rates.
 METRIC_QUERIES = {
-    "counts_1m": m.counts_1m,
-    "active_users_1m": m.active_users_1m,
-    "rates_5m": m.rates_5m,
-    "time_on_page_5m": m.time_on_page_5m,
-    "hourly": m.hourly_metrics,
+    "counts_1m": (m.counts_1m, ("sale_price", "quantity")),
+    "active_users_1m": (m.active_users_1m, ()),
+    "rates_5m": (m.rates_5m, ()),
+    "time_on_page_5m": (m.time_on_page_5m, ("category", "time_on_page_sec")),
+    "hourly": (
+        m.hourly_metrics,
+        ("user_segment", "category", "sku", "sale_price", "quantity"),
+    ),
 }
 
 
@@ -64,8 +68,12 @@ class Started:
             query.stop()
 
 
-def clean_stream(messages: DataFrame, watermark: str = WATERMARK) -> tuple[DataFrame, DataFrame]:
-    clean, dead = ingest(messages)
+def clean_stream(
+    messages: DataFrame,
+    watermark: str = WATERMARK,
+    columns: tuple[str, ...] = ALL_COLUMNS,
+) -> tuple[DataFrame, DataFrame]:
+    clean, dead = ingest(messages, columns)
     return clean.withWatermark("timestamp", watermark), dead
 
 
@@ -102,19 +110,21 @@ def start_all(
                 dead, layout.dead_letters, layout.checkpoint("dead_letters"), trigger
             )
         )
-    for name, build in METRIC_QUERIES.items():
-        if wanted(name):
+    for name, (build, columns) in METRIC_QUERIES.items():
+        if not wanted(name):
+            continue
+        metrics = build(clean_stream(messages, watermark, columns)[0])
+        started.queries.append(
+            sinks.start_metrics(
+                metrics, table, name, layout.checkpoint(name), trigger, layout.run
+            )
+        )
+        if publish:
             started.queries.append(
-                sinks.start_metrics(
-                    build(clean), table, name, layout.checkpoint(name), trigger, layout.run
+                sinks.start_metric_messages(
+                    metrics, *publish, name, layout.checkpoint(f"out_{name}"), trigger
                 )
             )
-            if publish:
-                started.queries.append(
-                    sinks.start_metric_messages(
-                        build(clean), *publish, name, layout.checkpoint(f"out_{name}"), trigger
-                    )
-                )
     return started
 
 
