@@ -30,3 +30,12 @@ def revenue() -> Column:
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, and 0.0 where the whole is not positive."""
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0)).cast("double")
+
+
+# Over how many tasks the rows of one hot key are spread before they meet.
+SALTS = 16
+
+
+def salt(column: str) -> Column:
+    """A small number that differs between rows of one key; the same on every retry."""
+    return F.pmod(F.xxhash64(column), F.lit(SALTS))

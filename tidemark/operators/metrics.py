@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import count_type, is_type, line_total, ratio, revenue
+from tidemark.functions.columns import count_type, is_type, line_total, ratio, revenue, salt
 from tidemark.schemas import METRIC_COLUMNS, MONEY
 
 MINUTE, FIVE_MINUTES, HOUR = "1 minute", "5 minutes", "1 hour"
@@ -80,12 +80,16 @@ def counts_1m(events: DataFrame) -> DataFrame:
 def active_users_1m(events: DataFrame) -> DataFrame:
     """Distinct users per minute without a distinct aggregate.
 
-    State is one small row per (minute, user), spread over all partitions, and
-    goes away with the watermark.
+    State is small rows per (minute, user), spread over all partitions, and goes
+    away with the watermark. A stream has no map-side step for duplicates, so a
+    busy user's events are first thinned out in several tasks.
     """
-    seen = events.select(F.window("timestamp", MINUTE).alias("window"), "user_id")
+    seen = events.select(
+        F.window("timestamp", MINUTE).alias("window"), "user_id", salt("event_id").alias("salt")
+    )
     per_minute = (
-        seen.dropDuplicates(["window", "user_id"])
+        seen.dropDuplicates(["window", "user_id", "salt"])
+        .dropDuplicates(["window", "user_id"])
         .groupBy("window")
         .agg(F.count("user_id").alias("users"))
     )
@@ -210,15 +214,20 @@ def hourly_metrics(events: DataFrame, dimensions: tuple[str, ...] = ("user_segme
             amount.cast("decimal(29,2)").alias("amount"),
         )
 
-    entries = [entry(_breakdown_metric(d), d, d, one) for d in dimensions]
-    entries += [
-        F.when(is_type("purchase"), entry("revenue_by_category", "category", "category", line_total())),
-        F.when(is_type("purchase"), entry(_product_metric("purchase"), "sku", "sku", one)),
-        F.when(is_type("click"), entry(_product_metric("click"), "sku", "sku", one)),
+    always = [entry(_breakdown_metric(d), d, d, one) for d in dimensions]
+    purchase = [
+        entry("revenue_by_category", "category", "category", line_total()),
+        entry(_product_metric("purchase"), "sku", "sku", one),
     ]
+    click = [entry(_product_metric("click"), "sku", "sku", one)]
+    entries = F.when(is_type("purchase"), F.array(*always, *purchase)).when(
+        is_type("click"), F.array(*always, *click)
+    )
+    if always:
+        entries = entries.otherwise(F.array(*always))
     keys = ["metric_name", "dimension_key", "dimension_value"]
     return (
-        events.select("timestamp", F.inline(F.array_compact(F.array(*entries))))
+        events.select("timestamp", F.inline(entries))
         .groupBy(F.window("timestamp", HOUR), *keys)
         .agg(F.sum("amount").cast("double").alias("metric_value"))
         .select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,8 @@ DAILY_MARTS = (
     "mart_funnel_analysis",
     "mart_geo_revenue",
 )
-HOURLY_MARTS = ("mart_hourly_kpi",)
+# Marts written at the same time, so that one's last tasks do not idle the cluster.
+MARTS_AT_ONCE = 4
 
 
 class NotReady(RuntimeError):
@@ -145,8 +147,13 @@ def run_daily(
     # cross midnight.
     staged = new_events(spark, tables, first - timedelta(days=1), today, repeats_since)
     replace_dates(staged, tables.path("stg_events"), "event_date")
-    for name, mart in build_daily_marts(spark, tables, first, last).items():
-        replace_dates(one_file_per_date(mart), tables.path(name))
+    built = build_daily_marts(spark, tables, first, last)
+    with ThreadPoolExecutor(MARTS_AT_ONCE) as pool:
+        for write in [
+            pool.submit(replace_dates, one_file_per_date(mart), tables.path(name))
+            for name, mart in built.items()
+        ]:
+            write.result()
     results = quality.combine(
         [
             quality.staging_checks(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.functions.columns import salt
 from tidemark.operators.ingest import to_stored
 from tidemark.schemas import METRICS_TOPIC
 from tidemark.sources import files
@@ -39,9 +40,15 @@ def start_raw_events(
 ) -> StreamingQuery:
     """Append events by date, each event id once within the watermark.
 
-    The file sink's own log makes a restarted batch appear exactly once.
+    The file sink's own log makes a restarted batch appear exactly once. Copies
+    of an id that is sent without end are first thinned out by arrival time, in
+    several tasks.
     """
-    once = clean.dropDuplicatesWithinWatermark(["event_id"])
+    once = (
+        clean.withColumn("_salt", salt("kafka_timestamp"))
+        .dropDuplicatesWithinWatermark(["event_id", "_salt"])
+        .dropDuplicatesWithinWatermark(["event_id"])
+    )
     writer = (
         to_stored(once)
         .writeStream.outputMode("append")
