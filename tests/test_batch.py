@@ -6,12 +6,11 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from shop import at, event, frame
-from tidemark.operators import ingest, metrics as m
+from tidemark.operators import ingest
 from tidemark.plans import jobs, marts, quality, reads, staging
-from tidemark.schemas import PRODUCTS, RAW_EVENTS, USERS, ddl, require_columns
+from tidemark.schemas import PRODUCTS, USERS, ddl, require_columns
 from tidemark.session import shared_dir
 from tidemark.sources import tables as t
 
@@ -82,6 +81,20 @@ def test_shared_dir_is_the_one_of_the_cluster(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+class Conf(dict):
+    """Stands in for a session that has only settings."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_only_a_local_master_may_use_its_own_disk():
+    assert "tidemark-" in shared_dir(Conf({"spark.master": "local[2]"}), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Conf({"spark.master": "spark://host:7077"}), "x")
+
+
 # -- marts -----------------------------------------------------------------------
 
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import json
 import random
-from datetime import date, timedelta
+from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from shop import at, event, frame, message, write_messages
 from tidemark.operators import metrics as m
@@ -172,6 +171,16 @@ def test_published_messages(spark, folder):
         assert body["dimension_key"] == "" and isinstance(body["metric_value"], str)
 
 
+def test_run_forever_ends_with_its_query(spark, folder):
+    rows = shop_rows(10)
+    put(f"{folder}/in", rows, 1)
+    layout = run.Layout(f"{folder}/out")
+    stream = json_stream(spark, f"{folder}/in")
+    run.run_forever(spark, stream, layout, trigger=ONCE, only=("counts_1m",))
+    current = MetricTable(spark, layout.metrics).current()
+    assert rows_of(current) == rows_of(m.counts_1m(frame(spark, rows)))
+
+
 def test_failing_batch_fails_the_query(spark, folder):
     """A write that goes wrong is never passed over."""
     put(f"{folder}/in", shop_rows(5), 1)

@@ -271,7 +271,10 @@ def _check(table: str, column: str, check: str, severity: str, source: str, bad:
 
 
 def _unique_check(table: str, column: str, source: str) -> str:
-    repeated = f"(SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"
+    repeated = (
+        f"(SELECT {column} FROM {source} WHERE {column} IS NOT NULL"
+        f" GROUP BY {column} HAVING count(*) > 1)"
+    )
     return _check(table, column, "unique", "error", repeated, "TRUE")
 
 

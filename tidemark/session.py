@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _folder_of_this_machine() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach.
 
@@ -42,8 +48,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _folder_of_this_machine()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -130,6 +130,8 @@ def start_all(
 
 def run_forever(spark: SparkSession, messages: DataFrame, layout: Layout, **options) -> None:
     """Run until any query ends, then stop the others and raise what went wrong."""
+    # Forget queries that ended before; they would end this wait at once.
+    spark.streams.resetTerminated()
     started = start_all(spark, messages, layout, **options)
     try:
         spark.streams.awaitAnyTermination()
