@@ -211,7 +211,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
     found = pieces.join(_slots(p, docs, seed), ["sid", "block"], "left")
     lo = F.greatest("start", F.col("block") * b)
     hi = F.least(F.col("start") + F.col("size"), F.col("block") * b + F.least("words", b))
-    found = found.withColumn("first", lo - F.col("start")).withColumn("taken", F.coalesce(F.greatest(hi - lo, F.lit(0)), F.lit(0)))
+    given = F.when(F.col("words").isNotNull(), F.greatest(hi - lo, F.lit(0))).otherwise(0)
+    found = found.withColumn("first", lo - F.col("start")).withColumn("taken", given)
     if text:
         words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
         found = found.withColumn("text", F.array_join(F.slice(words, F.col("first").cast("int") + 1, F.col("taken").cast("int")), " "))
