@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import count
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -99,3 +102,49 @@ def components(links: DataFrame) -> DataFrame:
             break
         now = written(_small_star(_large_star(now)), "links")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def numbered(texts: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]:
+    """The words of each text as numbers, and the distinct words in the order of their numbers."""
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+    out = []
+    for text in texts:
+        words = text.split()
+        out.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+    return out, list(numbers)
+
+
+def char_ngrams(words: list[str], sizes: Iterable[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the character n-grams of each word with a mark at either end, and the word each is of."""
+    if not words:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    codes = np.frombuffer("".join(f"\x02{w}\x03" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    word = np.repeat(np.arange(len(words)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters up to the word's end
+    hashes, of, h, n = [], [], codes.copy(), 1
+    for size in sorted(sizes):
+        while n < size:
+            h[:-n] = h[:-n] * np.uint64(0x100000001B3) + codes[n:]
+            n += 1
+        whole = left >= size
+        hashes.append(mix64(h[whole] + np.uint64(size)))
+        of.append(word[whole])
+    return np.concatenate(hashes), np.concatenate(of)
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A well-mixed 64-bit hash of each number."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def sums_by(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of a matrix by group."""
+    return np.stack([np.bincount(group, values[:, d], n) for d in range(values.shape[1])], axis=1)
+
+
+def sample_order(*columns: str) -> Column:
+    """An order of rows that is the same in every run and unrelated to their contents."""
+    return F.xxhash64(*columns, F.lit(7))

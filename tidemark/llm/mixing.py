@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
-from tidemark.llm.common import WORD, n_words, written
+from tidemark.llm.common import WORD, mix64, n_words, written
 
 BLOCK_WORDS = 512
 SHARDS = 64
@@ -45,12 +45,6 @@ def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, share: float
     return goal
 
 
-def _mix64(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     """A bijection of 0..n-1 for each key: a Feistel network over the next even number of bits, walked until it is below n."""
     x, n, key = (np.array(v, np.uint64, ndmin=1) for v in (index, n, key))
@@ -62,7 +56,7 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
         h, m, v = half[todo], mask[todo], out[todo]
         left, right = v >> h, v & m
         for turn in range(4):
-            left, right = right, left ^ (_mix64(right + _mix64(key[todo] * np.uint64(8) + np.uint64(turn + 1))) & m)
+            left, right = right, left ^ (mix64(right + mix64(key[todo] * np.uint64(8) + np.uint64(turn + 1))) & m)
         out[todo] = (left << h) | right
         todo = todo[out[todo] >= n[todo]]
     return out.astype(np.int64)
@@ -118,8 +112,8 @@ def _place_of(block: int, n: int, key: int) -> int:
     while True:
         left, right = x >> half, x & mask
         for turn in reversed(range(4)):
-            inner = _mix64(np.array([key * 8 + turn + 1], np.uint64))
-            left, right = right ^ (int(_mix64(np.array([left], np.uint64) + inner)[0]) & mask), left
+            inner = mix64(np.array([key * 8 + turn + 1], np.uint64))
+            left, right = right ^ (int(mix64(np.array([left], np.uint64) + inner)[0]) & mask), left
         x = (left << half) | right
         if x < n:
             return x

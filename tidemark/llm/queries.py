@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, html, mixing, simhash, warc
+from tidemark.llm import ann, html, language, mixing, simhash, toxicity, warc
 from tidemark.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labelled = language.label(docs.select("doc_id", "text"), language.fit(docs))
+    return labelled.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
     found = mixing.taken(table(spark, sf_dir, "documents"))
@@ -36,7 +51,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op5_warc, op6_simhash, op9_nearest, op10_main_text)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_source_mix, op5_warc, op6_simhash, op9_nearest, op10_main_text)}
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
