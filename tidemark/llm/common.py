@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import shared_dir
 
+T = TypeVar("T")
 # A word is a run of characters other than ASCII white space; bytes.split() cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def on_executors(spark: SparkSession, value: T) -> Callable[[], T]:
+    """Sends a value of bounded size to the executors, its class included; the result loads it there."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import char_ngrams, mix64, numbered, sample_order, sums_by, utf8
+from tidemark.llm.common import char_ngrams, mix64, numbered, on_executors, sample_order, sums_by, utf8
 
 TRAIN_TEXTS = 200
 TRAIN_CHARS = 40_000
@@ -235,13 +235,14 @@ def fit(docs: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars: int = TRAIN_CHARS)
 
 def label(docs: DataFrame, model: Model) -> DataFrame:
     """The rows with two more columns, lang_pred and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = on_executors(docs.sparkSession, model)
     at = docs.columns.index("text")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = load()
         for batch in batches:
-            found = predict(shared.value, utf8(batch.column(at)))
+            found = predict(m, utf8(batch.column(at)))
             columns = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
 

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import char_ngrams, numbered, sample_order, sums_by, utf8
+from tidemark.llm.common import char_ngrams, numbered, on_executors, sample_order, sums_by, utf8
 
 TRAIN_TEXTS = 1000
 TRAIN_CHARS = 40_000
@@ -194,10 +194,10 @@ def fit(docs: DataFrame, labels: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = on_executors(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = load()
         for batch in batches:
             numbers, words = numbered(utf8(batch.column(1)))
             logits = m.word_logits(words)
