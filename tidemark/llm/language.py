@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.llm.common import char_ngrams, mix64, numbered, on_executors, sample_order, sums_by, utf8
 
@@ -32,6 +32,7 @@ TRAIN_TEXTS = 200
 TRAIN_CHARS = 40_000
 BUCKETS = 1 << 16
 UNDETERMINED = "und"
+LEAST_SCORE = 0.35
 _GRAMS = (1, 2, 3)
 _AFFIXES = (1, 2, 3, 4)
 _SEQUENCE = 48
@@ -233,17 +234,25 @@ def fit(docs: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars: int = TRAIN_CHARS)
     return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 
 
-def label(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows with two more columns, lang_pred and score."""
+def label(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The rows with two more columns, language and score; columns of these names are replaced."""
+    docs = docs.drop(*names)
     load = on_executors(docs.sparkSession, model)
     at = docs.columns.index("text")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "lang_pred string", "score double"])
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
         for batch in batches:
             found = predict(m, utf8(batch.column(at)))
             columns = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows whose language can be told: not ``und``, and the mean marginal is at least ``least``."""
+    names = ("_language", "_language_score")
+    known = (F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)
+    return label(docs, model, names).where(known).select(*docs.columns)

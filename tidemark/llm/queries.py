@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, html, language, mixing, simhash, toxicity, warc
+from tidemark.llm import ann, decontaminate, html, language, mixing, pii, simhash, toxicity, warc
 from tidemark.llm.common import table
 
 
@@ -29,6 +29,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The captures of all pages, as read back from their archives."""
     index = warc.archive_and_index(table(spark, sf_dir, "pages"))
@@ -41,6 +47,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document covers, and how much of them."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of each row whose id is divisible by 20."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -51,7 +62,20 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_source_mix, op5_warc, op6_simhash, op9_nearest, op10_main_text)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_language,
+        op3_source_mix,
+        op4_personal_data,
+        op5_warc,
+        op6_simhash,
+        op7_decontamination,
+        op9_nearest,
+        op10_main_text,
+    )
+}
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 

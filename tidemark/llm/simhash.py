@@ -109,10 +109,11 @@ def hex_digits(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of one document of each component, the one with the smallest doc_id.
+    """The rows of one document of each component, the one with the smallest doc_id; of repeated rows one.
 
-    Rows without a doc_id stay only where no member of their component has one.
+    Rows without a doc_id stay only if the component of one of them has no doc_id at all.
     """
-    found = near_duplicates(docs, shingle, max_bits).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = found.withColumnRenamed("doc_id", "_kept")
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    found = near_duplicates(docs, shingle, max_bits).where("doc_id <=> component_id")
+    kept = found.select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])
