@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, decontaminate, html, language, mixing, pii, simhash, toxicity, warc
+from tidemark.llm import ann, decontaminate, html, language, mixing, pii, simhash, substrings, toxicity, warc
 from tidemark.llm.common import table
 
 
@@ -52,6 +52,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without repeated passages."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of each row whose id is divisible by 20."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -72,6 +77,7 @@ QUERIES = {
         op5_warc,
         op6_simhash,
         op7_decontamination,
+        op8_substrings,
         op9_nearest,
         op10_main_text,
     )
@@ -95,6 +101,20 @@ ORACLE = {
                CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
         FROM f""",
+    "op8_substrings": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d),
+        g AS (SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS s FROM p),
+        f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM g),
+        c AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS gone FROM f WHERE n > 1 GROUP BY doc_id),
+        k AS (
+            SELECT d.doc_id, w, coalesce(c.gone, []) AS gone FROM d LEFT JOIN c ON c.doc_id = d.doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+               sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256
+        FROM k""",
     "op9_nearest": """
         WITH v AS (
             SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
