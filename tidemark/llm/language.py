@@ -38,7 +38,8 @@ _AFFIXES = (1, 2, 3, 4)
 _SEQUENCE = 48
 _BATCH = 128
 _STEPS = 240
-_WORDS_AT_ONCE = 1 << 19
+_WORDS_AT_ONCE = 1 << 18
+_TYPES_AT_ONCE = 1 << 14
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -51,10 +52,14 @@ class Model:
     transitions: np.ndarray
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        """Score of each language for each word."""
-        bucket, word = _buckets(words)
-        n = np.maximum(np.bincount(word, minlength=len(words)), 1)[:, None]
-        return sums_by(word, self.weights[bucket], len(words)) / np.sqrt(n) + self.lexicon_weight * self.look_up(words)
+        """Score of each language for each word; some words at a time, as each has dozens of features."""
+        out = np.zeros((len(words), len(self.languages)))
+        for i in range(0, len(words), _TYPES_AT_ONCE):
+            some = words[i : i + _TYPES_AT_ONCE]
+            bucket, word = _buckets(some)
+            n = np.maximum(np.bincount(word, minlength=len(some)), 1)[:, None]
+            out[i : i + len(some)] = sums_by(word, self.weights[bucket], len(some)) / np.sqrt(n) + self.lexicon_weight * self.look_up(some)
+        return out
 
     def look_up(self, words: list[str]) -> np.ndarray:
         none = np.zeros(len(self.languages))
@@ -127,6 +132,8 @@ def marginals(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarra
 def train(texts: list[bytes], languages: list[str], seed: int = 13) -> Model:
     names = sorted(set(languages))
     size = len(names)
+    if not names:
+        return Model([], np.zeros((BUCKETS, 0)), {}, np.zeros(0), np.zeros((0, 0)))
     rng = np.random.default_rng(seed)
     docs, raw = numbered(texts)
     words = _plain(raw)
