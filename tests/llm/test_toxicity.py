@@ -1,0 +1,77 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.cases import documents, empty, prose
+from tidemark.llm import toxicity
+
+BAD = ["idiot", "moron", "scumbag", "worthless", "pathetic"]
+
+
+def labelled(n, seed, words=BAD):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        text = prose(seed * 10_000 + i, 40 + i % 200).split()
+        toxic = i % 3 == 0
+        if toxic:
+            for _ in range(3):
+                text.insert(rng.randrange(len(text)), rng.choice(words))
+        rows.append((" ".join(text).encode(), int(toxic)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model():
+    rows = labelled(400, 1)
+    return toxicity.train([t for t, _ in rows], [y for _, y in rows])
+
+
+def accuracy(model, rows):
+    docs, words = toxicity.numbered([t for t, _ in rows])
+    logits = model.word_logits(words)
+    return np.mean([(model.score(logits[d]) >= 0.7) == bool(y) for d, (_, y) in zip(docs, rows, strict=True)])
+
+
+def test_held_out_accuracy(model):
+    assert accuracy(model, labelled(300, 2)) > 0.97
+
+
+def test_unseen_misspellings(model):
+    assert accuracy(model, labelled(300, 3, ["idiott", "moronn", "scumbagg", "worthlesss", "patheticc"])) > 0.9
+
+
+def test_training_repeats_itself():
+    rows = labelled(60, 4)
+    a, b = (toxicity.train([t for t, _ in rows], [y for _, y in rows]) for _ in range(2))
+    assert np.array_equal(a.vectors, b.vectors) and a.slope == b.slope
+
+
+def test_odd_rows(spark, model):
+    got = toxicity.score(documents(spark), model).collect()
+    assert len(got) == 14 and all(0 <= r["score"] <= 1 for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], set()).add(r["score"])
+    assert len(by[6]) == 1 and by[1] == by[2] == by[3]
+    assert toxicity.score(empty(spark), model).collect() == []
+
+
+def test_fit_uses_no_held_out_row(spark):
+    rows = [(i, t.decode(), "en", "s", 0) for i, (t, _) in enumerate(labelled(90, 5))]
+    right = {i: int(i % 3 == 0) for i in range(90)}
+    wrong = {i: 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y for i, y in right.items()}
+    models = []
+    for labels in (right, wrong):
+        data = [(i, 1, y) for i, y in labels.items()] + [(0, 1, 0), (None, 1, 1), (5, None, None), (999, 0, 1)]
+        models.append(toxicity.fit(documents(spark, rows), spark.createDataFrame(data, "doc_id long, quality int, toxic int")))
+    assert np.array_equal(models[0].vectors, models[1].vectors)
+
+
+def test_nothing_to_learn_from(spark):
+    labels = empty(spark, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(spark), labels)
+    assert all(r["score"] < 0.01 for r in toxicity.score(documents(spark), model).collect())
+    assert toxicity.train([b"a", b"b"], [1, 1]).score(np.zeros(3)) > 0.5

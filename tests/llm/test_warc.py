@@ -1,0 +1,88 @@
+import base64
+import hashlib
+import heapq
+import random
+
+from tests.llm.cases import empty
+from tidemark.llm import warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def expected(rows, least=0):
+    body = lambda r: (r[2] or "").encode()
+    first = {}
+    for r in rows:
+        ids = first.setdefault(body(r), [])
+        if r[0] is not None:
+            ids.append(r[0])
+    out = []
+    for r in rows:
+        same = sum(body(x) == body(r) for x in rows) > 1
+        least_id = min(first[body(r)], default=None)
+        revisit = same and len(body(r)) >= least and least_id is not None and r[0] != least_id
+        digest = base64.b32encode(hashlib.sha1(body(r)).digest()).decode()
+        out.append((r[0], len(body(r)), digest, "revisit" if revisit else "response", least_id if revisit else None))
+    return sorted(out, key=str)
+
+
+def rows_of(index):
+    return sorted(
+        ((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in index.collect()), key=str
+    )
+
+
+ODD = [
+    (3, "http://B.example.com/x?y#z", "<p>é\r\n\r\nWARC/1.1\r\n</p>"),
+    (1, None, None),
+    (2, "https://www.a.example.com:8080", ""),
+    (4, "http://a.example.com/\r\nWARC-Type: x", "<p>é\r\n\r\nWARC/1.1\r\n</p>"),
+    (4, "http://a.example.com/", "twice"),
+    (4, "http://a.example.com/", "twice"),
+    (None, "http://n.example.com/", "twice"),
+    (None, None, "alone"),
+    (9, "http://l.example.com/", "long " * 100_000),
+]
+
+
+def test_round_trip_of_odd_pages(spark):
+    pages = spark.createDataFrame(ODD, PAGES).selectExpr("*", "'x' AS digest", "1 AS offset", "2 AS bytes").repartition(3)
+    assert rows_of(warc.archive_and_index(pages, per_archive=2)) == expected(ODD)
+
+
+def test_smaller_payloads_are_responses(spark):
+    pages = spark.createDataFrame(ODD, PAGES)
+    assert rows_of(warc.archive_and_index(pages, min_bytes=6)) == expected(ODD, 6)
+
+
+def test_index_is_ordered_by_key_and_time(spark):
+    rows = [(i, f"http://h{i % 7}.example.com/{i % 3}", f"p{i % 50}") for i in range(400)]
+    pages = spark.createDataFrame(rows, PAGES).repartition(5)
+    got = warc.archive_and_index(pages, per_archive=30).collect()
+    assert len({r["archive"] for r in got}) > 10
+    order = [(r["url_key"], r["captured"], r["archive"], r["offset"]) for r in got]
+    assert order == sorted(order) and len(got) == 400
+
+
+def test_archives_hold_whole_records(spark):
+    folder = warc.write_archives(spark.createDataFrame(ODD, PAGES))
+    files = spark.read.format("binaryFile").load(folder).where("length > 0").collect()
+    payloads = [b.partition(b"\r\n\r\n")[2].decode() for f in files for _, _, h, b in warc.records(f["content"]) if h["WARC-Type"] == "response"]
+    assert set(payloads) == {r[2] or "" for r in ODD}
+
+
+def test_loser_tree_merges_like_a_heap():
+    rng = random.Random(5)
+    for n in (0, 1, 2, 3, 7, 16):
+        runs = [sorted((rng.choice("abc"), str(rng.randint(0, 9)), *[0] * 6, f"r{k}", j) for j in range(rng.randint(0, 20))) for k in range(n)]
+        runs = [sorted(r, key=warc._order) for r in runs]
+        assert list(warc.LoserTree([iter(r) for r in runs])) == list(heapq.merge(*runs, key=warc._order))
+
+
+def test_url_key():
+    assert warc.url_key("HTTP://u@www.A.Example.com:80/x?q#f") == "com,example,a)/x?q"
+    assert warc.url_key("") == ")/"
+
+
+def test_empty_table(spark):
+    assert warc.archive_and_index(empty(spark, PAGES)).collect() == []

@@ -196,7 +196,7 @@ def scores(page: list[Block]) -> list[float]:
     ]
     out = []
     for i, b in enumerate(page):
-        if not b.factor:
+        if not b.factor or (not length[(b.path, b.factor)] and b.factor < ARTICLE_FACTOR):
             out.append(0.0)
             continue
         # Only neighbours that may be content themselves count.
@@ -210,7 +210,13 @@ def main_text(html: str, threshold: float = THRESHOLD) -> str:
     page = blocks(html)
     score = scores(page)
     least = threshold * max(score, default=0.0)
-    return "\n".join(b.text for b, s in zip(page, score, strict=True) if s > 0 and s >= least)
+    content = [s > 0 and s >= least for s in score]
+    # What stands between or beside content in one article belongs to it, however short.
+    for order in (range(1, len(page)), range(len(page) - 2, -1, -1)):
+        for i in order:
+            j = i - 1 if order.step > 0 else i + 1
+            content[i] |= content[j] and page[i].factor == page[j].factor == ARTICLE_FACTOR
+    return "\n".join(b.text for b, c in zip(page, content, strict=True) if c)
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

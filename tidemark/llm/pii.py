@@ -272,13 +272,13 @@ def examples(text: str, rng: random.Random) -> list[tuple[list[float], int]]:
 def train(texts: list[str], seed: int = 17) -> Model:
     rng = random.Random(seed)
     rows = [(i % 4 == 0, *example) for i, text in enumerate(texts) for example in examples(text, rng)]
-    x = np.array([r[1] for r in rows], float).reshape(len(rows), -1)
+    if len({r[2] for r in rows if not r[0]}) < 2:
+        return Model(None, {})
+    x = np.array([r[1] for r in rows], float)
     y = np.array([r[2] for r in rows], float)
     held = np.array([r[0] for r in rows], bool)
-    if len(np.unique(y[~held])) < 2:
-        return Model(None, {})
     trees = boost(x[~held], y[~held])
-    chance = trees.chance(x[held])
+    chance = trees.chance(x[held]) if held.any() else np.zeros(0)
     thresholds = {}
     for i, kind in enumerate(KINDS):
         own = x[held][:, i] > 0
