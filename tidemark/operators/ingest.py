@@ -52,6 +52,8 @@ FLAT_COLUMNS = {
 }
 
 ALL_COLUMNS = tuple(FLAT_COLUMNS)
+# The message text beside a dead letter.
+PAYLOAD = "message"
 # What the validation rules look at.
 VALIDATED = ("event_id", "user_id", "event_type", "timestamp")
 
@@ -83,16 +85,20 @@ def _fields_for(columns: tuple[str, ...]) -> StructType:
     return StructType(fields)
 
 
-def parse(messages: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS) -> DataFrame:
-    """Decode JSON. Text that is no JSON gives a row of nulls.
+def parse(
+    messages: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS, payload: bool = False
+) -> DataFrame:
+    """Decode JSON. Text that is no JSON gives a row of nulls; ``payload`` keeps the text.
 
     ``inline`` makes the parsed fields plain columns of a generator. A filter on
     them cannot be pushed below it, so each message is parsed once, not once per
     field a later filter looks at. Only the fields behind ``columns`` are decoded.
     """
-    decoded = F.from_json(F.col("value").cast("string"), _fields_for(columns))
+    text = F.col("value").cast("string")
+    decoded = F.from_json(text, _fields_for(columns))
     renamed = messages.select("value", F.col("timestamp").alias("kafka_timestamp"))
-    return renamed.select("kafka_timestamp", F.inline(F.array(decoded)))
+    kept = [text.alias(PAYLOAD)] if payload else []
+    return renamed.select("kafka_timestamp", *kept, F.inline(F.array(decoded)))
 
 
 def flatten(parsed: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS) -> DataFrame:
@@ -101,7 +107,8 @@ def flatten(parsed: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS) -> DataFr
         # A price that no decimal can hold counts as missing instead of failing the job.
         return (value.try_cast(MONEY) if name == "sale_price" else value).alias(name)
 
-    return parsed.select(*[column(name) for name in columns])
+    kept = [PAYLOAD] if PAYLOAD in parsed.columns else []
+    return parsed.select(*[column(name) for name in columns], *kept)
 
 
 def is_valid() -> Column:
@@ -137,9 +144,14 @@ def route(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
 def ingest(
     messages: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS
 ) -> tuple[DataFrame, DataFrame]:
-    """Parse, flatten and route; ``columns`` limits the work to what a query needs."""
+    """Parse, flatten and route; ``columns`` limits the work to what a query needs.
+
+    Dead letters keep the message as it came, so that it can be read and sent
+    again; clean events never carry it.
+    """
     needed = tuple(c for c in ALL_COLUMNS if c in columns or c in VALIDATED)
-    return route(flatten(parse(messages, needed), needed))
+    clean = route(flatten(parse(messages, needed), needed))[0]
+    return clean, route(flatten(parse(messages, needed, payload=True), needed))[1]
 
 
 def to_stored(clean: DataFrame) -> DataFrame:

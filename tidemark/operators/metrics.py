@@ -36,6 +36,42 @@ def to_metrics(grouped: DataFrame, *rows: Column) -> DataFrame:
     ).select(*METRIC_COLUMNS)
 
 
+def event_types_1m(events: DataFrame) -> DataFrame:
+    """Events of each type per minute."""
+    grouped = events.groupBy(F.window("timestamp", MINUTE), "event_type").agg(F.count("*").alias("n"))
+    row = metric_row("1m", "events_by_type_1m", F.col("n"), "event_type", F.col("event_type"))
+    return to_metrics(grouped, row)
+
+
+def active_users_5m(events: DataFrame) -> DataFrame:
+    """Distinct users of five-minute windows that start every minute (batch).
+
+    A user counts once a minute first, so only distinct pairs go to five windows.
+    """
+    minutes = events.select(F.window("timestamp", MINUTE).alias("minute"), "user_id").distinct()
+    grouped = minutes.groupBy(F.window(F.col("minute.start"), FIVE_MINUTES, MINUTE)).agg(
+        F.count_distinct("user_id").alias("users")
+    )
+    return to_metrics(grouped, metric_row("5m", "active_users_5m", F.col("users"), "users"))
+
+
+def revenue_1d(events: DataFrame) -> DataFrame:
+    """Revenue of each day."""
+    grouped = events.groupBy(F.window("timestamp", "1 day")).agg(revenue().alias("revenue"))
+    return to_metrics(grouped, metric_row("1d", "revenue_1d", F.col("revenue"), "revenue"))
+
+
+def product_revenue_1h(events: DataFrame) -> DataFrame:
+    """Revenue per product and hour."""
+    grouped = (
+        events.filter(is_type("purchase"))
+        .groupBy(F.window("timestamp", HOUR), "sku")
+        .agg(F.sum(line_total()).alias("revenue"))
+    )
+    row = metric_row("1h", "product_revenue", F.col("revenue"), "sku", F.col("sku"))
+    return to_metrics(grouped, row)
+
+
 def _minute_totals() -> dict[str, Column]:
     return {
         "events": F.count("*"),

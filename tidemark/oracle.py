@@ -12,6 +12,7 @@ mapped AS (
               WHEN event_type = 'view' AND k % 2 = 0 THEN 'product_view'
               WHEN event_type = 'view' THEN 'page_view'
               ELSE event_type END AS event_type,
+         ['desktop', 'mobile', 'tablet'][CAST(user_id % 3 AS INTEGER) + 1] AS device,
          CAST(value AS DECIMAL(18,2)) AS sale_price
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
 ),
@@ -29,6 +30,7 @@ goods AS (
 ),
 everything AS (
   SELECT e.event_id, e.event_type, e.ts, e.user_id, e.product_id, e.sale_price,
+         e.device,
          CAST(CASE WHEN e.event_type = 'purchase' THEN 1 + e.n % 5
                    WHEN e.event_type = 'add_to_cart' THEN 1 + e.n % 3
                    ELSE 1 END AS INTEGER) AS quantity,
@@ -65,6 +67,29 @@ minutes AS (
 )"""
 
 
+# Which sixth of the time an event falls into; every twentieth of the first half comes three later.
+_PIECES = """
+bounds AS (SELECT min(ts) AS low, max(ts) AS high FROM events),
+on_time AS (
+  SELECT * FROM clean, bounds
+  WHERE NOT (CAST(event_id AS BIGINT) % 20 = 0
+             AND epoch_us(ts) < epoch_us(low)
+                 + CAST(round((epoch_us(high) - epoch_us(low)) / 6.0) AS BIGINT) * 3)
+)"""
+_ON_TIME_MINUTES = _MINUTES.replace("FROM clean)", "FROM on_time)")
+
+
+# A stream writes a minute once in each piece that has events of it.
+_PIECE_OF_MINUTES = """
+piece_minutes AS (
+  SELECT DISTINCT date_trunc('minute', ts) AS w,
+         least(5, (epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events))
+                  // CAST(round(((SELECT epoch_us(max(ts)) FROM events)
+                                 - (SELECT epoch_us(min(ts)) FROM events)) / 6.0) AS BIGINT)) AS piece
+  FROM clean
+)"""
+
+
 def _minute_metric(name: str, column: str, key: str) -> str:
     return f"""
   SELECT window_start, window_end, '1m' AS window_type, '{name}' AS metric_name,
@@ -132,9 +157,12 @@ _PURCHASES_1H = _hourly("product_purchase_count", "count(*)", "sku", "event_type
 _CLICKS_1H = _hourly("product_click_count", "count(*)", "sku", "event_type = 'click'")
 _CARTS_1H = _hourly("product_add_to_cart_count", "count(*)", "sku", "event_type = 'add_to_cart'")
 _SEGMENTS_1H = _hourly("segment_distribution", "count(*)", "user_segment")
+_DEVICES_1H = _hourly("device_distribution", "count(*)", "device")
 _COUNTRIES_1H = _hourly("country_distribution", "count(*)", "country")
 _HOURLY = " UNION ALL ".join([_SEGMENTS_1H, _REVENUE_1H, _PURCHASES_1H, _CLICKS_1H])
 
+_PRODUCT_REVENUE_1H = _hourly("product_revenue", "sum(amount)", "sku", "event_type = 'purchase'")
+
 _NEWEST_FIRST = (
     "ORDER BY window_start DESC, window_type, metric_name, dimension_key, dimension_value"
 )
@@ -155,9 +183,10 @@ _SNAPSHOT = """
 _BOARDS = f"""
 boards AS (
   SELECT CASE metric_name WHEN 'product_purchase_count' THEN 'top:products:purchase'
-                          ELSE 'top:products:click' END AS leaderboard,
+                          WHEN 'product_click_count' THEN 'top:products:click'
+                          ELSE 'top:products:revenue' END AS leaderboard,
          dimension_value AS member, arg_max(metric_value, window_start) AS score
-  FROM ({_PURCHASES_1H} UNION ALL {_CLICKS_1H})
+  FROM ({_PURCHASES_1H} UNION ALL {_CLICKS_1H} UNION ALL {_PRODUCT_REVENUE_1H})
   WHERE dimension_value <> '' GROUP BY ALL
 )"""
 
@@ -301,6 +330,8 @@ _MART_CHECKS = " UNION ALL ".join(
         _null_check("mart_product_performance", "product_id", "product_days"),
         _sign_check("mart_product_performance", "revenue", "product_days"),
         _rate_check("mart_product_performance", "conversion_rate", "product_days"),
+        _null_check("mart_user_segments", "user_segment", "segments"),
+        _sign_check("mart_user_segments", "revenue", "segments"),
         _null_check("mart_funnel_analysis", "category", "funnel"),
         _rate_check("mart_funnel_analysis", "view_to_click_rate", "funnel"),
         _rate_check("mart_funnel_analysis", "click_to_cart_rate", "funnel"),
@@ -313,6 +344,22 @@ _MART_CHECKS = " UNION ALL ".join(
     ]
 )
 
+_MART_TOTALS = " UNION ALL ".join(
+    f"""
+  SELECT '{mart}' AS mart, {day} AS date, count(*) AS row_count,
+         CAST(sum({events}) AS BIGINT) AS events, CAST(sum({purchases}) AS BIGINT) AS purchases,
+         CAST(round(sum({amount}), 2) AS DOUBLE) AS amount
+  FROM {source} GROUP BY ALL"""
+    for mart, source, day, events, purchases, amount in (
+        ("mart_daily_summary", "daily", "date", "total_events", "total_purchases", "total_revenue"),
+        ("mart_product_performance", "product_days", "date", "click_count", "purchase_count", "revenue"),
+        ("mart_user_segments", "segments", "date", "event_count", "purchase_count", "revenue"),
+        ("mart_funnel_analysis", "funnel", "date", "click_count", "purchase_count", "add_to_cart_count"),
+        ("mart_geo_revenue", "geo", "date", "event_count", "purchase_count", "revenue"),
+        ("mart_hourly_kpi", "hourly_kpi", "CAST(hour_start AS DATE)", "total_events", "purchases", "revenue"),
+    )
+)
+
 _REASON = """CASE WHEN event_id IS NULL THEN 'Null Event ID'
               WHEN user_id IS NULL THEN 'Null User ID'
               WHEN event_type NOT IN ('page_view', 'product_view', 'search', 'click',
@@ -348,9 +395,10 @@ def oracle_sql() -> dict[str, str]:
                             {_PRICE}, quantity FROM everything"""
         ),
         "a3_table_sources": _with(
-            body="""SELECT 'raw_events' AS table_name, count(*) AS row_count FROM clean
-                    UNION ALL SELECT 'users', count(*) FROM people
-                    UNION ALL SELECT 'products', count(*) FROM goods"""
+            body="""SELECT 'raw_events' AS table_name, event_id AS c0, event_type AS c1,
+                           user_id AS c2 FROM clean
+                    UNION ALL SELECT 'users', user_id, username, user_segment FROM people
+                    UNION ALL SELECT 'products', product_id, sku, category FROM goods"""
         ),
         "a4_active_users": _with(
             body="""SELECT user_id, username, user_segment, country, city,
@@ -440,11 +488,16 @@ def oracle_sql() -> dict[str, str]:
         "s3_sessions": _with(_SESSIONS, body=_SESSION_ROWS),
         "s3_session_stream": _with(
             _SESSIONS,
-            body=f"""{_SESSION_ROWS}
-                     WHERE session_end + to_seconds(1800) - to_microseconds(1)
-                           <= (SELECT date_trunc('milliseconds', max(ts)) FROM clean)
-                              - INTERVAL 5 MINUTE""",
+            body=_SESSION_ROWS,
         ),
+        "s4_output_modes": _with(
+            body="""SELECT mode, date_trunc('minute', ts) AS window_start,
+                           event_type AS dimension_value, CAST(count(*) AS DOUBLE) AS metric_value
+                    FROM clean CROSS JOIN (SELECT unnest(['append', 'update']) AS mode) AS modes
+                    GROUP BY ALL"""
+        ),
+        "s5_trigger": _with(body="SELECT event_id, event_type FROM clean"),
+        "s7_late_data": _with(_PIECES, _ON_TIME_MINUTES, body=_COUNTS_1M),
         "s6_restart": counts,
         "s8_stream_dedup": clean_ids,
         "s9_all_streams": _with(
@@ -453,17 +506,23 @@ def oracle_sql() -> dict[str, str]:
             _HOURS,
             f"""metric_rows AS (
                   {' UNION ALL '.join([_SUMMARY_1M, _RATES, _TIME_ON_PAGE, _HOURLY])})""",
-            body="""SELECT 'raw_events' AS place, count(*) AS row_count FROM clean
-                    UNION ALL
-                    SELECT 'dead_letters', (SELECT count(*) FROM everything)
-                                           - (SELECT count(*) FROM clean)
-                    UNION ALL SELECT metric_name, count(*) FROM metric_rows GROUP BY metric_name""",
+            body=f"""SELECT 'raw_events' AS place, event_id AS member, CAST(NULL AS DOUBLE) AS value
+                     FROM clean
+                     UNION ALL SELECT 'dead_letters', event_id, NULL FROM everything
+                               WHERE {_REASON} IS NOT NULL
+                     UNION ALL SELECT metric_name, dimension_value, metric_value FROM metric_rows""",
         ),
         "d1_raw_events": _with(
             body=f"""SELECT event_id, event_type, ts AS timestamp, event_date, user_id,
                             user_segment, country, product_id, category AS category_name, {_PRICE},
                             quantity, time_on_page_sec FROM clean"""
         ),
+        "d1_late_events": _with(
+            body=f"""SELECT event_id, event_type, ts AS timestamp, event_date, user_id,
+                            user_segment, country, product_id, category AS category_name, {_PRICE},
+                            quantity, time_on_page_sec FROM clean"""
+        ),
+        "d1_late_daily_summary": daily,
         "d2_metric_upsert": _with(_HOURS, body=_SEGMENTS_1H),
         "d3_kpi_snapshot": _with(
             _MINUTES,
@@ -474,15 +533,29 @@ def oracle_sql() -> dict[str, str]:
         "d4_leaderboards": _with(_HOURS, _BOARDS, body="SELECT * FROM boards"),
         "d5_metric_messages": messages,
         "d6_dead_letters": _with(
-            body=f"""SELECT event_id, event_type, ts AS timestamp, {_REASON} AS error_reason
+            body=f"""SELECT event_id, event_type, ts AS timestamp, {_REASON} AS error_reason,
+                            event_id AS sent_id
+                     FROM everything WHERE {_REASON} IS NOT NULL"""
+        ),
+        "d6_dead_letter_messages": _with(
+            body=f"""SELECT {_REASON} AS error_reason, event_id, event_type
                      FROM everything WHERE {_REASON} IS NOT NULL"""
         ),
         "d7_batch_audit": _with(
             _MINUTES,
+            _PIECE_OF_MINUTES,
             body="""SELECT 'refresh' AS event, 'counts_1m' AS query,
-                           CAST(5 * count(*) AS BIGINT) AS metrics_count FROM minutes
-                    UNION ALL SELECT 'refresh', 'active_users_1m', count(*) FROM minutes""",
+                           CAST(5 * count(*) AS BIGINT) AS metrics_count,
+                           count(DISTINCT piece) AS batches FROM piece_minutes
+                    UNION ALL SELECT 'refresh', 'active_users_1m', count(*), count(DISTINCT piece)
+                    FROM piece_minutes""",
+        ),
+        "d9_empty_batch": _with(
+            _HOURS,
+            body=f"""SELECT CAST(1 AS BIGINT) AS batch_id, count(*) AS metrics_count,
+                            count(*) AS stored FROM ({_SEGMENTS_1H})""",
         ),
+        "d8_inserted_rows": _with(body="SELECT user_id, username, user_segment FROM people"),
         "d8_insert_absent": _with(
             body="""SELECT 0 AS step, 'users' AS table_name,
                            count(*) FILTER (is_active) AS inserted,
@@ -556,14 +629,24 @@ def oracle_sql() -> dict[str, str]:
             _SLIDING, body=_rate_check("conversion_rate", "metric_value", f"({_CONVERSION})")
         ),
         "q7_mart_checks": _with(
-            _DAILY, _PRODUCTS, _FUNNEL, _GEO, _HOURS, _HOURLY_KPI, body=_MART_CHECKS
+            _DAILY, _PRODUCTS, _SESSIONS, _SEGMENTS, _FUNNEL, _GEO, _HOURS, _HOURLY_KPI,
+            body=_MART_CHECKS,
         ),
         "q8_data_ready": _with(
             body="""SELECT d.day, EXISTS (SELECT 1 FROM clean WHERE event_date = d.day) AS ready
-                    FROM (SELECT unnest([DATE '2023-12-31', DATE '2024-01-01',
-                                         DATE '2024-01-30']) AS day) d"""
+                    FROM (SELECT min(event_date) - 1 AS day FROM clean
+                          UNION ALL SELECT min(event_date) FROM clean
+                          UNION ALL SELECT max(event_date) FROM clean) d"""
         ),
         "p1_daily_run": daily,
+        "p1_daily_marts": _with(
+            _DAILY, _PRODUCTS, _SESSIONS, _SEGMENTS, _FUNNEL, _GEO, _HOURS, _HOURLY_KPI,
+            body=_MART_TOTALS,
+        ),
+        "p3_emptied_date": _with(
+            _DAILY,
+            body="SELECT * FROM daily WHERE date <> (SELECT max(event_date) - 1 FROM clean)",
+        ),
         "p2_hourly_run": hourly_kpi,
         "p3_incremental_rebuild": segments,
         "r1_summary": snapshot_1m,
@@ -594,6 +677,29 @@ def oracle_sql() -> dict[str, str]:
                     WHERE leaderboard = 'top:products:purchase'
                     ORDER BY score DESC, member DESC LIMIT 5""",
         ),
+        "r3_top_products_by_revenue": _with(
+            _HOURS,
+            _BOARDS,
+            body="""SELECT member AS product_id, score FROM boards
+                    WHERE leaderboard = 'top:products:revenue'
+                    ORDER BY score DESC, member DESC LIMIT 10""",
+        ),
+        "r9_event_types": _with(
+            body="""SELECT date_trunc('minute', ts) AS window_start, event_type,
+                           CAST(count(*) AS DOUBLE) AS events FROM clean GROUP BY ALL"""
+        ),
+        "r10_kpi_now": _with(
+            _SLIDING,
+            body="""SELECT
+              (SELECT CAST(count(DISTINCT user_id) AS DOUBLE) FROM slid
+               WHERE w = (SELECT max(w) FROM slid)) AS active_users,
+              (SELECT CAST(sum(amount) AS DOUBLE) FROM clean
+               WHERE event_date = (SELECT max(event_date) FROM clean)) AS revenue_today,
+              (SELECT CASE WHEN count(*) FILTER (event_type = 'click') > 0
+                           THEN CAST(count(*) FILTER (event_type = 'purchase') AS DOUBLE)
+                                / count(*) FILTER (event_type = 'click') ELSE 0.0 END FROM slid
+               WHERE w = (SELECT max(w) FROM slid)) AS conversion_rate"""
+        ),
         "r4_breakdown": _with(
             _SLIDING,
             _HOURS,
@@ -639,9 +745,10 @@ def oracle_sql() -> dict[str, str]:
                             CASE WHEN previous_value <> 0
                                  THEN (metric_value - previous_value) / abs(previous_value)
                                       * 100.0::DOUBLE END AS change_percent
-                     FROM (SELECT *, lag(metric_value) OVER (
-                             PARTITION BY metric_name ORDER BY window_start) AS previous_value
-                           FROM ({_COUNTS_1M}))""",
+                     FROM (SELECT a.*, b.metric_value AS previous_value
+                           FROM ({_COUNTS_1M}) a LEFT JOIN ({_COUNTS_1M}) b
+                             ON b.metric_name = a.metric_name
+                            AND b.window_start = a.window_start - INTERVAL 1 MINUTE)""",
         ),
         "w2_rank_change": _with(
             _HOURS,
@@ -666,6 +773,7 @@ def oracle_sql() -> dict[str, str]:
                      FROM daily a LEFT JOIN daily b ON b.date = a.date - 7""",
         ),
         "w4_country_breakdown": _with(_HOURS, body=_COUNTRIES_1H),
+        "w4_device_breakdown": _with(_HOURS, body=_DEVICES_1H),
         "w5_rolling_volume": _with(
             _MINUTES,
             body="""SELECT window_start, clicks AS click, carts AS add_to_cart,

@@ -21,6 +21,7 @@ DAILY_MARTS = (
     "mart_user_segments",
     "mart_funnel_analysis",
     "mart_geo_revenue",
+    "mart_hourly_kpi",
 )
 # Marts written at the same time, so that one's last tasks do not idle the cluster.
 MARTS_AT_ONCE = 4
@@ -35,14 +36,35 @@ def between_dates(events: DataFrame, first: date, last: date | None) -> DataFram
     return kept if last is None else kept.filter(F.col("event_date") <= F.lit(last))
 
 
-def replace_dates(rows: DataFrame, path: str, partition: str = "date") -> None:
-    """Overwrite just the partitions that occur in ``rows``."""
+def replace_dates(
+    rows: DataFrame,
+    path: str,
+    partition: str = "date",
+    first: date | None = None,
+    last: date | None = None,
+) -> None:
+    """Overwrite the partitions that occur in ``rows``; of the given dates the others go.
+
+    Every write gives its files new names, so a partition whose files are the
+    same as before had no rows this time.
+    """
+    spark = rows.sparkSession
+
+    def stored() -> dict[str, list[str]]:
+        low, high = f"{partition}={first}", f"{partition}={last}"
+        found = [p for p in files.children(spark, path) if first and low <= p <= high]
+        return {p: files.children(spark, f"{path}/{p}") for p in found}
+
+    before = stored()
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    for folder, names in stored().items():
+        if before.get(folder) == names:
+            files.delete(spark, f"{path}/{folder}")
 
 
 def one_file_per_date(mart: DataFrame) -> DataFrame:
@@ -54,23 +76,22 @@ def sessions_begun(events: DataFrame, first: date, last: date) -> DataFrame:
     """Sessions that began on the given dates, whole.
 
     Whether a session begins on a date depends on the half hour before it, so
-    one earlier day suffices. How far it goes on is not known beforehand: the
-    range read is extended day by day while a session is still open at its end.
+    one earlier day suffices. A session may go on after the last date; later
+    events are read only of the users who have one open then.
     """
-    newest = events.filter(F.col("event_date") > F.lit(last)).agg(F.max("event_date")).first()[0]
-    horizon = last
-    while True:
-        seen = between_dates(events, first - timedelta(days=1), horizon)
-        begun = sessions(seen, attribute="user_segment").filter(
+
+    def begun(seen: DataFrame) -> DataFrame:
+        return sessions(seen, attribute="user_segment").filter(
             F.to_date("session_start").between(F.lit(first), F.lit(last))
         )
-        if newest is None or horizon >= newest:
-            return begun
-        midnight = F.lit(datetime.combine(horizon + timedelta(days=1), datetime.min.time()))
-        limit = midnight - F.make_dt_interval(secs=F.lit(SESSION_IDLE_SECONDS))
-        if begun.filter(F.col("session_end") > limit).isEmpty():
-            return begun
-        horizon += timedelta(days=1)
+
+    columns = ("user_id", "timestamp", "event_date", "user_segment")
+    inside = between_dates(events, first - timedelta(days=1), last).select(*columns)
+    midnight = F.lit(datetime.combine(last + timedelta(days=1), datetime.min.time()))
+    limit = midnight - F.make_dt_interval(secs=F.lit(SESSION_IDLE_SECONDS))
+    still_open = begun(inside).filter(F.col("session_end") > limit).select("user_id").distinct()
+    later = events.filter(F.col("event_date") > F.lit(last)).select(*columns)
+    return begun(inside.unionByName(later.join(still_open, "user_id", "left_semi")))
 
 
 def new_events(
@@ -119,9 +140,14 @@ def build_daily_marts(
         "mart_user_segments": marts.user_segments(events, sessions_begun(everything, first, last)),
         "mart_funnel_analysis": marts.funnel_analysis(events),
         "mart_geo_revenue": marts.geo_revenue(events, users),
+        "mart_hourly_kpi": dated_hours(events),
     }
 
 
+def dated_hours(events: DataFrame) -> DataFrame:
+    return marts.hourly_kpi(events).withColumn("date", F.to_date("hour_start"))
+
+
 def read_mart(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
     return spark.read.parquet(tables.path(name))
 
@@ -145,12 +171,15 @@ def run_daily(
     # Staged once because every mart reads it: removing repeated ids shuffles
     # whole events. One more day on each side holds the ends of sessions that
     # cross midnight.
-    staged = new_events(spark, tables, first - timedelta(days=1), today, repeats_since)
-    replace_dates(staged, tables.path("stg_events"), "event_date")
+    around = first - timedelta(days=1), today
+    staged = new_events(spark, tables, *around, repeats_since)
+    replace_dates(staged, tables.path("stg_events"), "event_date", *around)
     built = build_daily_marts(spark, tables, first, last)
     with ThreadPoolExecutor(MARTS_AT_ONCE) as pool:
         for write in [
-            pool.submit(replace_dates, one_file_per_date(mart), tables.path(name))
+            pool.submit(
+                replace_dates, one_file_per_date(mart), tables.path(name), "date", first, last
+            )
             for name, mart in built.items()
         ]:
             write.result()
@@ -185,9 +214,13 @@ def run_hourly(
     lookback_hours: int = LOOKBACK_HOURS,
     repeats_since: date | None = None,
 ) -> DataFrame:
-    """Rebuild the hourly mart on the dates the lookback touches."""
+    """Rebuild the hourly mart on the dates the lookback touches, and check it."""
     first, last = touched_dates(now, lookback_hours)
-    kpis = marts.hourly_kpi(new_events(spark, tables, first, last, repeats_since))
-    dated = kpis.withColumn("date", F.to_date("hour_start"))
-    replace_dates(one_file_per_date(dated), tables.path("mart_hourly_kpi"))
+    dated = dated_hours(new_events(spark, tables, first, last, repeats_since))
+    path = tables.path("mart_hourly_kpi")
+    replace_dates(one_file_per_date(dated), path, "date", first, last)
+    rebuilt = read_mart(spark, tables, "mart_hourly_kpi").filter(
+        F.col("date").between(F.lit(first), F.lit(last))
+    )
+    quality.enforce(quality.mart_checks({"mart_hourly_kpi": rebuilt}))
     return read_mart(spark, tables, "mart_hourly_kpi").drop("date")

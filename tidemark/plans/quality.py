@@ -118,6 +118,8 @@ def staging_checks(events: DataFrame, users: DataFrame, products: DataFrame) ->
             check_unique(users, "stg_users", "user_id"),
             check_rows(products, "stg_products", [not_null("product_id")]),
             check_unique(products, "stg_products", "product_id"),
+            check_relationship(events, "stg_events", "user_id", users, "user_id", WARN),
+            check_relationship(events, "stg_events", "product_id", products, "product_id", WARN),
         ]
     )
 

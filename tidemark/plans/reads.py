@@ -61,13 +61,15 @@ def timeseries(
     end: str | None = None,
     limit: int = 100,
 ) -> DataFrame:
-    """Newest rows of a window type. The range counts only when both ends are given."""
+    """Newest rows of a window type. The range counts only when both ends are given.
+
+    ``MetricTable.current(first, last)`` gives the rows of a range without
+    reading the folders of other dates.
+    """
     rows = metrics.filter(F.col("window_type") == window_type)
     if start and end:
         low, high = datetime.fromisoformat(start), datetime.fromisoformat(end)
         rows = rows.filter(F.col("window_start").between(F.lit(low), F.lit(high)))
-        if "window_date" in metrics.columns:
-            rows = rows.filter(F.col("window_date").between(F.lit(low.date()), F.lit(high.date())))
     return (
         rows.orderBy(*_newest_first())
         .limit(limit)
@@ -163,6 +165,24 @@ def kpi_cards(snapshot: DataFrame) -> DataFrame:
     )
 
 
+def kpi_now(metrics: DataFrame) -> DataFrame:
+    """One row: users of the last five minutes, revenue of the day, conversion of five minutes."""
+    newest = {
+        "active_users_5m": "active_users",
+        "revenue_1d": "revenue_today",
+        "conversion_rate": "conversion_rate",
+    }
+    named = F.col("metric_name")
+    return metrics.filter(named.isin(*newest)).agg(
+        *[
+            F.coalesce(
+                F.max_by("metric_value", F.when(named == metric, F.col("window_start"))), F.lit(0.0)
+            ).alias(shown)
+            for metric, shown in newest.items()
+        ]
+    )
+
+
 def daily_revenue_series(daily: DataFrame, days: int = 30) -> DataFrame:
     """Revenue in thousands per day of the daily report, oldest first."""
     return (
@@ -176,26 +196,27 @@ def daily_revenue_series(daily: DataFrame, days: int = 30) -> DataFrame:
 
 
 def kpi_change(metrics: DataFrame) -> DataFrame:
-    """Percent change of each metric against its previous window.
+    """Percent change of each metric against the window just before.
 
-    A metric and member has at most one row per window, so what is ordered
-    together grows with the calendar, not with the events.
+    An equi-join on the window before, so all windows of a metric are compared
+    at once; a window without one before it has no change.
     """
-    series = Window.partitionBy("window_type", "metric_name", "dimension_key", "dimension_value")
-    previous = F.lag("metric_value").over(series.orderBy("window_start"))
+    keys = ["window_start", "window_type", "metric_name", "dimension_key", "dimension_value"]
+    # Sliding windows start every minute, the others when the last one ends.
+    step = F.when(F.col("window_type") == "5m", F.expr("INTERVAL 1 MINUTE")).otherwise(
+        F.col("window_end") - F.col("window_start")
+    )
+    before = metrics.select(
+        (F.col("window_start") + step).alias("window_start"),
+        *keys[1:],
+        F.col("metric_value").alias("previous_value"),
+    )
     change = F.when(
         F.col("previous_value") != 0,
         (F.col("metric_value") - F.col("previous_value")) / F.abs("previous_value") * 100.0,
     )
-    return metrics.withColumn("previous_value", previous).select(
-        "window_start",
-        "window_type",
-        "metric_name",
-        "dimension_key",
-        "dimension_value",
-        "metric_value",
-        "previous_value",
-        change.alias("change_percent"),
+    return metrics.join(before, keys, "left").select(
+        *keys, "metric_value", "previous_value", change.alias("change_percent")
     )
 
 

@@ -12,7 +12,7 @@ from tidemark.operators import ingest, metrics as m
 from tidemark.operators.sessions import session_stream, sessions
 from tidemark.plans import jobs, marts, quality, reads, staging
 from tidemark.session import shared_dir
-from tidemark.sources import adapter, streams, tables as t
+from tidemark.sources import adapter, files, streams, tables as t
 from tidemark.streaming import run, sinks
 from tidemark.streaming.metric_table import MetricTable
 
@@ -110,11 +110,16 @@ def a3_table_sources(spark, sf):
         ("users", t.read_users(spark, where)),
         ("products", t.read_products(spark, where)),
     ]
-    counts = [
-        df.agg(F.count("*").alias("row_count")).withColumn("table_name", F.lit(name))
+    columns = {
+        "raw_events": ("event_id", "event_type", "user_id"),
+        "users": ("user_id", "username", "user_segment"),
+        "products": ("product_id", "sku", "category_name"),
+    }
+    rows = [
+        df.select(F.lit(name).alias("table_name"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns[name])])
         for name, df in read
     ]
-    return quality.combine(counts)
+    return quality.combine(rows)
 
 
 def _write_tables(spark, sf, where: t.Tables) -> None:
@@ -309,16 +314,16 @@ def c_all_metrics(spark, sf):
 # -- streaming ------------------------------------------------------------------
 
 
-def _stream(spark, sf, *only: str, **dimensions) -> run.Layout:
-    """Run some of the streaming queries over the supplied events, once through."""
+def _stream(spark, sf, *only: str, **feed) -> run.Layout:
+    """Run some of the streaming queries over the supplied events, in several batches."""
     layout = run.Layout(shared_dir(spark, "stream"))
-    messages = adapter.message_stream(spark, sf, **dimensions)
+    messages = adapter.message_stream(spark, sf, **feed)
     finish(run.start_all(spark, messages, layout, ONCE, only=only))
     return layout
 
 
-def _streamed_metrics(spark, sf, *only: str, **dimensions) -> DataFrame:
-    layout = _stream(spark, sf, *only, **dimensions)
+def _streamed_metrics(spark, sf, *only: str, **feed) -> DataFrame:
+    layout = _stream(spark, sf, *only, **feed)
     rows = MetricTable(spark, layout.metrics).current()
     return plain_times(rows.select(*m.METRIC_COLUMNS))
 
@@ -361,9 +366,9 @@ def s3_sessions(spark, sf):
 
 @query
 def s3_session_stream(spark, sf):
-    """Closed sessions of the stream; the newest stay open until the watermark passes."""
+    """All sessions of the stream; an event long after the last closes them."""
     out = shared_dir(spark, "sessions")
-    events, _ = run.clean_stream(adapter.message_stream(spark, sf), "5 minutes")
+    events, _ = run.clean_stream(adapter.message_stream(spark, sf, sentinel=True), "5 minutes")
     started = (
         session_stream(events)
         .writeStream.outputMode("append")
@@ -375,42 +380,93 @@ def s3_session_stream(spark, sf):
     return plain_times(_session_columns(spark.read.parquet(f"{out}/data")))
 
 
+@query
+def s4_output_modes(spark, sf):
+    """Minute counts by type: closed windows once in append mode, beside the newest of update mode."""
+    messages = adapter.message_stream(spark, sf, sentinel=True)
+    table = MetricTable(spark, shared_dir(spark, "modes"))
+    started = []
+    for mode in ("append", "update"):
+        counts = m.event_types_1m(run.clean_stream(messages, "5 minutes", ())[0])
+        checkpoint = f"{table.root}/checkpoint-{mode}"
+        started.append(sinks.start_metrics(counts, table, mode, checkpoint, ONCE, mode=mode))
+    for each in started:
+        each.awaitTermination()
+    stored = spark.read.parquet(f"{table.root}/updates")
+    last = F.col("window_start") < F.lit(_end_of_events(spark, sf))
+    rows = stored.filter((F.col("query") == "append") & last).withColumn("mode", F.lit("append"))
+    newest = table.current().filter(last).withColumn("mode", F.lit("update"))
+    columns = ("mode", "window_start", "dimension_value", "metric_value")
+    return plain_times(rows.select(*columns).unionByName(newest.select(*columns)))
+
+
+def _end_of_events(spark, sf) -> datetime:
+    newest = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("ts")).first()[0]
+    return newest + timedelta(minutes=1)
+
+
+@query
+def s5_trigger(spark, sf):
+    """A query that looks for new files every second, stopped once it has taken all of them."""
+    out = shared_dir(spark, "trigger")
+    stream, _ = run.clean_stream(adapter.message_stream(spark, sf))
+    writer = stream.select("event_id", "event_type").writeStream.format("parquet")
+    often = sinks.Trigger(every="1 second").apply(writer.option("path", f"{out}/data"))
+    running = often.option("checkpointLocation", f"{out}/checkpoint").start()
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(f"{out}/data")
+
+
 @query
 def s6_restart(spark, sf):
-    """A second start from the same checkpoint finds nothing new and changes nothing."""
-    layout = _stream(spark, sf, "counts_1m")
-    finish(
-        run.start_all(
-            spark, adapter.message_stream(spark, sf), layout, ONCE, only=("counts_1m",)
-        )
-    )
+    """Stopped half-way, started again from its checkpoint, and once more without anything new."""
+    layout = run.Layout(shared_dir(spark, "restart"))
+    feed = adapter.Feed(spark, sf)
+    half = feed.PIECES // 2
+    for first, last in ((0, half - 1), (half, feed.PIECES - 1), (0, -1)):
+        feed.put(first, last)
+        finish(run.start_all(spark, feed.messages(), layout, ONCE, only=("counts_1m",)))
     rows = MetricTable(spark, layout.metrics).current()
     return plain_times(rows.select(*m.METRIC_COLUMNS))
 
 
+@query
+def s7_late_data(spark, sf):
+    """Some events come days late: the minute counts leave them out."""
+    return _streamed_metrics(spark, sf, "counts_1m", late=True)
+
+
 @query
 def s8_stream_dedup(spark, sf):
-    """Every message arrives twice; each event is stored once."""
+    """Every message arrives twice; each event is in the copy without repeats once."""
     layout = run.Layout(shared_dir(spark, "dedup"))
-    twice = adapter.message_stream(spark, sf).unionByName(adapter.message_stream(spark, sf))
-    finish(run.start_all(spark, twice, layout, ONCE, only=("raw_events",)))
+    feed = adapter.Feed(spark, sf)
+    feed.put()
+    twice = feed.messages().unionByName(feed.messages())
+    finish(run.start_all(spark, twice, layout, ONCE, only=("unique_events",)))
     return plain_times(
-        spark.read.parquet(layout.raw_events).select("event_id", "event_type", "timestamp")
+        spark.read.parquet(layout.unique_events).select("event_id", "event_type", "timestamp")
     )
 
 
 @query
 def s9_all_streams(spark, sf):
-    """All queries at once: rows that reached each place."""
+    """All queries at once: what reached each place."""
     layout = run.Layout(shared_dir(spark, "all"))
     messages = adapter.message_stream(spark, sf, user=True, product=True)
     finish(run.start_all(spark, messages, layout, ONCE))
+    metrics = MetricTable(spark, layout.metrics).current()
+    value = F.col("metric_value").alias("value")
+    none = F.lit(None).cast("double").alias("value")
     places = [
-        spark.read.parquet(layout.raw_events).select(F.lit("raw_events").alias("place")),
-        spark.read.parquet(layout.dead_letters).select(F.lit("dead_letters").alias("place")),
-        MetricTable(spark, layout.metrics).current().select(F.col("metric_name").alias("place")),
+        spark.read.parquet(layout.raw_events).select(F.lit("raw_events").alias("place"), F.col("event_id").alias("member"), none),
+        spark.read.parquet(layout.dead_letters).select(F.lit("dead_letters").alias("place"), F.col("event_id").alias("member"), none),
+        metrics.select(F.col("metric_name").alias("place"), F.col("dimension_value").alias("member"), value),
     ]
-    return quality.combine(places).groupBy("place").agg(F.count("*").alias("row_count"))
+    return quality.combine(places)
 
 
 # -- sinks ------------------------------------------------------------------------
@@ -418,7 +474,25 @@ def s9_all_streams(spark, sf):
 
 @query
 def d1_raw_events(spark, sf):
-    layout = _stream(spark, sf, "raw_events", user=True, product=True)
+    return _stored_events(spark, _stream(spark, sf, "raw_events", user=True, product=True))
+
+
+@query
+def d1_late_events(spark, sf):
+    """Events that come days late are stored like any other."""
+    late = _stream(spark, sf, "raw_events", user=True, product=True, late=True)
+    return _stored_events(spark, late)
+
+
+@query
+def d1_late_daily_summary(spark, sf):
+    """The daily mart over a store that took some events late."""
+    layout = _stream(spark, sf, "raw_events", late=True)
+    raw = spark.read.parquet(layout.raw_events)
+    return marts.daily_summary(staging.stg_events(raw))
+
+
+def _stored_events(spark, layout: run.Layout) -> DataFrame:
     return plain_times(
         spark.read.parquet(layout.raw_events).select(
             "event_id",
@@ -439,23 +513,42 @@ def d1_raw_events(spark, sf):
 
 @query
 def d2_metric_upsert(spark, sf):
-    """Half the value first, then the right one, a replay, and a compaction in between."""
+    """Half the value first, then the right one, a replay, and compactions in between.
+
+    A batch that is still being written, wrong and half of it, is there all the time.
+    """
     table = MetricTable(spark, shared_dir(spark, "upsert"))
     right = m.breakdown_1h(clean(spark, sf, user=True))
     write = table.batch_writer("segments")
+    unfinished = f"{table.root}/updates/query=segments/run=0/batch_id=2"
+    wrong = right.withColumn("metric_value", F.col("metric_value") * 9)
+    wrong.withColumn("computed_at", F.current_timestamp()).write.parquet(unfinished)
+    files.delete(spark, f"{unfinished}/_SUCCESS")
     write(right.withColumn("metric_value", F.col("metric_value") / 2), 0)
     table.compact()
     write(right, 1)
     write(right, 1)
     table.compact()
     table.vacuum()
+    write(right, 1)
+    write(right, 2)
+    table.compact()
     return plain_times(table.current().select(*m.METRIC_COLUMNS))
 
 
+def _kept(spark, *metrics: DataFrame) -> MetricTable:
+    """A metric table with these rows, as the dashboard's reads find it."""
+    table = MetricTable(spark, shared_dir(spark, "metrics"))
+    for number, rows in enumerate(metrics):
+        table.batch_writer("batch")(rows, number)
+    table.compact()
+    return table
+
+
 @query
 def d3_kpi_snapshot(spark, sf):
     events = clean(spark, sf)
-    return reads.kpi_snapshot(m.summary_1m(events).unionByName(m.rates_5m(events)))
+    return reads.kpi_snapshot(_kept(spark, m.summary_1m(events), m.rates_5m(events)).current())
 
 
 @query
@@ -464,7 +557,8 @@ def d4_leaderboards(spark, sf):
 
 
 def _product_counts(spark, sf) -> DataFrame:
-    return m.hourly_metrics(clean(spark, sf, product=True), ())
+    events = clean(spark, sf, product=True)
+    return _kept(spark, m.hourly_metrics(events, ()), m.product_revenue_1h(events)).current()
 
 
 @query
@@ -483,17 +577,63 @@ def d6_dead_letters(spark, sf):
     layout = _stream(spark, sf, "dead_letters")
     return plain_times(
         spark.read.parquet(layout.dead_letters).select(
-            "event_id", "event_type", "timestamp", "error_reason"
+            "event_id", "event_type", "timestamp", "error_reason",
+            F.get_json_object("message", "$.event_id").alias("sent_id"),
         )
     )
 
 
+@query
+def d6_dead_letter_messages(spark, sf):
+    """Dead letters as messages: the reason, and the message as it came."""
+    out = shared_dir(spark, "dead-messages")
+    _, dead = run.clean_stream(adapter.message_stream(spark, sf))
+    sinks.start_dead_letter_messages(
+        dead, "json", f"{out}/data", f"{out}/checkpoint", ONCE
+    ).awaitTermination()
+    sent = spark.read.text(f"{out}/data/dead_letters")
+    message = F.get_json_object("value", "$.message")
+    return sent.select(
+        F.get_json_object("value", "$.error_reason").alias("error_reason"),
+        F.get_json_object(message, "$.event_id").alias("event_id"),
+        F.get_json_object(message, "$.event_type").alias("event_type"),
+    )
+
+
 @query
 def d7_batch_audit(spark, sf):
-    """One line per non-empty batch; how many rows all batches of a query wrote."""
+    """One line per non-empty batch: the lines of each query, and their rows."""
     layout = _stream(spark, sf, "counts_1m", "active_users_1m")
     audit = MetricTable(spark, layout.metrics).audit()
-    return audit.groupBy("event", "query").agg(F.sum("metrics_count").alias("metrics_count"))
+    return audit.groupBy("event", "query").agg(
+        F.sum("metrics_count").alias("metrics_count"),
+        F.count_distinct("batch_id").alias("batches"),
+    )
+
+
+@query
+def d9_empty_batch(spark, sf):
+    """Empty batches between others: neither rows nor audit lines come of them."""
+    table = MetricTable(spark, shared_dir(spark, "empty"))
+    write = table.batch_writer("segments")
+    rows = m.breakdown_1h(clean(spark, sf, user=True))
+    for number, batch in enumerate((rows.limit(0), rows, rows.limit(0))):
+        write(batch, number)
+    audit = table.audit().select("batch_id", "metrics_count")
+    stored = spark.read.parquet(f"{table.root}/updates").groupBy("batch_id").count()
+    return audit.join(stored.withColumnRenamed("count", "stored"), "batch_id", "full")
+
+
+@query
+def d8_inserted_rows(spark, sf):
+    """The users table after loads that repeat and clash."""
+    where = t.Tables(shared_dir(spark, "load"))
+    users = adapter.users(spark, sf)
+    sinks.insert_absent(users.filter("is_active"), where.path("users"), "user_id", "username")
+    clash = users.withColumn("user_id", F.concat(F.lit("new-"), "user_id"))
+    for rows in (users.unionByName(users), clash):
+        sinks.insert_absent(rows, where.path("users"), "user_id", "username")
+    return t.read_users(spark, where).select("user_id", "username", "user_segment")
 
 
 @query
@@ -620,11 +760,27 @@ def q6_valid_rate(spark, sf):
 
 @query
 def q7_mart_checks(spark, sf):
-    """All mart checks with their severity."""
+    """All mart checks with their severity, over marts that are stored once."""
+    where = t.Tables(shared_dir(spark, "marts"))
     return quality.mart_checks(
+        {
+            name: _stored_mart(spark, where, name, mart)
+            for name, mart in _all_marts(spark, sf).items()
+        }
+    )
+
+
+def _stored_mart(spark, where: t.Tables, name: str, mart: DataFrame) -> DataFrame:
+    mart.write.parquet(where.path(name))
+    return jobs.read_mart(spark, where, name)
+
+
+def _all_marts(spark, sf) -> dict[str, DataFrame]:
+    return (
         {
             "mart_daily_summary": m1_daily_summary(spark, sf),
             "mart_product_performance": m2_product_performance(spark, sf),
+            "mart_user_segments": m3_user_segments(spark, sf),
             "mart_funnel_analysis": m4_funnel_analysis(spark, sf),
             "mart_geo_revenue": m5_geo_revenue(spark, sf),
             "mart_hourly_kpi": m6_hourly_kpi(spark, sf),
@@ -634,8 +790,10 @@ def q7_mart_checks(spark, sf):
 
 @query
 def q8_data_ready(spark, sf):
+    """The gate for the day before the first event, the first and the last day."""
     events = stored(spark, sf)
-    days = [date(2023, 12, 31), date(2024, 1, 1), date(2024, 1, 30)]
+    first, last = events.agg(F.min("event_date"), F.max("event_date")).first()
+    days = [first - timedelta(days=1), first, last]
     return quality.combine(
         [quality.day_has_events(events, d).withColumn("day", F.lit(d)) for d in days]
     )
@@ -644,26 +802,66 @@ def q8_data_ready(spark, sf):
 # -- jobs -------------------------------------------------------------------------
 
 
-def _newest_date(spark, where: t.Tables) -> date:
-    return t.read_raw_events(spark, where).agg(F.max("event_date")).first()[0]
+def _dates(spark, where: t.Tables) -> tuple[date, date]:
+    """The first and the last date with events."""
+    return t.read_raw_events(spark, where).agg(F.min("event_date"), F.max("event_date")).first()
+
+
+def _hours(first: date, until: date) -> int:
+    """A lookback that reaches the first date."""
+    return 24 * ((until - first).days + 1)
 
 
 @query
 def p1_daily_run(spark, sf):
-    """The daily job with a lookback over all events; the mart it wrote."""
+    """The daily job with a lookback over all events: the daily mart it wrote."""
+    where = _daily_run(spark, sf)
+    return jobs.read_mart(spark, where, "mart_daily_summary")
+
+
+def _daily_run(spark, sf) -> t.Tables:
     where = t.Tables(shared_dir(spark, "daily"))
     _write_tables(spark, sf, where)
-    today = _newest_date(spark, where) + timedelta(days=1)
-    jobs.run_daily(spark, where, today, lookback_hours=24 * 365)
-    return jobs.read_mart(spark, where, "mart_daily_summary")
+    first, last = _dates(spark, where)
+    jobs.run_daily(spark, where, last + timedelta(days=1), _hours(first, last))
+    return where
+
+
+@query
+def p1_daily_marts(spark, sf):
+    """All six marts of a daily run: rows, events, purchases and revenue by date."""
+    where = _daily_run(spark, sf)
+    names = {
+        "mart_daily_summary": ("total_events", "total_purchases", "total_revenue"),
+        "mart_product_performance": ("click_count", "purchase_count", "revenue"),
+        "mart_user_segments": ("event_count", "purchase_count", "revenue"),
+        "mart_funnel_analysis": ("click_count", "purchase_count", "add_to_cart_count"),
+        "mart_geo_revenue": ("event_count", "purchase_count", "revenue"),
+        "mart_hourly_kpi": ("total_events", "purchases", "revenue"),
+    }
+    return quality.combine(
+        [
+            jobs.read_mart(spark, where, name)
+            .groupBy("date")
+            .agg(
+                F.count("*").alias("row_count"),
+                F.sum(events).alias("events"),
+                F.sum(purchases).alias("purchases"),
+                F.round(F.sum(amount), 2).cast("double").alias("amount"),
+            )
+            .withColumn("mart", F.lit(name))
+            for name, (events, purchases, amount) in names.items()
+        ]
+    )
 
 
 @query
 def p2_hourly_run(spark, sf):
     where = t.Tables(shared_dir(spark, "hourly"))
     _write_tables(spark, sf, where)
-    now = datetime.combine(_newest_date(spark, where), datetime.max.time())
-    return plain_times(jobs.run_hourly(spark, where, now, lookback_hours=24 * 365))
+    first, last = _dates(spark, where)
+    now = datetime.combine(last, datetime.max.time())
+    return plain_times(jobs.run_hourly(spark, where, now, _hours(first, last)))
 
 
 @query
@@ -671,29 +869,49 @@ def p3_incremental_rebuild(spark, sf):
     """Two daily runs; the second rebuilds days of the first and adds the rest."""
     where = t.Tables(shared_dir(spark, "rebuild"))
     _write_tables(spark, sf, where)
-    today = _newest_date(spark, where) + timedelta(days=1)
-    jobs.run_daily(spark, where, today - timedelta(days=12), lookback_hours=24 * 365)
+    first, last = _dates(spark, where)
+    today = last + timedelta(days=1)
+    jobs.run_daily(spark, where, today - timedelta(days=12), _hours(first, last))
     jobs.run_daily(spark, where, today, lookback_hours=24 * 14)
     return jobs.read_mart(spark, where, "mart_user_segments")
 
 
+@query
+def p3_emptied_date(spark, sf):
+    """A second run after all events of one date were withdrawn: the date goes from the marts."""
+    where = t.Tables(shared_dir(spark, "emptied"))
+    _write_tables(spark, sf, where)
+    first, last = _dates(spark, where)
+    for withdrawn in (None, last - timedelta(days=1)):
+        if withdrawn:
+            files.delete(spark, f"{where.path('raw_events')}/event_date={withdrawn}")
+        jobs.run_daily(spark, where, last + timedelta(days=1), _hours(first, last))
+    return jobs.read_mart(spark, where, "mart_daily_summary")
+
+
 # -- reads ------------------------------------------------------------------------
 
 
 @query
 def r1_summary(spark, sf):
-    return reads.kpi_snapshot(m.summary_1m(clean(spark, sf)))
+    return reads.kpi_snapshot(_kept(spark, m.summary_1m(clean(spark, sf))).current())
 
 
 @query
 def r2_timeseries(spark, sf):
-    return reads.timeseries(m.summary_1m(clean(spark, sf)), "1m")
+    table = _kept(spark, m.summary_1m(clean(spark, sf)))
+    return plain_times(reads.timeseries(table.current(), "1m"))
 
 
 @query
 def r2_timeseries_range(spark, sf):
-    hourly = m.hourly_metrics(clean(spark, sf, user=True, product=True))
-    return reads.timeseries(hourly, "1h", "2024-01-10T00:00:00", "2024-01-10T12:00:00", 200)
+    """Half a day; the table reads the folder of that date alone."""
+    table = _kept(spark, m.hourly_metrics(clean(spark, sf, user=True, product=True)))
+    day = date(2024, 1, 10)
+    rows = table.current(day, day)
+    return plain_times(
+        reads.timeseries(rows, "1h", "2024-01-10T00:00:00", "2024-01-10T12:00:00", 200)
+    )
 
 
 @query
@@ -709,33 +927,62 @@ def r3_live_top_products(spark, sf):
 @query
 def r4_breakdown(spark, sf):
     events = clean(spark, sf, user=True, product=True)
-    both = m.hourly_metrics(events).unionByName(m.time_on_page_5m(events))
-    return reads.breakdown(both, "category")
+    table = _kept(spark, m.hourly_metrics(events), m.time_on_page_5m(events))
+    return plain_times(reads.breakdown(table.current(), "category"))
 
 
 @query
 def r5_daily_report(spark, sf):
-    return reads.newest_report(m1_daily_summary(spark, sf), [], 30)
+    return reads.newest_report(_report(spark, m1_daily_summary(spark, sf)), [], 30)
+
+
+def _report(spark, mart: DataFrame) -> DataFrame:
+    """A mart as the reports find it: stored."""
+    return _stored_mart(spark, t.Tables(shared_dir(spark, "report")), "mart", mart)
 
 
 @query
 def r6_funnel_report(spark, sf):
-    return reads.newest_report(m4_funnel_analysis(spark, sf), ["category"], 30)
+    return reads.newest_report(_report(spark, m4_funnel_analysis(spark, sf)), ["category"], 30)
 
 
 @query
 def r7_product_report(spark, sf):
-    return reads.newest_report(m2_product_performance(spark, sf), ["product_id"], 100)
+    mart = _report(spark, m2_product_performance(spark, sf))
+    return reads.newest_report(mart, ["product_id"], 100)
 
 
 @query
 def r8_live_chart(spark, sf):
-    return reads.live_chart(m.counts_1m(clean(spark, sf)))
+    return plain_times(reads.live_chart(_kept(spark, m.counts_1m(clean(spark, sf))).current()))
 
 
 @query
 def r9_event_rate(spark, sf):
-    return reads.event_rate(m.counts_1m(clean(spark, sf)))
+    return plain_times(reads.event_rate(_kept(spark, m.counts_1m(clean(spark, sf))).current()))
+
+
+@query
+def r9_event_types(spark, sf):
+    """Events of each type per minute."""
+    table = _kept(spark, m.event_types_1m(clean(spark, sf)))
+    rows = table.current().select(
+        "window_start", F.col("dimension_value").alias("event_type"), F.col("metric_value").alias("events")
+    )
+    return plain_times(rows)
+
+
+@query
+def r10_kpi_now(spark, sf):
+    """Users of the last five minutes, revenue of the day, conversion of five minutes."""
+    events = clean(spark, sf)
+    parts = m.active_users_5m(events), m.revenue_1d(events), m.conversion_rate_5m(events)
+    return reads.kpi_now(_kept(spark, *parts).current())
+
+
+@query
+def r3_top_products_by_revenue(spark, sf):
+    return reads.top_products(reads.leaderboards(_product_counts(spark, sf)), "revenue", 10)
 
 
 @query
@@ -745,7 +992,7 @@ def r10_kpi_cards(spark, sf):
 
 @query
 def r11_daily_revenue(spark, sf):
-    return reads.daily_revenue_series(m1_daily_summary(spark, sf))
+    return reads.daily_revenue_series(_report(spark, m1_daily_summary(spark, sf)))
 
 
 # -- comparisons --------------------------------------------------------------------
@@ -753,17 +1000,18 @@ def r11_daily_revenue(spark, sf):
 
 @query
 def w1_kpi_change(spark, sf):
-    return reads.kpi_change(m.counts_1m(clean(spark, sf)))
+    return plain_times(reads.kpi_change(_kept(spark, m.counts_1m(clean(spark, sf))).current()))
 
 
 @query
 def w2_rank_change(spark, sf):
-    return reads.rank_change(m.product_counts_1h(clean(spark, sf, product=True)))
+    table = _kept(spark, m.product_counts_1h(clean(spark, sf, product=True)))
+    return plain_times(reads.rank_change(table.current()))
 
 
 @query
 def w3_week_over_week(spark, sf):
-    return reads.week_over_week(m1_daily_summary(spark, sf))
+    return reads.week_over_week(_report(spark, m1_daily_summary(spark, sf)))
 
 
 @query
@@ -771,9 +1019,14 @@ def w4_country_breakdown(spark, sf):
     return m.breakdown_1h(clean(spark, sf, user=True), "country")
 
 
+@query
+def w4_device_breakdown(spark, sf):
+    return m.breakdown_1h(clean(spark, sf), "device")
+
+
 @query
 def w5_rolling_volume(spark, sf):
-    return reads.rolling_volume(m.counts_1m(clean(spark, sf)), 30)
+    return plain_times(reads.rolling_volume(_kept(spark, m.counts_1m(clean(spark, sf))).current(), 30))
 
 
 @query

@@ -57,6 +57,7 @@ KPI_METRICS = (
 LEADERBOARD_METRICS = {
     "product_purchase_count": "top:products:purchase",
     "product_click_count": "top:products:click",
+    "product_revenue": "top:products:revenue",
 }
 
 SESSION_IDLE_SECONDS = 1800

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -35,20 +33,22 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _folder_of_this_machine() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a
-    local master may fall back to a folder of this machine.
+    The cluster names its shared folder in ``spark.checkpoint.dir``; where it
+    does not, the warehouse is the folder all executors share.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _folder_of_this_machine()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete the work folders handed out so far. Results that read from them are gone with them."""
+    while _made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

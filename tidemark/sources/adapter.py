@@ -7,15 +7,20 @@ Table sizes decide between broadcast and shuffle; AQE splits hot join keys.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.joins import broadcast_if_small
 from tidemark.schemas import MONEY
-from tidemark.session import apply_settings
-from tidemark.sources.streams import exact_path
+from tidemark.session import apply_settings, shared_dir
 
 EVENTS = "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING"
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+_DEVICES = ("desktop", "mobile", "tablet")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +56,7 @@ def _map_events(raw: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("session_id"),
         F.col("user_id").cast("string").alias("user_id"),
         "product_id",
+        F.element_at(F.array(*map(F.lit, _DEVICES)), (F.pmod("user_id", F.lit(3)) + 1).cast("int")).alias("device"),
         F.col("value").cast(MONEY).alias("sale_price"),
         F.when(kind == "purchase", 1 + number % 5)
         .when(kind == "add_to_cart", 1 + number % 3)
@@ -155,7 +161,9 @@ def _payload(flat: DataFrame) -> DataFrame:
         "event_type",
         "event_version",
         moment.alias("timestamp"),
-        F.struct("user_id", F.col("user_segment").alias("segment"), "country", "city").alias("user"),
+        F.struct(
+            "user_id", F.col("user_segment").alias("segment"), "country", "city", "device"
+        ).alias("user"),
         F.struct("product_id", "sku", "category", "brand", "sale_price").alias("product"),
         F.struct("quantity", "time_on_page_sec").alias("event_data"),
     )
@@ -171,10 +179,63 @@ def messages(
     return _payload(events(spark, sf_dir, user, product))
 
 
+class Feed:
+    """The supplied events as a producer would deliver them: pieces of time, one after the other.
+
+    ``put`` writes pieces as files of their own, and a stream takes one file a
+    micro-batch, so windows close, state goes and batches follow each other.
+    ``late`` holds back every twentieth event of the first half for three pieces.
+    ``sentinel`` adds one event of an unknown user long after the last.
+    """
+
+    PIECES = 6
+
+    def __init__(self, spark: SparkSession, sf_dir: str, late: bool = False, sentinel: bool = False):
+        apply_settings(spark)
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.folder = shared_dir(spark, "feed")
+        raw = _table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+        low, high = raw.agg(F.min("ts"), F.max("ts")).first()
+        width = (high - low) / self.PIECES
+        ends = [low + width * (i + 1) for i in range(self.PIECES - 1)]
+        piece = F.lit(0)
+        for end in ends:
+            piece = piece + (F.col("ts") >= F.lit(end)).cast("int")
+        if late:
+            piece = piece + held_back(piece)
+        self.pieces = raw.withColumn("piece", piece)
+        self.sentinel = high + timedelta(days=2) if sentinel else None
+
+    def put(self, first: int = 0, last: int = PIECES - 1) -> None:
+        for i in range(first, last + 1):
+            rows = self.pieces.filter(F.col("piece") == i).drop("piece")
+            rows.write.mode("append").parquet(self.folder)
+        if self.sentinel and last == self.PIECES - 1:
+            row = (-1, self.sentinel, -1, "click", 0.0, "{}")
+            end = self.spark.createDataFrame([row], EVENTS).coalesce(1)
+            end.write.mode("append").parquet(self.folder)
+
+    def messages(self, user: bool = False, product: bool = False) -> DataFrame:
+        raw = self.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(self.folder)
+        events = _map_events(raw)
+        return _payload(_add_dimensions(events, self.sf_dir, user, product))
+
+
+def held_back(piece: Column) -> Column:
+    """By how many pieces an event comes late."""
+    return F.when((F.col("event_id") % 20 == 0) & (piece < Feed.PIECES // 2), 3).otherwise(0)
+
+
 def message_stream(
-    spark: SparkSession, sf_dir: str, user: bool = False, product: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    user: bool = False,
+    product: bool = False,
+    late: bool = False,
+    sentinel: bool = False,
 ) -> DataFrame:
-    """The same messages as a stream over the supplied events file."""
-    apply_settings(spark)
-    raw = spark.readStream.schema(EVENTS).parquet(exact_path(f"{sf_dir}/events.parquet"))
-    return _payload(_add_dimensions(_map_events(raw), sf_dir, user, product))
+    """The messages as a stream of several micro-batches."""
+    feed = Feed(spark, sf_dir, late, sentinel)
+    feed.put()
+    return feed.messages(user, product)

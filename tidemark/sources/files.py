@@ -20,6 +20,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern names, in one call to the file system."""
+    fs, target = _resolve(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(target) or [])
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names inside a folder; empty when the folder is missing."""
     fs, target = _resolve(spark, path)

@@ -42,9 +42,3 @@ def read_events_stream(
         schema = "value BINARY, timestamp TIMESTAMP"
         return reader.schema(schema).options(**options).parquet(location)
     raise ValueError(f"unknown stream kind: {kind}")
-
-
-def exact_path(path: str) -> str:
-    """A glob that matches only ``path``, so a stream may read a lone file or a folder."""
-    head, _, tail = path.rpartition("/")
-    return f"{head}/{{{tail}}}"

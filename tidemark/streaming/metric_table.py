@@ -10,7 +10,9 @@ Layout below one root:
 
 A batch folder is overwritten when its batch is replayed, so a replay changes
 nothing. A compaction becomes visible only with its state file; one that dies
-half-way leaves folders nobody reads, and the next one overwrites them.
+half-way leaves folders nobody reads, and the next one overwrites them. Only
+committed batch folders are read or compacted, so a batch that is being written
+or replayed is never taken half.
 
 ``run`` counts the checkpoints of a query: batch ids restart with a new one.
 """
@@ -20,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import METRIC, METRIC_COLUMNS, METRIC_KEY
@@ -33,6 +35,8 @@ _STATE = """
     batches ARRAY<STRUCT<query: STRING, run: INT, batch_id: LONG>>
 """
 _AUDIT = "event STRING, metrics_count LONG, query STRING, run INT, batch_id LONG"
+# Files of one batch; the rows that changed in a batch are few.
+_BATCH_FILES = 2
 _OUTPUT = (*METRIC_COLUMNS, "computed_at", "run", "batch_id")
 
 
@@ -66,15 +70,17 @@ class MetricTable:
             place = f"query={query}/run={run}/batch_id={batch_id}"
             target = f"{root}/updates/{place}"
             stamped = batch.select(*METRIC_COLUMNS, F.current_timestamp().alias("computed_at"))
-            stamped.write.mode("overwrite").parquet(target)
-            # Counted from what was written: the batch itself is computed once.
-            spark = batch.sparkSession
-            counted = (
-                spark.read.schema(METRIC).parquet(target).agg(F.count("*").alias("metrics_count"))
-            )
-            counted.filter("metrics_count > 0").select(
-                F.lit("refresh").alias("event"), "metrics_count"
-            ).write.mode("overwrite").json(f"{root}/audit/{place}")
+            # Counted while it is written: the batch is computed once.
+            seen = Observation()
+            counted = stamped.observe(seen, F.count(F.lit(1)).alias("n"))
+            counted.repartition(_BATCH_FILES).write.mode("overwrite").parquet(target)
+            spark, n = batch.sparkSession, seen.get["n"]
+            if not n:  # an empty batch leaves nothing behind
+                files.delete(spark, target)
+                files.delete(spark, f"{root}/audit/{place}")
+                return
+            line = spark.createDataFrame([("refresh", n)], "event STRING, metrics_count LONG")
+            line.coalesce(1).write.mode("overwrite").json(f"{root}/audit/{place}")
 
         return write
 
@@ -103,12 +109,22 @@ class MetricTable:
         )
         return rows.parquet(*folders).select(*_OUTPUT)
 
-    def _pending(self, state: dict) -> DataFrame | None:
-        """Batches not compacted yet, found by folder."""
-        if not files.children(self.spark, self._path("updates")):
+    def _committed(self, state: dict) -> list[tuple[str, int, int, str]]:
+        """Query, run, number and folder of each finished batch that is not compacted yet."""
+        upto = {(b["query"], b["run"]): b["batch_id"] for b in state["batches"]}
+        found = []
+        for path in files.matching(self.spark, self._path("updates", "*", "*", "*", "_SUCCESS")):
+            folder = path.rpartition("/")[0]
+            query, run, batch = (part.partition("=")[2] for part in folder.split("/")[-3:])
+            if int(batch) > upto.get((query, int(run)), -1):
+                found.append((query, int(run), int(batch), folder))
+        return found
+
+    def _pending(self, committed: list[tuple[str, int, int, str]]) -> DataFrame | None:
+        if not committed:
             return None
-        rows = self.spark.read.schema(_STORED).parquet(self._path("updates"))
-        return rows.filter(~_within(state["batches"]))
+        rows = self.spark.read.option("basePath", self._path("updates")).schema(_STORED)
+        return rows.parquet(*[folder for *_, folder in committed])
 
     def _merged(
         self, state: dict, pending: DataFrame | None, dates: set[str] | None = None
@@ -132,7 +148,8 @@ class MetricTable:
         if first is not None or last is not None:
             low, high = str(first or date.min), str(last or date.max)
             dates = {d["window_date"] for d in state["dates"] if low <= d["window_date"] <= high}
-        rows = self._merged(state, self._pending(state), dates).select(*_OUTPUT)
+        pending = self._pending(self._committed(state))
+        rows = self._merged(state, pending, dates).select(*_OUTPUT)
         day = F.to_date("window_start")
         if first is not None:
             rows = rows.filter(day >= F.lit(first))
@@ -152,15 +169,14 @@ class MetricTable:
         pending.
         """
         state = self._state()
-        pending = self._pending(state)
-        if pending is None:
+        committed = self._committed(state)
+        fixed = self._pending(committed)
+        if fixed is None:
             return state["version"]
-        # Partition columns only: one row per query and run.
         upto = {(b["query"], b["run"]): b["batch_id"] for b in state["batches"]}
-        for row in pending.groupBy("query", "run").agg(F.max("batch_id").alias("n")).collect():
-            upto[(row["query"], row["run"])] = row["n"]
+        for query, run, batch, _ in committed:
+            upto[(query, run)] = max(batch, upto.get((query, run), -1))
         batches = [{"query": q, "run": r, "batch_id": n} for (q, r), n in sorted(upto.items())]
-        fixed = pending.filter(_within(batches))
         dated = fixed.select(F.to_date("window_start").cast("string").alias("d")).distinct()
         touched = {row["d"] for row in dated.collect()}
         if not touched:
@@ -204,14 +220,3 @@ class MetricTable:
                 if number.isdigit() and int(number) <= done["batch_id"]:
                     files.delete(self.spark, self._path(*place, folder))
 
-
-def _within(batches: list[dict]):
-    """Rows of batches up to the given ones."""
-    condition = F.lit(False)
-    for b in batches:
-        condition = condition | (
-            (F.col("query") == b["query"])
-            & (F.col("run") == b["run"])
-            & (F.col("batch_id") <= b["batch_id"])
-        )
-    return condition

@@ -41,6 +41,10 @@ class Layout:
     def raw_events(self) -> str:
         return f"{self.root}/raw_events"
 
+    @property
+    def unique_events(self) -> str:
+        return f"{self.root}/unique_events"
+
     @property
     def dead_letters(self) -> str:
         return f"{self.root}/dead_letters"
@@ -88,8 +92,9 @@ def start_all(
 ) -> Started:
     """Start the raw, dead-letter and metric queries over one message stream.
 
-    ``only`` restricts the run to some of them. ``publish`` (kind, location) also
-    sends the metrics out as messages.
+    ``only`` restricts the run to some of them; the copy of the events without
+    repeats, ``unique_events``, runs only when named there. ``publish`` (kind,
+    location) also sends metrics and dead letters out as messages.
     """
     clean, dead = clean_stream(messages, watermark)
     table = MetricTable(spark, layout.metrics)
@@ -104,12 +109,24 @@ def start_all(
                 clean, layout.raw_events, layout.checkpoint("raw_events"), trigger
             )
         )
+    if only is not None and "unique_events" in only:
+        started.queries.append(
+            sinks.start_unique_events(
+                clean, layout.unique_events, layout.checkpoint("unique_events"), trigger
+            )
+        )
     if wanted("dead_letters"):
         started.queries.append(
             sinks.start_dead_letters(
                 dead, layout.dead_letters, layout.checkpoint("dead_letters"), trigger
             )
         )
+        if publish:
+            started.queries.append(
+                sinks.start_dead_letter_messages(
+                    dead, *publish, layout.checkpoint("out_dead_letters"), trigger
+                )
+            )
     for name, (build, columns) in METRIC_QUERIES.items():
         if not wanted(name):
             continue
@@ -128,6 +145,18 @@ def start_all(
     return started
 
 
+def upkeep(spark: SparkSession, layout: Layout) -> int:
+    """Fold finished metric batches into dated folders and drop what they replace.
+
+    To be run now and then while no reader is at work, e.g. once a day; without
+    it the number of batch folders grows with time.
+    """
+    table = MetricTable(spark, layout.metrics)
+    version = table.compact()
+    table.vacuum()
+    return version
+
+
 def run_forever(spark: SparkSession, messages: DataFrame, layout: Layout, **options) -> None:
     """Run until any query ends, then stop the others and raise what went wrong."""
     # Forget queries that ended before; they would end this wait at once.

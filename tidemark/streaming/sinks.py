@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.columns import salt
-from tidemark.operators.ingest import to_stored
-from tidemark.schemas import METRICS_TOPIC
+from tidemark.operators.ingest import PAYLOAD, to_stored
+from tidemark.schemas import DEAD_LETTER_TOPIC, METRICS_TOPIC
 from tidemark.sources import files
 from tidemark.streaming.metric_table import MetricTable
 
@@ -38,34 +38,73 @@ def _start(
 def start_raw_events(
     clean: DataFrame, path: str, checkpoint: str, trigger: Trigger
 ) -> StreamingQuery:
-    """Append events by date, each event id once within the watermark.
+    """Append every valid event by date, however late it comes.
 
-    The file sink's own log makes a restarted batch appear exactly once. Copies
-    of an id that is sent without end are first thinned out by arrival time, in
-    several tasks.
+    Nothing here keeps state: an operator with a watermark would drop what lies
+    behind it. There is no shuffle either, so a batch writes as many files as
+    the source has partitions. The file sink's own log makes a restarted batch
+    appear exactly once; repeated ids go when the events are staged.
     """
-    once = (
+    writer = (
+        to_stored(clean)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .partitionBy("event_date")
+    )
+    return _start(writer, "raw_events", checkpoint, trigger)
+
+
+def once_within_watermark(clean: DataFrame) -> DataFrame:
+    """Each event id once; what lies behind the watermark is dropped.
+
+    Copies of an id that is sent without end are first thinned out by arrival
+    time, in several tasks.
+    """
+    return (
         clean.withColumn("_salt", salt("kafka_timestamp"))
         .dropDuplicatesWithinWatermark(["event_id", "_salt"])
         .dropDuplicatesWithinWatermark(["event_id"])
+        .drop("_salt")
     )
+
+
+def start_unique_events(
+    clean: DataFrame, path: str, checkpoint: str, trigger: Trigger
+) -> StreamingQuery:
+    """A live copy of the events without repeats, for readers who cannot wait for staging."""
     writer = (
-        to_stored(once)
+        to_stored(once_within_watermark(clean))
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .partitionBy("event_date")
     )
-    return _start(writer, "raw_events", checkpoint, trigger)
+    return _start(writer, "unique_events", checkpoint, trigger)
 
 
 def start_dead_letters(
     dead: DataFrame, path: str, checkpoint: str, trigger: Trigger
 ) -> StreamingQuery:
+    """Store dead letters with their reason and the message as it came."""
     writer = dead.writeStream.outputMode("append").format("parquet").option("path", path)
     return _start(writer, "dead_letters", checkpoint, trigger)
 
 
+def encode_dead_letters(dead: DataFrame) -> DataFrame:
+    """Dead letters as JSON text: why, when it arrived, and the message as it came."""
+    fields = ["error_reason", F.col("kafka_timestamp").cast("string").alias("arrived_at"), PAYLOAD]
+    return dead.select(F.to_json(F.struct(*fields)).alias("value"))
+
+
+def start_dead_letter_messages(
+    dead: DataFrame, kind: str, location: str, checkpoint: str, trigger: Trigger
+) -> StreamingQuery:
+    """Publish dead letters: to their Kafka topic, or as text files."""
+    encoded = encode_dead_letters(dead)
+    return _publish(encoded, kind, location, DEAD_LETTER_TOPIC, "dead_letters", checkpoint, trigger)
+
+
 def start_metrics(
     metrics: DataFrame,
     table: MetricTable,
@@ -104,12 +143,24 @@ def start_metric_messages(
     trigger: Trigger,
 ) -> StreamingQuery:
     """Publish metric rows: to a Kafka topic, or as text files, one folder per batch."""
-    writer = encode_metrics(metrics).writeStream.outputMode("update")
+    return _publish(encode_metrics(metrics), kind, location, METRICS_TOPIC, name, checkpoint, trigger)
+
+
+def _publish(
+    encoded: DataFrame,
+    kind: str,
+    location: str,
+    topic: str,
+    name: str,
+    checkpoint: str,
+    trigger: Trigger,
+) -> StreamingQuery:
+    writer = encoded.writeStream.outputMode("update")
     if kind == "kafka":
         writer = (
             writer.format("kafka")
             .option("kafka.bootstrap.servers", location)
-            .option("topic", METRICS_TOPIC)
+            .option("topic", topic)
         )
     elif kind == "json":
         writer = writer.foreachBatch(
@@ -129,10 +180,9 @@ def insert_absent(
     that failed may simply be repeated.
     """
     spark: SparkSession = incoming.sparkSession
-    fresh, before = incoming.filter(F.col(key).isNotNull()), 0
+    fresh = incoming.filter(F.col(key).isNotNull())
     if files.exists(spark, path):
         table = spark.read.schema(incoming.schema).parquet(path)
-        before = table.count()
         for column in (key, unique):
             fresh = fresh.join(table.select(column), column, "left_anti")
     by_key = Window.partitionBy(key).orderBy(F.col(unique).asc_nulls_last())
@@ -142,7 +192,8 @@ def insert_absent(
     alone = F.when(F.col(unique).isNull(), F.col(key))
     by_unique = Window.partitionBy(unique, alone).orderBy(key)
     fresh = fresh.withColumn("_place", F.row_number().over(by_unique)).filter("_place = 1")
-    fresh.select(*incoming.columns).write.mode("append").parquet(path)
-    after = spark.read.schema(incoming.schema).parquet(path).count()
-    inserted = after - before
+    written = Observation()
+    fresh = fresh.select(*incoming.columns).observe(written, F.count(F.lit(1)).alias("n"))
+    fresh.write.mode("append").parquet(path)
+    inserted = written.get["n"]
     return inserted, incoming.count() - inserted
