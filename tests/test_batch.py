@@ -11,8 +11,8 @@ from shop import at, event, frame
 from tidemark.operators import ingest
 from tidemark.plans import jobs, marts, quality, reads, staging
 from tidemark.schemas import PRODUCTS, USERS, ddl, require_columns
-from tidemark.session import shared_dir
-from tidemark.sources import tables as t
+from tidemark.session import clear_shared, shared_dir
+from tidemark.sources import files, tables as t
 
 
 def stored(spark, rows):
@@ -89,10 +89,17 @@ class Conf(dict):
         return self
 
 
-def test_only_a_local_master_may_use_its_own_disk():
-    assert "tidemark-" in shared_dir(Conf({"spark.master": "local[2]"}), "x")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Conf({"spark.master": "spark://host:7077"}), "x")
+@pytest.mark.parametrize("master", ["local[2]", "spark://host:7077"])
+def test_the_warehouse_is_shared_where_nothing_else_is_named(master):
+    settings = {"spark.master": master, "spark.sql.warehouse.dir": "file:///nowhere/warehouse/"}
+    assert shared_dir(Conf(settings), "x").startswith("file:///nowhere/warehouse/x-")
+
+
+def test_work_folders_can_be_cleared(spark):
+    folder = shared_dir(spark, "gone")
+    spark.range(3).write.parquet(folder)
+    clear_shared(spark)
+    assert not files.exists(spark, folder)
 
 
 # -- marts -----------------------------------------------------------------------
@@ -260,6 +267,53 @@ def test_an_id_staged_before_does_not_come_back(spark, folder):
     assert daily(spark, where)[6] == 1
 
 
+def test_a_date_without_rows_goes_from_every_table(spark, folder):
+    rows = [event(n, "purchase", day(n), sale_price=2.0) for n in range(1, 5)]
+    where = install(spark, folder, rows)
+    jobs.run_daily(spark, where, date(2024, 3, 5), lookback_hours=96)
+    assert daily(spark, where) == {1: 1, 2: 1, 3: 1, 4: 1}
+    files.delete(spark, f"{where.path('raw_events')}/event_date=2024-03-03")
+    jobs.run_daily(spark, where, date(2024, 3, 5), lookback_hours=96)
+    for name in jobs.DAILY_MARTS:
+        days = {r.date.day for r in jobs.read_mart(spark, where, name).select("date").collect()}
+        assert days == {1, 2, 4}, name
+    assert jobs.staged_events(spark, where).filter("event_date = '2024-03-03'").count() == 0
+
+
+def test_dates_outside_the_lookback_stay(spark, folder):
+    rows = [event(1, "click", datetime(2022, 6, 1, 9)), event(2, "click", day(1)), event(3, "click", day(2))]
+    where = install(spark, folder, rows)
+    jobs.run_daily(spark, where, date(2024, 3, 3), lookback_hours=24 * 1000)
+    got = sorted(r.date for r in jobs.read_mart(spark, where, "mart_daily_summary").collect())
+    assert got == [date(2022, 6, 1), date(2024, 3, 1), date(2024, 3, 2)]
+    jobs.run_daily(spark, where, date(2024, 3, 3))
+    assert sorted(r.date for r in jobs.read_mart(spark, where, "mart_daily_summary").collect()) == got
+
+
+def test_daily_run_builds_and_checks_the_hourly_mart(spark, folder):
+    where = install(spark, folder, [event(1, "click", day(1)), event(2, "click", day(2))])
+    results = jobs.run_daily(spark, where, date(2024, 3, 3))
+    hours = jobs.read_mart(spark, where, "mart_hourly_kpi")
+    assert {r.hour_start for r in hours.collect()} == {day(1), day(2)}
+    checked = {(r.table_name, r.check_name) for r in results.collect()}
+    assert {("mart_hourly_kpi", c) for c in ("not_null", "unique", "non_negative")} <= checked
+    assert ("stg_events", "relationship") in checked
+
+
+@pytest.mark.parametrize("days", [2, 30])
+def test_following_sessions_takes_one_plan(spark, days):
+    """However long a user stays, nothing runs before the sessions are asked for."""
+    start = day(3, 23.75)
+    rows = [event(i, "click", start + timedelta(minutes=25 * i)) for i in range(days * 58)]
+    events = stored(spark, rows)
+    group = f"sessions-{days}"
+    spark.sparkContext.setJobGroup(group, group)
+    begun = jobs.sessions_begun(events, date(2024, 3, 3), date(2024, 3, 3))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("", "")
+    assert [r.event_count for r in begun.collect()] == [len(rows)]
+
+
 def test_sessions_over_many_midnights(spark, folder):
     """A session that began on a rebuilt day and goes on for days is found whole."""
     start = day(3, 23.75)

@@ -92,9 +92,39 @@ def test_repeated_events_are_stored_once(spark, folder):
     layout = run.Layout(f"{folder}/out")
     stream = json_stream(spark, f"{folder}/in")
     # The repeats lie 20 minutes back; the watermark has to reach that far.
-    run.start_all(spark, stream, layout, ONCE, watermark="1 hour", only=("raw_events",)).wait()
-    stored = spark.read.parquet(layout.raw_events)
+    both = ("raw_events", "unique_events")
+    run.start_all(spark, stream, layout, ONCE, watermark="1 hour", only=both).wait()
+    stored = spark.read.parquet(layout.unique_events)
     assert stored.count() == stored.select("event_id").distinct().count() == 30
+    assert spark.read.parquet(layout.raw_events).count() == 40
+
+
+def test_late_events_are_stored_all_the_same(spark, folder):
+    pieces = [[event(1, "click", at(60))], [event(2, "click", at(61))], [event(3, "purchase", at(0))]]
+    for i, rows in enumerate(pieces):
+        write_messages(f"{folder}/in", f"{i}.json", [message(r) for r in rows], i)
+    layout = run.Layout(f"{folder}/out")
+    stream = json_stream(spark, f"{folder}/in")
+    run.start_all(spark, stream, layout, ONCE, only=("raw_events",)).wait()
+    ids = {r.event_id for r in spark.read.parquet(layout.raw_events).collect()}
+    assert ids == {"e1", "e2", "e3"}
+
+
+def test_files_of_a_batch_do_not_grow_with_the_shuffle(spark, folder):
+    rows = shop_rows(40)
+    put(f"{folder}/in", rows, 1)
+    layout = run.Layout(f"{folder}/out")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        only = ("raw_events", "hourly")
+        run.start_all(spark, json_stream(spark, f"{folder}/in"), layout, ONCE, only=only).wait()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    stored = files.matching(spark, f"{layout.raw_events}/event_date=*/part-*")
+    assert len(stored) == len({r["timestamp"].date() for r in rows})
+    batch = files.matching(spark, f"{layout.metrics}/updates/query=hourly/run=0/batch_id=0/part-*")
+    assert 1 <= len(batch) <= 2
 
 
 def test_late_events_are_dropped_behind_the_watermark(spark, folder):
@@ -124,8 +154,26 @@ def test_dead_letters_keep_their_reason(spark, folder):
     layout = run.Layout(f"{folder}/out")
     stream = json_stream(spark, f"{folder}/in")
     run.start_all(spark, stream, layout, ONCE, only=("dead_letters",)).wait()
-    found = [r.error_reason for r in spark.read.parquet(layout.dead_letters).collect()]
-    assert sorted(found) == ["Invalid Event Type", "Null Event ID"]
+    found = [(r.error_reason, r.message) for r in spark.read.parquet(layout.dead_letters).collect()]
+    bogus = good.replace("click", "bogus")
+    assert sorted(found) == [("Invalid Event Type", bogus), ("Null Event ID", "nonsense")]
+
+
+def test_dead_letters_are_published(spark, folder):
+    write_messages(f"{folder}/in", "a.json", [message(event(1, "click", at())), "nonsense"], 0)
+    layout = run.Layout(f"{folder}/out")
+    run.start_all(
+        spark,
+        json_stream(spark, f"{folder}/in"),
+        layout,
+        ONCE,
+        only=("dead_letters",),
+        publish=("json", f"{folder}/published"),
+    ).wait()
+    texts = [r.value for r in spark.read.text(f"{folder}/published/dead_letters").collect()]
+    bodies = [json.loads(t) for t in texts]
+    assert [(b["error_reason"], b["message"]) for b in bodies] == [("Null Event ID", "nonsense")]
+    assert "arrived_at" in bodies[0]
 
 
 def test_session_stream_equals_batch_for_closed_sessions(spark, folder):
@@ -280,6 +328,44 @@ def test_unfinished_compaction_is_invisible(spark, folder):
     assert state_of(table) == {(at(0), "vip"): 1}
 
 
+def test_a_batch_being_written_is_left_alone(spark, folder):
+    """Compaction between a half-written batch and its end loses nothing."""
+    table = MetricTable(spark, f"{folder}/t")
+    write = table.batch_writer("q")
+    write(metric_rows(spark, (0, "vip", 1)), 0)
+    half = metric_rows(spark, (0, "vip", 2)).selectExpr("*", "current_timestamp() AS computed_at")
+    half.write.parquet(f"{folder}/t/updates/query=q/run=0/batch_id=1")
+    files.delete(spark, f"{folder}/t/updates/query=q/run=0/batch_id=1/_SUCCESS")
+    assert state_of(table) == {(at(0), "vip"): 1}
+    assert table.compact() == 1
+    table.vacuum()
+    write(metric_rows(spark, (0, "vip", 2), (1, "new", 3)), 1)
+    want = {(at(0), "vip"): 2, (at(60), "new"): 3}
+    assert state_of(table) == want
+    assert table.compact() == 2 and state_of(table) == want
+
+
+def test_upkeep_leaves_only_dated_folders(spark, folder):
+    put(f"{folder}/in", shop_rows(20), 2)
+    layout = run.Layout(f"{folder}/out")
+    only = ("counts_1m",)
+    run.start_all(spark, json_stream(spark, f"{folder}/in"), layout, ONCE, only=only).wait()
+    before = rows_of(MetricTable(spark, layout.metrics).current())
+    assert run.upkeep(spark, layout) == 1
+    assert rows_of(MetricTable(spark, layout.metrics).current()) == before
+    assert not files.matching(spark, f"{layout.metrics}/updates/*/*/*/_SUCCESS")
+
+
+def test_a_range_reads_its_dates_alone(spark, folder):
+    table = MetricTable(spark, f"{folder}/t")
+    rows = [(24 * d, "vip", d) for d in range(10)]
+    table.batch_writer("q")(metric_rows(spark, *rows), 0)
+    table.compact()
+    table.vacuum()
+    read = table.current(date(2024, 3, 3), date(2024, 3, 3)).inputFiles()
+    assert read and all("window_date=2024-03-03" in name for name in read)
+
+
 def test_a_new_run_outranks_the_old_one(spark, folder):
     """A new checkpoint counts its batches from 0 again."""
     table = MetricTable(spark, f"{folder}/t")
