@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import compare, open_tables
+from tidemark import oracle, registry
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registry.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
