@@ -2,7 +2,7 @@ import hashlib
 import random
 
 from tests.llm.cases import documents, empty, odd_rows, prose, words
-from tidemark.llm import substrings
+from tidemark.llm import common, substrings
 from tidemark.llm.substrings import WINDOW
 
 
@@ -65,7 +65,7 @@ def test_order_is_by_id_not_by_place_in_the_table(spark):
 
 def test_pieces_of_bounded_size_find_the_same(spark, monkeypatch):
     rows = [(i, prose(i % 7, 80) + " " + prose(500 + i, 30), "", "", 0) for i in range(60)]
-    monkeypatch.setattr(substrings, "_BYTES_AT_ONCE", 500)
+    monkeypatch.setattr(common, "PIECE_BYTES", 500)
     assert rows_of(substrings.remove_repeats(documents(spark, rows))) == brute(rows)
 
 
