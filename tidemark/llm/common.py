@@ -10,11 +10,13 @@ from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import shared_dir
 
+PIECE_BYTES = 12 << 20
 T = TypeVar("T")
 # A word is a run of characters other than ASCII white space; bytes.split() cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,6 +53,26 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(kind).to_pylist()]
 
 
+def pieces(
+    batches: Iterator[pa.RecordBatch], column: int, size: Callable[[pa.Array], np.ndarray] | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in pieces of bounded text size, so that what a worker holds is bounded too.
+
+    ``size`` tells the bytes of each row from the column, its own length unless
+    given. A longer text is a piece of its own.
+    """
+    for batch in batches:
+        own = batch.column(column)
+        bytes_ = size(own) if size else pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False)
+        total = np.cumsum(bytes_, dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            before = total[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(total, before + PIECE_BYTES, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def forest(pairs: Iterator[tuple[int, int]]) -> dict[int, int]:
     """Union-find: each node of the pairs and its root, the smallest node it is linked with."""
     parent: dict[int, int] = {}

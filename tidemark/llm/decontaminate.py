@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import mix64, n_words, numbered, on_executors, utf8
+from tidemark.llm.common import mix64, n_words, numbered, on_executors, pieces, utf8
 
 MIN_MATCH = 5
 COVERAGE = 0.6
@@ -222,7 +222,7 @@ def find(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = load()
-            for batch in batches:
+            for batch in pieces(batches, 1):
                 numbers, words = numbered(utf8(batch.column(1)))
                 known = np.array([part.vocabulary.get(w, -1) for w in _plain(words)] + [-1], np.int64)
                 found = [

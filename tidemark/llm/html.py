@@ -25,6 +25,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.llm.common import pieces
+
 # Element names of HTML.
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -223,7 +225,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2):
             texts = [main_text(h or "", threshold) for h in batch.column(2).to_pylist()]
             yield pa.record_batch(
                 {

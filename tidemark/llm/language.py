@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.llm.common import char_ngrams, mix64, numbered, on_executors, sample_order, sums_by, utf8
+from tidemark.llm.common import char_ngrams, mix64, numbered, on_executors, pieces, sample_order, sums_by, utf8
 
 TRAIN_TEXTS = 200
 TRAIN_CHARS = 40_000
@@ -250,7 +250,7 @@ def label(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
-        for batch in batches:
+        for batch in pieces(batches, at):
             found = predict(m, utf8(batch.column(at)))
             columns = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])

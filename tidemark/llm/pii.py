@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import on_executors, sample_order
+from tidemark.llm.common import on_executors, pieces, sample_order
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_TEXTS = 2000
@@ -338,7 +338,7 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
-        for batch in batches:
+        for batch in pieces(batches, 1):
             counts, digests, spans = [], [], []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
@@ -373,7 +373,7 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
-        for batch in batches:
+        for batch in pieces(batches, at):
             texts = []
             for text in batch.column(at).to_pylist():
                 if text:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import components, utf8, written
+from tidemark.llm.common import components, pieces, utf8, written
 
 SEED = 42
 SHINGLE = 3
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint's bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1):
             bits = np.array([fingerprint(t, shingle) for t in utf8(batch.column(1))], np.uint64)
             yield pa.record_batch({"doc_id": batch.column(0), "fp": pa.array(bits.view(np.int64))})
 

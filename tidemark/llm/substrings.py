@@ -24,7 +24,7 @@ own rows is settled there, and only one occurrence of it is shuffled on.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import mix64, numbered, utf8, written
+from tidemark.llm.common import mix64, numbered, pieces, utf8, written
 
 WINDOW = 20
 ANCHOR = 8
@@ -40,7 +40,6 @@ _CUT = np.uint64(15)  # one edge in 16 begins a path
 _PLACE_BITS = 24
 _REF_MASK = (1 << (64 - _PLACE_BITS)) - 1
 _LAST = (1 << 63) - 1
-_BYTES_AT_ONCE = 12 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -80,29 +79,13 @@ class _Texts:
         return out
 
 
-def _parts(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """The rows in pieces of bounded size in bytes; a longer text is a piece of its own."""
-    for batch in batches:
-        total = np.cumsum(size(batch))
-        begin = 0
-        while begin < batch.num_rows:
-            before = total[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(total, before + _BYTES_AT_ONCE, side="right")))
-            yield batch.slice(begin, end - begin)
-            begin = end
-
-
-def _text_sizes(column: int) -> Callable[[pa.RecordBatch], np.ndarray]:
-    return lambda batch: np.array([len(t) for t in utf8(batch.column(column))], np.int64)
-
-
 def _unpacked(batch: pa.RecordBatch, column: str = "z") -> list[bytes]:
     unpack = zstandard.ZstdDecompressor()
     return [unpack.decompress(z) for z in batch.column(column).to_pylist()]
 
 
-def _sizes_unpacked(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array([zstandard.frame_content_size(z) for z in batch.column("z").to_pylist()], np.int64)
+def _sizes_unpacked(packed: pa.Array) -> np.ndarray:
+    return np.array([zstandard.frame_content_size(z) for z in packed.to_pylist()], np.int64)
 
 
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +100,7 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     An anchor with equals among the same rows is known to be repeated: one of
     them keeps the hash to tell other tasks, the others get one of their own.
     """
-    for part in _parts(batches, _text_sizes(1)):
+    for part in pieces(batches, 1):
         texts = _Texts(utf8(part.column(1)))
         inner = texts.runs(ANCHOR)
         places = np.unique(texts.anchors(texts.edges(), inner))
@@ -135,7 +118,7 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text compressed, with its number of words and the digest of all of them."""
     pack = zstandard.ZstdCompressor(level=3, write_content_size=True)
-    for batch in batches:
+    for batch in pieces(batches, 2):
         texts = utf8(batch.column(2))
         words = [t.split() for t in texts]
         yield pa.RecordBatch.from_arrays(
@@ -171,7 +154,7 @@ def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, doc, key, start, n, lost) of each path of edges with repeated anchors."""
-    for part in _parts(batches, _sizes_unpacked):
+    for part in pieces(batches, 2, _sizes_unpacked):
         keys, docs = _documents(part)
         texts = _Texts(_unpacked(part))
         edges = texts.edges()
@@ -210,7 +193,7 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same for each edge of the paths listed in ``spans``, as paths of one."""
-    for part in _parts(batches, _sizes_unpacked):
+    for part in pieces(batches, 2, _sizes_unpacked):
         keys, docs = _documents(part)
         texts = _Texts(_unpacked(part))
         spans, row = _lists(part.column("spans"))

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import char_ngrams, numbered, on_executors, sample_order, sums_by, utf8
+from tidemark.llm.common import char_ngrams, numbered, on_executors, pieces, sample_order, sums_by, utf8
 
 TRAIN_TEXTS = 1000
 TRAIN_CHARS = 40_000
@@ -198,7 +198,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
-        for batch in batches:
+        for batch in pieces(batches, 1):
             numbers, words = numbered(utf8(batch.column(1)))
             logits = m.word_logits(words)
             scores = [m.score(logits[d]) for d in numbers]
