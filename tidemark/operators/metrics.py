@@ -277,11 +277,16 @@ def hourly_metrics(events: DataFrame, dimensions: tuple[str, ...] = ("user_segme
     )
 
 
-def all_metrics(events: DataFrame) -> DataFrame:
-    """The whole metric table of a batch of events."""
+def all_metrics(events: DataFrame, plain: DataFrame | None = None) -> DataFrame:
+    """The whole metric table of a batch of events.
+
+    ``plain`` are the same events before they were joined with dimensions; the
+    metrics without one then spare the joins.
+    """
+    plain = events if plain is None else plain
     return (
-        summary_1m(events)
-        .unionByName(rates_5m(events))
+        summary_1m(plain)
+        .unionByName(rates_5m(plain))
         .unionByName(time_on_page_5m(events))
         .unionByName(hourly_metrics(events))
     )

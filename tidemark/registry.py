@@ -308,7 +308,7 @@ def c8_top_products_1h(spark, sf):
 
 @query
 def c_all_metrics(spark, sf):
-    return m.all_metrics(clean(spark, sf, user=True, product=True))
+    return m.all_metrics(clean(spark, sf, user=True, product=True), clean(spark, sf))
 
 
 # -- streaming ------------------------------------------------------------------
