@@ -110,3 +110,47 @@ def test_nothing_to_learn_from(spark):
     assert model.trees is None
     assert pii.find(empty(spark), model).collect() == []
     assert len(pii.find(documents(spark), model).collect()) == 14
+
+
+def added_in_disguise(model, texts, seed=5):
+    """Of each kind, how many finds of the texts are added once they are disguised, and how many finds there are."""
+    rng = random.Random(seed)
+    found, total = dict.fromkeys(pii.KINDS, 0), dict.fromkeys(pii.KINDS, 0)
+    for text in texts:
+        for kind, spans in pii.base_spans(text).items():
+            for start, end in spans:
+                other = text[:start] + pii._disguised(kind, text[start:end], rng) + text[end:]
+                more = pii.added_spans(model, other, pii.base_spans(other))
+                total[kind] += 1
+                found[kind] += any(s <= start < e for s, e in more[kind])
+    return found, total
+
+
+def test_disguised_data_of_the_supplied_documents_is_added(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = pii.fit(docs)
+    texts = [r["text"] or "" for r in docs.collect()]
+    found, total = added_in_disguise(model, texts)
+    assert all(total.values()) and all(found[k] >= 0.6 * total[k] for k in pii.KINDS), (found, total)
+    assert not any(any(pii.added_spans(model, t, pii.base_spans(t)).values()) for t in texts)
+
+
+@pytest.mark.parametrize("share", [0.0, 1.0])
+def test_rare_and_always_disguised_data_is_added(share):
+    rng = random.Random(8)
+    texts = [prose(i, 30) for i in range(40)]
+    for i in range(200, 360):
+        text = personal(i)
+        (kind, (start, end)), *_ = [(k, s) for k, v in pii.base_spans(text).items() for s in v]
+        if rng.random() < share:
+            texts.append(text[:start] + pii._disguised(kind, text[start:end], rng) + text[end:])
+    found, total = added_in_disguise(pii.train(texts), [personal(i) for i in range(5000, 5300)])
+    assert all(found[k] >= 0.6 * total[k] for k in pii.KINDS), (found, total)
+
+
+def test_long_texts_teach_by_pieces(spark):
+    long = f"{prose(1, 20_000)} a.b@c.example.com {prose(2, 20_000)}"
+    parts = pii.excerpts(long)
+    assert any("a.b@c.example.com" in p for p in parts) and sum(map(len, parts)) <= pii.TRAIN_CHARS
+    model = pii.fit(documents(spark, [(1, long, "en", "a", len(long))]))
+    assert max(model.thresholds.values()) <= 1

@@ -9,9 +9,14 @@ what is added. Nothing marks personal data in the tables, so the trees learn
 from the fixed patterns' finds, rewritten as people disguise them, against the
 candidates beside them and numbers of other kinds.
 
-Training takes at most ``TRAIN_TEXTS`` texts that hold a digit or an at sign, of
-at most ``TRAIN_CHARS`` characters; where they show too little of a kind, nothing
-of it is added. Every text is searched whole. A null text counts as empty.
+Training takes at most ``TRAIN_TEXTS`` texts, the same number for each kind from
+all that hold a find of it, and as many with other candidates and with none; of a
+text over ``TRAIN_CHARS`` characters it takes pieces around its finds. Where a
+kind has few finds, made-up ones are put into the texts, so the size of a table
+and how rare a kind is do not switch it off. Candidates that may be hidden data
+already teach nothing. Every find is disguised several times and judged by trees
+that did not see its text. Every text is searched whole. A null text counts as
+empty; without any text nothing is added.
 Every row is searched on its own, repeated ones alike. Of overlapping
 candidates the likelier stays, then the earlier; none overlaps a fixed find.
 Offsets are code points, ends exclusive.
@@ -24,18 +29,24 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import on_executors, pieces, sample_order
+from tidemark.llm.common import on_executors, pieces, sample_order, written
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_TEXTS = 2000
 TRAIN_CHARS = 40_000
 PRECISION = 0.98
-_MIN_HELD = 20
+_FOLDS = 4
+_DISGUISES = 4  # of each find
+_FINDS = (150, 500)  # of a kind in training: made-up ones are added up to the first, a sample is drawn above the second
+_OTHERS = 4000  # candidates beside the finds in training, at most
+_NEAR = 120  # characters around a find that its example keeps
+_GROUPS = 6  # texts by kind, with other candidates, with none
 
 Span = tuple[int, int]
 
@@ -48,7 +59,7 @@ _DIGIT = re.compile(r"[0-9]")
 
 _AT = re.compile(r"@|[(\[{] ?at ?[)\]}]| at ")
 _WRITTEN_DOMAIN = re.compile(r" ?[A-Za-z0-9-]{1,63}(?:(?:\.| ?[(\[{] ?(?:dot|\.) ?[)\]}] ?| dot )[A-Za-z0-9-]{1,63}){1,6}")
-_WRITTEN_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
+_WRITTEN_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:(?: ?[(\[{] ?(?:dot|\.) ?[)\]}] ?| dot )[A-Za-z0-9._%+-]{1,64}){0,3}\Z")
 _GENERATORS = (
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?[\[(]?\.[\])]? ?[0-9]{1,3}){3}(?![0-9])")),
     ("card", re.compile(r"(?<![0-9])[0-9](?:[ ./_–-]{0,2}[0-9]){12,18}(?![0-9])")),
@@ -112,7 +123,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     out = []
     for at in _AT.finditer(text):
         domain = _WRITTEN_DOMAIN.match(text, at.end())
-        head = text[max(0, at.start() - 66) : at.start()]
+        head = text[max(0, at.start() - 100) : at.start()]
         local = _WRITTEN_LOCAL.search(head.rstrip(" ")) if domain else None
         if local:
             out.append(("email", at.start() - len(head) + local.start(), domain.end()))
@@ -248,47 +259,111 @@ def _other_number(rng: random.Random) -> str:
     )
 
 
+def _other_phrase(rng: random.Random) -> str:
+    """Phrases that only look like a written-out address."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
+    return rng.choice(
+        [
+            f"{word()} at {word()}.{word()}",
+            f"{word()} at {rng.randint(1, 23)}.{rng.randint(10, 59)}",
+            f"{rng.randint(1, 99)} @ {rng.randint(1, 99)}.{rng.randint(10, 99)}",
+            f"{word()} at {word()}.{rng.choice(['com', 'org', 'net', 'de'])}",
+            f"{word()} @ {word()}.{word()}",
+        ]
+    )
+
+
+def _made_up(kind: str, rng: random.Random) -> str:
+    """A find of the fixed patterns that stands in no text."""
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
+    if kind == "email":
+        local = rng.choice([word(), f"{word()}.{word()}", f"{word()}{d(2)}", f"{word()}.{d(2)}", f"{word()}_{word()}"])
+        return f"{local}@{word()}{rng.choice(['', d(1)])}.{rng.choice(['com', 'org', 'net', 'de', 'co.uk', 'example.com'])}"
+    if kind == "ip":
+        return ".".join(str(rng.randint(0, 255)) for _ in range(4))
+    if kind == "card":
+        while not luhn(digits := f"{rng.randint(3, 6)}{d(rng.choice([14, 15, 15, 15]))}"):
+            pass
+        return digits
+    return f"+{rng.randint(1, 99)} ({d(3)}) {d(3)}-{d(4)}"
+
+
+_GROUPED_PHONE = re.compile(r"(?:00[0-9]{1,3} ?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-]?[0-9]{4}\Z")
+
+
+def _hidden(kind: str, span: str) -> bool:
+    """Whether a candidate turns into a find when its disguise is undone."""
+    if kind == "email":
+        plain = re.sub(r" ?[(\[{] ?(?:dot|\.) ?[)\]}] ?| dot ", ".", re.sub(r" ?[(\[{] ?at ?[)\]}] ?| at ", "@", span))
+    elif kind == "ip":
+        plain = re.sub(r"[^0-9.]", "", span)
+    elif kind == "card":
+        plain = _only_digits(span)
+    else:
+        return bool(_GROUPED_PHONE.match(span))
+    return base_spans(plain)[kind] == [(0, len(plain))]
+
+
 def _overlaps(start: int, end: int, spans: list[Span]) -> bool:
     return any(start < e and s < end for s, e in spans)
 
 
-def examples(text: str, rng: random.Random) -> list[tuple[list[float], int]]:
-    """Candidates of one text with a label: found ones in disguise, others beside them and made-up numbers."""
-    found = base_spans(text)
-    flat = [s for spans in found.values() for s in spans]
-    out = [(features(k, s, e, text), 0) for k, s, e in candidates(text) if not _overlaps(s, e, flat)]
-    for kind, spans in found.items():
-        for start, end in spans:
-            for label, written in ((1, _disguised(kind, text[start:end], rng)), (0, _other_number(rng))):
-                other = text[:start] + written + text[end:]
-                near = max(0, start - 80), start + len(written) + 80
-                for k, s, e in candidates(other[near[0] : near[1]]):
-                    s, e = s + near[0], e + near[0]
-                    if s < start + len(written) and start < e and (not label or (k == kind and s <= start and e >= start + len(written))):
-                        out.append((features(k, s, e, other), label))
+def _other_examples(text: str, found: dict[str, list[Span]]) -> list[tuple[list[float], int]]:
+    """Candidates of a text that are no finds, not even hidden ones."""
+    taken = sorted(s for spans in found.values() for s in spans)
+    return [(features(k, s, e, text), 0) for k, s, e in candidates(text) if not _near_overlap(s, e, taken) and not _hidden(k, text[s:e])]
+
+
+def _find_examples(kind: str, before: str, span: str, after: str, rng: random.Random) -> list[tuple[list[float], int]]:
+    """Candidates where a find stood: the find in several disguises, and what only looks like one."""
+    out = []
+    for _ in range(_DISGUISES):
+        other = _other_phrase(rng) if kind == "email" and rng.random() < 0.5 else _other_number(rng)
+        for label, written in ((1, _disguised(kind, span, rng)), (0, other)):
+            text, start, end = before + written + after, len(before), len(before) + len(written)
+            for k, s, e in candidates(text):
+                if s < end and start < e and (not label or (k == kind and s <= start and e >= end)):
+                    out.append((features(k, s, e, text), label))
     return out
 
 
 def train(texts: list[str], seed: int = 17) -> Model:
-    rng = random.Random(seed)
-    rows = [(i % 4 == 0, *example) for i, text in enumerate(texts) for example in examples(text, rng)]
-    if len({r[2] for r in rows if not r[0]}) < 2:
+    if not texts:
         return Model(None, {})
+    rng = random.Random(seed)
+    others: list[tuple[int, list[float], int]] = []
+    finds: dict[str, list[tuple[int, str, str, str]]] = {kind: [] for kind in KINDS}
+    for i, text in enumerate(texts):
+        found = base_spans(text)
+        others += [(i % _FOLDS, *example) for example in _other_examples(text, found)]
+        for kind, spans in found.items():
+            finds[kind] += [(i % _FOLDS, text[max(0, s - _NEAR) : s], text[s:e], text[e : e + _NEAR]) for s, e in rng.sample(spans, min(20, len(spans)))]
+    rows = rng.sample(others, min(_OTHERS, len(others)))
+    for kind, some in finds.items():
+        for n in range(_FINDS[0] - len(some)):
+            text = rng.choice(texts)
+            at = text.find(" ", rng.randint(0, len(text)))
+            at = len(text) if at < 0 else at
+            some.append((n % _FOLDS, f"{text[max(0, at - _NEAR) : at]} ", _made_up(kind, rng), text[at : at + _NEAR]))
+        for fold, before, span, after in rng.sample(some, min(_FINDS[1], len(some))):
+            rows += [(fold, *example) for example in _find_examples(kind, before, span, after, rng)]
     x = np.array([r[1] for r in rows], float)
     y = np.array([r[2] for r in rows], float)
-    held = np.array([r[0] for r in rows], bool)
-    trees = boost(x[~held], y[~held])
-    chance = trees.chance(x[held]) if held.any() else np.zeros(0)
+    fold = np.array([r[0] for r in rows])
+    chance = np.zeros(len(rows))
+    for f in range(_FOLDS):
+        chance[fold == f] = boost(x[fold != f], y[fold != f]).chance(x[fold == f])
     thresholds = {}
     for i, kind in enumerate(KINDS):
-        own = x[held][:, i] > 0
-        p, truth = chance[own], y[held][own]
+        own = x[:, i] > 0
+        p, truth = chance[own], y[own]
         order = np.argsort(-p, kind="stable")
         right, n = np.cumsum(truth[order]), np.arange(1, len(p) + 1)
         # One more error than seen, so that few finds never look precise.
         good = np.flatnonzero((right / (n + 1) >= PRECISION) & (np.append(p[order][1:], -1) < p[order]))
-        thresholds[kind] = max(0.5, float(p[order][good[-1]])) if len(good) and truth.sum() >= _MIN_HELD else 2.0
-    return Model(trees, thresholds)
+        thresholds[kind] = max(0.5, float(p[order][good[-1]])) if len(good) else 2.0
+    return Model(boost(x, y), thresholds)
 
 
 def added_spans(model: Model, text: str, base: dict[str, list[Span]]) -> dict[str, list[Span]]:
@@ -323,12 +398,53 @@ def joined(spans: dict[str, list[Span]]) -> str:
     return ",".join(f"{kind}:{s}:{e}" for kind in KINDS for s, e in spans[kind])
 
 
+def _groups(text: str) -> int:
+    """The groups a text belongs to as bits: the kinds it has finds of, else whether it has other candidates."""
+    found = base_spans(text)
+    bits = sum(1 << i for i, kind in enumerate(KINDS) if found[kind])
+    return bits or 1 << len(KINDS) + (not candidates(text))
+
+
+def excerpts(text: str, n_chars: int = TRAIN_CHARS) -> list[str]:
+    """The text, or of a longer one pieces around a find of each kind and a candidate, cut at white space."""
+    if len(text) <= n_chars:
+        return [text]
+    found = base_spans(text)
+    centres = {spans[len(spans) // 2][0] for spans in found.values() if spans}
+    centres |= {s for _, s, _ in candidates(text)[:1]} or {len(text) // 2}
+    half = n_chars // (2 * _GROUPS)
+    out = []
+    for at in sorted(centres):
+        start, end = max(0, at - half), min(len(text), at + half)
+        piece = text[start:end]
+        head = piece.find(" ", 0, half // 2) + 1 if start else 0
+        tail = piece.rfind(" ", len(piece) - half // 2) if end < len(text) else -1
+        out.append(piece[head : tail if tail > 0 else len(piece)])
+    return out
+
+
 def fit(docs: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars: int = TRAIN_CHARS) -> Model:
-    """Train on a bounded sample of texts that may hold personal data."""
-    texts = docs.select("text").where(F.col("text").rlike("[0-9@]") & (F.length("text") <= n_chars))
-    order = sample_order("text")
-    keys = texts.select(order.alias("key")).distinct().orderBy("key").limit(n_texts)
-    rows = texts.join(F.broadcast(keys), order == F.col("key")).select("text").distinct().collect()
+    """Train on a bounded sample of the texts of each group; which those are is found over all documents."""
+    texts = docs.select(sample_order("text").alias("key"), "text").where(F.length("text") > 0)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            bits = [_groups(text) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int32())], ["key", "bits"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 0):
+            parts = [part for text in batch.column(0).to_pylist() for part in excerpts(text, n_chars)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string())], ["text"])
+
+    known = written(texts.mapInArrow(judged, "key long, bits int").distinct(), "personal-data-groups")
+    picked = [
+        known.where(F.col("bits").bitwiseAND(F.lit(1 << g)) != 0).select("key").orderBy("key").limit(max(1, n_texts // _GROUPS))
+        for g in range(_GROUPS)
+    ]
+    keys = F.broadcast(reduce(DataFrame.union, picked).distinct())
+    # One row of a text, however often it is repeated; the cut comes after the join, so it sees few texts.
+    rows = texts.join(keys, "key").select("text").mapInArrow(cut, "text string").distinct().collect()
     return train(sorted(r["text"] for r in rows))
 
 
