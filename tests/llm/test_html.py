@@ -60,3 +60,21 @@ def test_odd_rows(spark):
     got = extract(spark.createDataFrame(rows, PAGES).selectExpr("*", "1 AS text", "2 AS n_chars")).collect()
     assert sorted(map(tuple, got), key=str) == [(1, None, "", 0), (1, None, "", 0), (None, "u", "\U0001f600é", 2)]
     assert extract(empty(spark, PAGES)).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<div class='content-sidebar-wrap'><main><p>{LONG}</p></main><div class=sidebar>{LONG}</div></div>", LONG.strip()),
+        (f"<article class='post comments-open'><h1>T</h1><p>{LONG}</p></article>", f"T\n{LONG.strip()}"),
+        (f"<div class='site has-sidebar'><p>{LONG}</p><p>{LONG}</p><aside>{LONG}</aside></div>", f"{LONG.strip()}\n{LONG.strip()}"),
+        (f"<main><h1>T</h1><div id='page-with-nav'><div class=nav>x</div><p>{LONG}</p></div></main>", f"T\n{LONG.strip()}"),
+        (f"<div class='page has-header'><p>{LONG}</p></div>", LONG.strip()),
+        (f"<form id=f><p>{LONG}</p></form>", LONG.strip()),
+        (f"<article><p>short.</article><div class=comments>{LONG}</div>", "short."),
+        (f"<p>one <span class=ad>buy</span> two. {LONG}</p>", f"one\ntwo. {LONG.strip()}"),
+        (f"<p>one <span class=share-row>{LONG}</span> two</p>", f"one {LONG.strip()} two"),
+    ],
+)
+def test_words_of_wrappers_exclude_no_page(html, text):
+    assert main_text(html) == text

@@ -5,7 +5,11 @@ root. Text length and punctuation are added up over the blocks of a path and
 divided by their number; the two ratios are fused on a log scale, smoothed along
 the page, and paths above a share of the page's best are content. What an
 element says about itself enters as a factor of its paths: none for navigation,
-notices, adverts, forms and the like, a higher one inside an article.
+notices, adverts, forms and the like, a higher one inside an article. Words in
+class, id or role, and forms, exclude nothing that is or has an article or main:
+wrappers of whole pages carry such words too. Nor do they exclude what has most
+of the page's unlinked text, unless that stands beside an article or main; there
+the ratios decide.
 
 A null html is empty and gives an empty text; so does a page without text of its
 own. Broken markup is read as browsers do: elements left open end with their
@@ -35,7 +39,7 @@ _BLOCK = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea noscript template iframe svg object select button canvas audio video".split())
-_NO_CONTENT = frozenset("head title nav footer aside form dialog menu search".split())
+_NO_CONTENT = frozenset("head title nav footer aside dialog menu search".split())
 _ARTICLE = frozenset(("article", "main"))
 # An element of these names ends when another of its list begins.
 _SIBLINGS = {name: names for names in (("li",), ("dt", "dd"), ("td", "th"), ("tr",), ("option",)) for name in names}
@@ -60,25 +64,66 @@ _SMOOTHING = (0.25, 0.5, 0.25)
 @dataclass
 class Block:
     path: tuple[str, ...]
-    factor: float
+    element: int
+    inline: bool  # whether only the border of an inline element parts it from the block before
+    factor: float = 1.0
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
-def _factor(name: str, attributes: str, above: float) -> float:
-    """An element's factor for the paths through it: 0 once anything above has none."""
-    if not above or name in _NO_CONTENT:
-        return 0.0
-    if name == "header" and above < ARTICLE_FACTOR:
-        return 0.0
+@dataclass
+class Element:
+    """What an element that may change the factor says about itself."""
+
+    above: int
+    name: str
+    gone: bool = False  # it has no content in any case
+    around: bool = False  # its names are of what surrounds an article
+    header: bool = False
+    unlinked: int = 0
+    article: bool = False  # it is or has one
+
+
+def _element(name: str, attributes: str, above: int) -> Element | None:
+    """The element, if it may change the factor of the paths through it."""
+    out = Element(above, name, gone=name in _NO_CONTENT, around=name == "form", header=name == "header")
     if attributes:
         names = " ".join(m.strip("\"'") for m in _NAMED.findall(attributes)).lower()
-        if names and name not in ("html", "body") and (_AROUND.search(names) or (above < ARTICLE_FACTOR and _HEADER.search(names))):
-            return 0.0
-        if _HIDDEN.search(attributes):
-            return 0.0
-    return ARTICLE_FACTOR if name in _ARTICLE else above
+        if names and name not in ("html", "body"):
+            out.around |= bool(_AROUND.search(names))
+            out.header |= bool(_HEADER.search(names))
+        out.gone |= bool(_HIDDEN.search(attributes))
+    return out if out.gone or out.around or out.header or name in _ARTICLE else None
+
+
+def _factors(elements: list[Element], page: list[Block]) -> list[float]:
+    """Each element's factor for the paths through it: 0 once anything above has none."""
+    for block in page:
+        elements[block.element].unlinked += max(0, len(block.text) - block.linked)
+    for e in elements[:0:-1]:  # elements come before what they have
+        if not e.gone:
+            elements[e.above].unlinked += e.unlinked
+            elements[e.above].article |= e.article or e.name in _ARTICLE
+    # The articles with text of their own, and how many of them each element is in.
+    live = [e.name in _ARTICLE and e.unlinked > 0 for e in elements]
+    inside, lost = [0], [False]
+    for e, own in zip(elements[1:], live[1:], strict=True):
+        lost.append(lost[e.above] or e.gone)
+        inside.append(inside[e.above] + (own and not lost[-1]))
+    n_articles = sum(own and not off for own, off in zip(live, lost, strict=True))
+    out = [1.0]
+    for i, e in enumerate(elements[1:], 1):
+        above = out[e.above]
+        if not above or e.gone or (e.name == "header" and above < ARTICLE_FACTOR):
+            out.append(0.0)
+        elif e.name in _ARTICLE:
+            out.append(ARTICLE_FACTOR)
+        else:
+            named = e.around or (e.header and above < ARTICLE_FACTOR)
+            most = 2 * e.unlinked > elements[0].unlinked and inside[i] == n_articles
+            out.append(0.0 if named and not e.article and not most else above)
+    return out
 
 
 def _raw_end(html: str, lower: str, name: str, at: int) -> int:
@@ -93,29 +138,35 @@ def _raw_end(html: str, lower: str, name: str, at: int) -> int:
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page, in order; a block has the text between two borders of block elements."""
     lower = html.lower() if len(html.lower()) == len(html) else html
-    stack: list[tuple[str, tuple[str, ...], float]] = []
+    stack: list[tuple[str, tuple[str, ...], int]] = []
+    elements = [Element(0, "")]
     open_: Counter[str] = Counter()
     out: list[Block] = []
     now: Block | None = None
+    inline = False
 
     def add(text: str) -> None:
         nonlocal now
         if now is None:
-            if not text.strip():
+            if not inline and not text.strip():
                 return
-            _, path, factor = stack[-1] if stack else ("", (), 1.0)
-            out.append(now := Block(path, factor))
+            _, path, element = stack[-1] if stack else ("", (), 0)
+            out.append(now := Block(path, element, inline))
         now.parts.append(text)
         if open_["a"]:
             now.linked += len(text)
 
+    def border(name: str) -> None:
+        nonlocal now, inline
+        inline = name not in _BLOCK and (inline or now is not None)
+        now = None
+
     def leave(name: str) -> None:
-        nonlocal now
         while stack:
             top = stack.pop()
             open_[top[0]] -= 1
-            if top[0] in _BLOCK:
-                now = None
+            if top[0] in _BLOCK or top[2] != (stack[-1][2] if stack else 0):
+                border(top[0])
             if top[0] == name:
                 return
 
@@ -161,10 +212,10 @@ def blocks(html: str) -> list[Block]:
             continue
         if name in _VOID:
             if name == "hr":
-                now = None
+                border(name)
             continue
         if name in _BLOCK:
-            now = None
+            border(name)
             if open_["p"]:
                 leave("p")
             for sibling in _SIBLINGS.get(name, ()):
@@ -172,15 +223,31 @@ def blocks(html: str) -> list[Block]:
                     leave(sibling)
         elif attributes.endswith("/"):
             continue
-        _, path, above = stack[-1] if stack else ("", (), 1.0)
-        factor = _factor(name, attributes, above)
-        if factor != above and name not in _BLOCK:
-            now = None
-        stack.append((name, (*path[-31:], name) if name in _BLOCK else path, factor))
+        _, path, at_element = stack[-1] if stack else ("", (), 0)
+        if found := _element(name, attributes, at_element):
+            at_element = len(elements)
+            elements.append(found)
+            if name not in _BLOCK:
+                border(name)
+        stack.append((name, (*path[-31:], name) if name in _BLOCK else path, at_element))
         open_[name] += 1
     for block in out:
-        block.text = " ".join(unescape("".join(block.parts)).split())
-    return [block for block in out if block.text]
+        block.text = _plain(block.parts)
+    factor = _factors(elements, out)
+    joined: list[Block] = []
+    for block in out:
+        block.factor = factor[block.element]
+        if block.inline and joined and joined[-1].factor == block.factor and joined[-1].path == block.path:
+            joined[-1].parts += block.parts
+            joined[-1].linked += block.linked
+            joined[-1].text = _plain(joined[-1].parts)
+        else:
+            joined.append(block)
+    return [block for block in joined if block.text]
+
+
+def _plain(parts: list[str]) -> str:
+    return " ".join(unescape("".join(parts)).split())
 
 
 def scores(page: list[Block]) -> list[float]:
@@ -213,10 +280,10 @@ def main_text(html: str, threshold: float = THRESHOLD) -> str:
     score = scores(page)
     least = threshold * max(score, default=0.0)
     content = [s > 0 and s >= least for s in score]
-    # What stands between or beside content in one article belongs to it, however short.
-    for order in (range(1, len(page)), range(len(page) - 2, -1, -1)):
-        for i in order:
-            j = i - 1 if order.step > 0 else i + 1
+    # What stands between or beside content in one article belongs to it, however short; what is excluded parts nothing.
+    inner = [i for i, b in enumerate(page) if b.factor]
+    for order in (inner, inner[::-1]):
+        for j, i in zip(order, order[1:]):
             content[i] |= content[j] and page[i].factor == page[j].factor == ARTICLE_FACTOR
     return "\n".join(b.text for b, c in zip(page, content, strict=True) if c)
 
