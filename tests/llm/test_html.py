@@ -78,3 +78,18 @@ def test_odd_rows(spark):
 )
 def test_words_of_wrappers_exclude_no_page(html, text):
     assert main_text(html) == text
+
+
+@pytest.mark.parametrize(
+    "short",
+    [
+        f"<ul>{''.join(f'<li>list item number {i}' for i in range(6))}</ul>",
+        f"<table>{''.join(f'<tr><td>{i}<td>cell' for i in range(6))}</table>",
+        "<h2>One</h2><h3>Two</h3><h4>Three</h4><h5>Four</h5>",
+        "<div>one</div><div>two</div><div>three</div><div>four</div>",
+    ],
+)
+def test_short_blocks_between_content_stay_without_an_article(short):
+    parts = [" ".join(p.split()) for p in re.split("<[^>]*>", short)]
+    want = "\n".join([LONG.strip(), *filter(None, parts), LONG.strip()])
+    assert main_text(f"<nav>{LONG}</nav><div><p>{LONG}</p>{short}<div class=ad>{LONG}</div><p>{LONG}</p></div><footer>{LONG}</footer>") == want

@@ -3,7 +3,8 @@
 A page is cut into text blocks, each with the path of block elements from the
 root. Text length and punctuation are added up over the blocks of a path and
 divided by their number; the two ratios are fused on a log scale, smoothed along
-the page, and paths above a share of the page's best are content. What an
+the page, and paths above a share of the page's best are content, with what
+stands between two of their blocks in one container. What an
 element says about itself enters as a factor of its paths: none for navigation,
 notices, adverts, forms and the like, a higher one inside an article. Words in
 class, id or role, and forms, exclude nothing that is or has an article or main:
@@ -25,6 +26,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +45,8 @@ _NO_CONTENT = frozenset("head title nav footer aside dialog menu search".split()
 _ARTICLE = frozenset(("article", "main"))
 # An element of these names ends when another of its list begins.
 _SIBLINGS = {name: names for names in (("li",), ("dt", "dd"), ("td", "th"), ("tr",), ("option",)) for name in names}
+# Elements that are parts of the container around them.
+_PARTS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup section li ul ol dl dt dd tr td th tbody thead tfoot pre blockquote figure figcaption hr".split())
 # Words in class, id or role that name what surrounds an article.
 _AROUND = re.compile(
     r"(?<![a-z])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|notices?|alert|"
@@ -66,6 +70,7 @@ class Block:
     path: tuple[str, ...]
     element: int
     inline: bool  # whether only the border of an inline element parts it from the block before
+    containers: tuple[int, ...] = ()  # numbers of the elements it is a part of
     factor: float = 1.0
     parts: list[str] = field(default_factory=list)
     linked: int = 0
@@ -138,7 +143,8 @@ def _raw_end(html: str, lower: str, name: str, at: int) -> int:
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page, in order; a block has the text between two borders of block elements."""
     lower = html.lower() if len(html.lower()) == len(html) else html
-    stack: list[tuple[str, tuple[str, ...], int]] = []
+    stack: list[tuple[str, tuple[str, ...], int, tuple[int, ...]]] = []
+    numbers = count(1)
     elements = [Element(0, "")]
     open_: Counter[str] = Counter()
     out: list[Block] = []
@@ -150,8 +156,8 @@ def blocks(html: str) -> list[Block]:
         if now is None:
             if not inline and not text.strip():
                 return
-            _, path, element = stack[-1] if stack else ("", (), 0)
-            out.append(now := Block(path, element, inline))
+            _, path, element, containers = stack[-1] if stack else ("", (), 0, (0,))
+            out.append(now := Block(path, element, inline, containers))
         now.parts.append(text)
         if open_["a"]:
             now.linked += len(text)
@@ -223,13 +229,17 @@ def blocks(html: str) -> list[Block]:
                     leave(sibling)
         elif attributes.endswith("/"):
             continue
-        _, path, at_element = stack[-1] if stack else ("", (), 0)
+        _, path, at_element, containers = stack[-1] if stack else ("", (), 0, (0,))
         if found := _element(name, attributes, at_element):
             at_element = len(elements)
             elements.append(found)
             if name not in _BLOCK:
                 border(name)
-        stack.append((name, (*path[-31:], name) if name in _BLOCK else path, at_element))
+        if name in _PARTS:
+            containers = containers[:1]
+        elif name in _BLOCK:  # its own text may be one part among others of the element around it
+            containers = (next(numbers), containers[0])
+        stack.append((name, (*path[-31:], name) if name in _BLOCK else path, at_element, containers))
         open_[name] += 1
     for block in out:
         block.text = _plain(block.parts)
@@ -280,6 +290,14 @@ def main_text(html: str, threshold: float = THRESHOLD) -> str:
     score = scores(page)
     least = threshold * max(score, default=0.0)
     content = [s > 0 and s >= least for s in score]
+    # So does what stands between content in one container.
+    last = {c: i for i, b in enumerate(page) if content[i] for c in b.containers}
+    until = -1
+    for i, b in enumerate(page):
+        if content[i]:
+            until = max(until, *(last[c] for c in b.containers))
+        elif i < until and b.factor:
+            content[i] = True
     # What stands between or beside content in one article belongs to it, however short; what is excluded parts nothing.
     inner = [i for i, b in enumerate(page) if b.factor]
     for order in (inner, inner[::-1]):
