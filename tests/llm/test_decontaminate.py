@@ -82,3 +82,20 @@ def test_odd_rows(spark):
         str(r[0]) for r in odd_rows() if r[0] not in (5, 6, 7)
     )
     assert d.find(empty(spark), items).collect() == [] and d.find(documents(spark), empty(spark, ITEMS)).collect() == []
+
+
+def test_long_runs_and_short_items(spark):
+    item, long = unique("q", 59), unique("r", 1000)
+    other = prose(1, 200)
+    rows = [
+        (1, f"{other} {' '.join(item[:29])} {other}"),
+        (2, f"{other} {' '.join(long[300:800])} {other}"),
+        (3, f"{' '.join(long[:20])} {other} {' '.join(long[40:60])}"),  # no run is long enough
+        (4, f"{other} S1, s2 s3! {other} t0 t1 t2 t3"),
+        (5, "s1 s2 x s3 s2 s3 t0 t1 t2"),
+    ]
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long)), (3, "s1 s2 s3"), (4, "t0 t1 t2 t3")], ITEMS)
+    got = {(r["doc_id"], r["item_id"]): (r["coverage"], r["tiles"], r["longest"]) for r in d.find(docs, items).collect()}
+    assert got == {(1, 1): (29 / 59, 1, 29), (2, 2): (0.5, 1, 500), (4, 3): (1.0, 1, 3), (4, 4): (1.0, 1, 4)}
+    assert sorted(r["doc_id"] for r in d.clean(docs, items).collect()) == [3, 5]

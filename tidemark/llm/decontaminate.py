@@ -6,9 +6,13 @@ that nothing covers yet are marked, again and again, down to the length of a
 seed; running Karp-Rabin hashes find them. The share of the item under tiles does
 not depend on their order, so reordered passages count in full.
 
+A pair is listed where the tiles cover enough of the item, or where one of them
+has ``LONG_RUN`` words: a long verbatim passage counts, however long its item.
+Items of fewer than ``MIN_MATCH`` words match as a whole; those of fewer than
+``SHORTEST`` name nothing and never match.
+
 Words are compared in lower case and without the punctuation around them. Null
-texts count as empty. Items of fewer than ``MIN_MATCH`` words name nothing and
-never match. The benchmark is read in slices of bounded size, each compared with
+texts count as empty. The benchmark is read in slices of bounded size, each compared with
 all texts, so neither its size nor that of the texts has a limit. Every row is
 compared on its own, repeated ones alike; a pair of ids is listed once for each
 pair of rows. Without texts or items the result is empty.
@@ -27,7 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import mix64, n_words, numbered, on_executors, pieces, utf8
 
 MIN_MATCH = 5
+SHORTEST = 3
 COVERAGE = 0.6
+LONG_RUN = 25
 SLICE_WORDS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 FOUND = "doc_id long, item_id long, coverage double, tiles int, longest int"
@@ -150,6 +156,9 @@ class Slice:
     seeds: np.ndarray  # hashes, sorted
     seed_item: np.ndarray
     seed_place: np.ndarray
+    short: dict[int, dict[int, list[int]]]  # by length and hash, the numbers of items shorter than a seed
+    short_ids: list[int | None]
+    short_items: list[np.ndarray]
 
 
 def make_slice(rows: list[tuple[int | None, bytes]], least: int = MIN_MATCH) -> Slice:
@@ -157,6 +166,10 @@ def make_slice(rows: list[tuple[int | None, bytes]], least: int = MIN_MATCH) ->
     vocabulary: dict[bytes, int] = {}
     at = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in _plain(words)], np.int64)
     pairs = [(i, at[n]) for (i, _), n in zip(rows, numbers, strict=True) if len(n) >= least]
+    few = [(i, at[n]) for (i, _), n in zip(rows, numbers, strict=True) if SHORTEST <= len(n) < least]
+    short: dict[int, dict[int, list[int]]] = {}
+    for number, (_, item) in enumerate(few):
+        short.setdefault(len(item), {}).setdefault(int(Rolling(item).hashes(len(item))[0]), []).append(number)
     hashes = [Rolling(item).hashes(least) for _, item in pairs]
     seeds = np.concatenate([*hashes, np.zeros(0, np.uint64)])
     order = np.argsort(seeds, kind="stable")
@@ -168,19 +181,39 @@ def make_slice(rows: list[tuple[int | None, bytes]], least: int = MIN_MATCH) ->
         seeds[order],
         np.repeat(np.arange(len(pairs)), counts)[order],
         np.concatenate([*map(np.arange, counts), np.zeros(0, np.int64)]).astype(np.int64)[order],
+        short,
+        [i for i, _ in few],
+        [item for _, item in few],
     )
 
 
-def matches(part: Slice, text: np.ndarray, least: int = MIN_MATCH, coverage: float = COVERAGE) -> list[tuple[int | None, float, int, int]]:
+def _whole(part: Slice, text: np.ndarray) -> list[tuple[int | None, float, int, int]]:
+    """The items shorter than a seed that a text has whole."""
+    found: set[int] = set()
+    for length, starts in part.short.items():
+        at = _free_runs(text >= 0, length)
+        if not len(at):
+            continue
+        hashes = Rolling(text).hashes(length)[at]
+        hit = np.isin(hashes, np.fromiter(starts, np.uint64, len(starts)))
+        for i, h in zip(at[hit].tolist(), hashes[hit].tolist(), strict=True):
+            found.update(n for n in starts[h] if n not in found and np.array_equal(part.short_items[n], text[i : i + length]))
+    return [(part.short_ids[n], 1.0, 1, len(part.short_items[n])) for n in sorted(found)]
+
+
+def matches(
+    part: Slice, text: np.ndarray, least: int = MIN_MATCH, coverage: float = COVERAGE, long_run: int = LONG_RUN
+) -> list[tuple[int | None, float, int, int]]:
     """(item_id, coverage, tiles, longest) of the items a text covers; ``text`` has the words' numbers, -1 for unknown ones."""
+    out = _whole(part, text)
     runs = _free_runs(text >= 0, least)
     if not len(runs) or not len(part.seeds):
-        return []
+        return out
     hashes = Rolling(text).hashes(least)[runs]
     first, last = np.searchsorted(part.seeds, hashes, "left"), np.searchsorted(part.seeds, hashes, "right")
     hit = last > first
     if not hit.any():
-        return []
+        return out
     shared = np.zeros(len(text), bool)
     for i in range(least):
         shared[runs[hit] + i] = True
@@ -193,23 +226,22 @@ def matches(part: Slice, text: np.ndarray, least: int = MIN_MATCH, coverage: flo
     near = text[kept]
     gaps = np.flatnonzero(np.diff(kept) > 1) + 1
     near = np.insert(near, gaps, -1)
-    out = []
     for number, places in zip(items, np.split(part.seed_place[seeds][order], begin[1:]), strict=True):
         item = part.items[number]
         reach = np.zeros(len(item), bool)
         for i in range(least):
             reach[places + i] = True
-        if reach.sum() < coverage * len(item):
+        if reach.sum() < coverage * len(item) and not len(_free_runs(reach, long_run)):
             continue
         tiles = tile(near, item, least)
         share = sum(n for _, _, n in tiles) / len(item)
-        if share >= coverage:
+        if tiles and (share >= coverage or tiles[0][2] >= long_run):
             out.append((part.ids[number], share, len(tiles), tiles[0][2]))
     return out
 
 
 def find(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage: float = COVERAGE, slice_words: int = SLICE_WORDS) -> DataFrame:
-    """(doc_id, item_id, coverage, tiles, longest) of every text that covers an item."""
+    """(doc_id, item_id, coverage, tiles, longest) of every text that covers an item or has a long run of it."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(n_words(F.col("text")))).first()[0] or 0
@@ -242,6 +274,6 @@ def find(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of documents in which no item is covered; rows without a doc_id are judged together."""
+    """The rows of documents in which no item is covered or copied at length; rows without a doc_id are judged together."""
     found = find(docs, benchmark, **how).select(F.col("doc_id").alias("_found")).distinct()
     return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")
