@@ -6,6 +6,7 @@ import pytest
 
 from tests.llm.cases import documents, empty, odd_rows, prose
 from tidemark.llm import language
+from tidemark.llm.common import spread
 
 WORDS = {
     "en": "the of and in to it on be are was for that this by as",
@@ -82,3 +83,19 @@ def test_fit_uses_no_held_out_row(spark):
 def test_nothing_to_learn_from(spark):
     model = language.fit(empty(spark))
     assert {(r["lang_pred"], r["score"]) for r in language.label(documents(spark), model).collect()} == {("und", 0.0)}
+
+
+def test_a_language_of_long_texts_is_learned(spark):
+    words = {"aa": "lorka mitu sanav", "bb": "wexor quid zymph"}
+    rows = [(i, prose(i, 12_000 if lang == "bb" else 60, words[lang]), lang, "s", 0) for i in range(40) for lang in [("aa", "bb")[i % 2]]]
+    assert all(len(r[1]) > language.TRAIN_CHARS for r in rows if r[2] == "bb")
+    model = language.fit(documents(spark, rows))
+    assert model.languages == ["aa", "bb"]
+    assert [x for x, _ in language.predict(model, [prose(900, 30, w).encode() for w in words.values()])] == ["aa", "bb"]
+
+
+def test_pieces_are_spread_and_bounded():
+    text = " ".join(f"w{i:05}" for i in range(20_000))
+    cut = spread(text, 4_000)
+    assert len(cut) <= 4_000 and set(cut.split()) <= set(text.split()) and "w00000" in cut and "w19999" in cut
+    assert spread("short", 4_000) == "short" and len(spread("x" * 9_000, 4_000)) <= 4_000

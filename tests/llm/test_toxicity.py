@@ -75,3 +75,23 @@ def test_nothing_to_learn_from(spark):
     model = toxicity.fit(documents(spark), labels)
     assert all(r["score"] < 0.01 for r in toxicity.score(documents(spark), model).collect())
     assert toxicity.train([b"a", b"b"], [1, 1]).score(np.zeros(3)) > 0.5
+
+
+def test_long_texts_teach(spark):
+    rows = labelled(120, 6)
+    long = {i: " ".join([t.decode()] * (1 + 60_000 // len(t))) for i, (t, y) in enumerate(rows) if y}
+    docs = documents(spark, [(i, long.get(i, t.decode()), "en", "s", 0) for i, (t, _) in enumerate(rows)])
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    model, new = toxicity.fit(docs, labels), labelled(300, 2)
+    numbers, words = toxicity.numbered([t for t, _ in new])
+    logits = model.word_logits(words)
+    scores, toxic = np.array([model.score(logits[d]) for d in numbers]), np.array([y for _, y in new], bool)
+    assert (scores[toxic][:, None] > scores[~toxic]).mean() > 0.9
+
+
+def test_ids_without_a_text_use_up_no_sample(spark):
+    docs = documents(spark, [(i, t.decode(), "en", "s", 0) for i, (t, _) in enumerate(labelled(120, 6))])
+    data = [(i, 1, int(i % 3 == 0)) for i in range(120)]
+    kind = "doc_id long, quality int, toxic int"
+    models = [toxicity.fit(docs, spark.createDataFrame(data + more, kind), n_texts=40) for more in ([], [(i, 1, i % 2) for i in range(1000, 3000)])]
+    assert np.array_equal(models[0].vectors, models[1].vectors)

@@ -172,6 +172,35 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def spread(text: str, n_chars: int, parts: int = 8) -> str:
+    """The text, or of a longer one pieces at even steps, cut at white space where there is some; ``n_chars`` at most."""
+    if len(text) <= n_chars:
+        return text
+    size = max(1, n_chars // parts - 1)
+    out = []
+    for i in range(parts):
+        start = i * (len(text) - size) // (parts - 1)
+        piece = text[start : start + size]
+        head = 0 if not start or text[start - 1].isspace() else next((j for j, c in enumerate(piece[: size // 2], 1) if c.isspace()), 0)
+        end = start + size
+        tail = size if end >= len(text) or text[end].isspace() else next((j for j in range(size - 1, size // 2, -1) if piece[j].isspace()), size)
+        out.append(piece[head:tail])
+    return " ".join(out)
+
+
+def spread_texts(rows: DataFrame, n_chars: int) -> DataFrame:
+    """The rows with their texts cut by ``spread``."""
+    at = rows.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, at):
+            columns = list(batch.columns)
+            columns[at] = pa.array([spread(t, n_chars) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def sums_by(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of the rows of a matrix by group."""
     return np.stack([np.bincount(group, values[:, d], n) for d in range(values.shape[1])], axis=1)

@@ -8,8 +8,8 @@ segments of texts of several languages: that is where the transitions see a
 switch. Marginals come from forward-backward. A text's language is the one with
 the highest mean marginal over its words, and that mean is its score.
 
-Training takes at most ``TRAIN_TEXTS`` texts of each language, of at most
-``TRAIN_CHARS`` characters; prediction takes every text, whole. Null texts and
+Training takes at most ``TRAIN_TEXTS`` texts of each language, of a text over
+``TRAIN_CHARS`` characters pieces spread over it; prediction takes every text, whole. Null texts and
 texts without a letter are ``und`` with score 0, and so is everything where no
 language could be learned. Equal means go to the language that sorts first.
 Every row is labelled on its own, repeated ones alike; null languages and ids
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.llm.common import char_ngrams, mix64, numbered, on_executors, pieces, sample_order, sums_by, utf8
+from tidemark.llm.common import char_ngrams, mix64, numbered, on_executors, pieces, sample_order, spread_texts, sums_by, utf8
 
 TRAIN_TEXTS = 200
 TRAIN_CHARS = 40_000
@@ -229,14 +229,15 @@ def fit(docs: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars: int = TRAIN_CHARS)
     """Train on a bounded sample of the texts of each language."""
     doc_id = F.col("doc_id").cast("long")
     known = docs.select(doc_id.alias("doc_id"), "lang", F.length("text").alias("n")).where(
-        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("n").between(1, n_chars) & ~held_out(F.col("doc_id"))
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("n") > 0) & ~held_out(F.col("doc_id"))
     )
     turn = Window.partitionBy("lang").orderBy(sample_order("doc_id"), "doc_id", "n")
     picked = known.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= n_texts)
     # The sample is bounded by the number of languages, and so is its broadcast.
     picked = F.broadcast(picked.select("doc_id", F.col("lang").alias("_lang"), "n").distinct())
     texts = docs.select(doc_id.alias("doc_id"), "lang", "text", F.length("text").alias("n"))
-    rows = texts.join(picked, ["doc_id", "n"]).where(F.col("lang") == F.col("_lang")).select("lang", "text").collect()
+    rows = texts.join(picked, ["doc_id", "n"]).where(F.col("lang") == F.col("_lang")).select("lang", "text")
+    rows = spread_texts(rows, n_chars).collect()
     rows.sort()
     return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 

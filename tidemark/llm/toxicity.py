@@ -8,8 +8,8 @@ training alternates: the model picks the windows that speak most for the label,
 then learns from those. A text's score is that of its strongest window,
 calibrated on labelled texts left out of training.
 
-Training takes at most ``TRAIN_TEXTS`` labelled texts of each class, of at most
-``TRAIN_CHARS`` characters; scoring takes every text, whole. Null texts count as
+Training takes at most ``TRAIN_TEXTS`` labelled texts of each class, of a text over
+``TRAIN_CHARS`` characters pieces spread over it; scoring takes every text, whole. Null texts count as
 empty; an empty text has no window and gets the calibrated score of the bias.
 Every row is scored on its own, repeated ones alike. Of several labels of one id
 the highest holds; null labels and ids teach nothing. Without labels of both
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import char_ngrams, numbered, on_executors, pieces, sample_order, sums_by, utf8
+from tidemark.llm.common import char_ngrams, numbered, on_executors, pieces, sample_order, spread_texts, sums_by, utf8, written
 
 TRAIN_TEXTS = 1000
 TRAIN_CHARS = 40_000
@@ -184,10 +184,13 @@ def fit(docs: DataFrame, labels: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars:
         .groupBy("doc_id")
         .agg((F.max("toxic") > 0).cast("int").alias("label"))
     )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
+    # Only ids that have a text use up the sample.
+    known = written(texts.select("doc_id").join(known, "doc_id").distinct(), "toxicity-labels")
     picked = [known.where(F.col("label") == c).orderBy(sample_order("doc_id"), "doc_id").limit(n_texts) for c in (0, 1)]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= n_chars)
     # At most 2 * n_texts ids, so the broadcast is bounded.
-    rows = texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "text", "label").collect()
+    rows = texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "text", "label")
+    rows = spread_texts(rows, n_chars).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"], r["label"]))
     return train([r["text"].encode() for r in rows], [r["label"] for r in rows])
 
