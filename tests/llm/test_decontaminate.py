@@ -99,3 +99,13 @@ def test_long_runs_and_short_items(spark):
     got = {(r["doc_id"], r["item_id"]): (r["coverage"], r["tiles"], r["longest"]) for r in d.find(docs, items).collect()}
     assert got == {(1, 1): (29 / 59, 1, 29), (2, 2): (0.5, 1, 500), (4, 3): (1.0, 1, 3), (4, 4): (1.0, 1, 4)}
     assert sorted(r["doc_id"] for r in d.clean(docs, items).collect()) == [3, 5]
+
+
+def test_a_repeated_item_is_compared_once(spark, monkeypatch):
+    item = " ".join(unique("q", 40))
+    sizes, whole = [], d.make_slice
+    monkeypatch.setattr(d, "make_slice", lambda rows, least: sizes.append(len(rows)) or whole(rows, least))
+    items = spark.createDataFrame([*((i, item) for i in range(500)), (None, item), (7, item), (900, "other words " * 10)], ITEMS)
+    got = d.find(documents(spark, [(1, item, "en", "s", 0), (1, item, "en", "s", 0)]), items, slice_words=10).collect()
+    assert len(got) == 2 * 502 and sum(r["item_id"] == 7 for r in got) == 4 and sum(r["item_id"] is None for r in got) == 2
+    assert sum(sizes) == 2

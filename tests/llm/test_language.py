@@ -99,3 +99,11 @@ def test_pieces_are_spread_and_bounded():
     cut = spread(text, 4_000)
     assert len(cut) <= 4_000 and set(cut.split()) <= set(text.split()) and "w00000" in cut and "w19999" in cut
     assert spread("short", 4_000) == "short" and len(spread("x" * 9_000, 4_000)) <= 4_000
+
+
+def test_a_repeated_id_teaches_by_one_text_of_a_length(spark, monkeypatch):
+    rows = [(1, f"lorka mitu {i:05}", "aa", "s", 0) for i in range(500)] + [(i, prose(i, 20, "wexor quid"), "bb", "s", 0) for i in range(2, 12)]
+    sizes, whole = [], language.train
+    monkeypatch.setattr(language, "train", lambda texts, langs: sizes.append(langs) or whole(texts, langs))
+    language.fit(documents(spark, rows))
+    assert sizes[0].count("aa") == 1 and sizes[0].count("bb") > 4

@@ -95,3 +95,13 @@ def test_ids_without_a_text_use_up_no_sample(spark):
     kind = "doc_id long, quality int, toxic int"
     models = [toxicity.fit(docs, spark.createDataFrame(data + more, kind), n_texts=40) for more in ([], [(i, 1, i % 2) for i in range(1000, 3000)])]
     assert np.array_equal(models[0].vectors, models[1].vectors)
+
+
+def test_a_repeated_id_teaches_by_one_text(spark, monkeypatch):
+    rows = labelled(60, 6)
+    data = [(i, t.decode(), "en", "s", 0) for i, (t, _) in enumerate(rows)] + [(0, f"idiot {i}", "en", "s", 0) for i in range(500)]
+    sizes, whole = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: sizes.append(len(texts)) or whole(texts, labels))
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    toxicity.fit(documents(spark, data), labels)
+    assert 30 < sizes[0] <= 60

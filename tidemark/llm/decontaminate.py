@@ -20,6 +20,7 @@ pair of rows. Without texts or items the result is empty.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -36,7 +37,7 @@ COVERAGE = 0.6
 LONG_RUN = 25
 SLICE_WORDS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
-FOUND = "doc_id long, item_id long, coverage double, tiles int, longest int"
+FOUND = "doc_id long, _item string, coverage double, tiles int, longest int"
 
 
 def _plain(words: list[bytes]) -> list[bytes]:
@@ -151,17 +152,17 @@ class Slice:
     """Some benchmark items: their words as numbers, and where each seed occurs."""
 
     vocabulary: dict[bytes, int]
-    ids: list[int | None]
+    ids: list[str]
     items: list[np.ndarray]
     seeds: np.ndarray  # hashes, sorted
     seed_item: np.ndarray
     seed_place: np.ndarray
     short: dict[int, dict[int, list[int]]]  # by length and hash, the numbers of items shorter than a seed
-    short_ids: list[int | None]
+    short_ids: list[str]
     short_items: list[np.ndarray]
 
 
-def make_slice(rows: list[tuple[int | None, bytes]], least: int = MIN_MATCH) -> Slice:
+def make_slice(rows: list[tuple[str, bytes]], least: int = MIN_MATCH) -> Slice:
     numbers, words = numbered([text for _, text in rows])
     vocabulary: dict[bytes, int] = {}
     at = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in _plain(words)], np.int64)
@@ -187,7 +188,7 @@ def make_slice(rows: list[tuple[int | None, bytes]], least: int = MIN_MATCH) ->
     )
 
 
-def _whole(part: Slice, text: np.ndarray) -> list[tuple[int | None, float, int, int]]:
+def _whole(part: Slice, text: np.ndarray) -> list[tuple[str, float, int, int]]:
     """The items shorter than a seed that a text has whole."""
     found: set[int] = set()
     for length, starts in part.short.items():
@@ -203,8 +204,8 @@ def _whole(part: Slice, text: np.ndarray) -> list[tuple[int | None, float, int,
 
 def matches(
     part: Slice, text: np.ndarray, least: int = MIN_MATCH, coverage: float = COVERAGE, long_run: int = LONG_RUN
-) -> list[tuple[int | None, float, int, int]]:
-    """(item_id, coverage, tiles, longest) of the items a text covers; ``text`` has the words' numbers, -1 for unknown ones."""
+) -> list[tuple[str, float, int, int]]:
+    """(item, coverage, tiles, longest) of the items a text covers; ``text`` has the words' numbers, -1 for unknown ones."""
     out = _whole(part, text)
     runs = _free_runs(text >= 0, least)
     if not len(runs) or not len(part.seeds):
@@ -243,14 +244,18 @@ def matches(
 def find(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage: float = COVERAGE, slice_words: int = SLICE_WORDS) -> DataFrame:
     """(doc_id, item_id, coverage, tiles, longest) of every text that covers an item or has a long run of it."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = items.agg(F.sum(n_words(F.col("text")))).first()[0] or 0
+    text = F.coalesce("text", F.lit(""))
+    # An item's text is compared once, however many rows have it; their ids are joined to what is found.
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.sha2(text, 256).alias("_item"))
+    distinct = benchmark.select(text.alias("text")).distinct()
+    total = distinct.agg(F.sum(n_words(F.col("text")))).first()[0] or 0
     n_slices = max(1, -(-total // slice_words))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def against(number: int) -> DataFrame:
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(n_slices)) == number).collect()
-        load = on_executors(spark, make_slice(sorted((r["item_id"], r["text"].encode()) for r in rows if r["item_id"] is not None) + [(None, r["text"].encode()) for r in rows if r["item_id"] is None], least))
+        rows = distinct.where(F.pmod(F.xxhash64("text"), F.lit(n_slices)) == number).collect()
+        named = sorted((hashlib.sha256(r["text"].encode()).hexdigest(), r["text"].encode()) for r in rows)
+        load = on_executors(spark, make_slice(named, least))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = load()
@@ -263,14 +268,15 @@ def find(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage
                     for match in matches(part, known[n], least, coverage)
                 ]
                 columns = zip(*found, strict=True) if found else [[]] * 5
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+                kinds = (pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "coverage", "tiles", "longest"]
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "_item", "coverage", "tiles", "longest"]
                 )
 
         return texts.mapInArrow(run, FOUND)
 
-    return reduce(DataFrame.union, (against(i) for i in range(n_slices)))
+    found = reduce(DataFrame.union, (against(i) for i in range(n_slices)))
+    return found.join(items, "_item").select("doc_id", "item_id", "coverage", "tiles", "longest")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

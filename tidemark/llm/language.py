@@ -232,12 +232,14 @@ def fit(docs: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars: int = TRAIN_CHARS)
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("n") > 0) & ~held_out(F.col("doc_id"))
     )
     turn = Window.partitionBy("lang").orderBy(sample_order("doc_id"), "doc_id", "n")
-    picked = known.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= n_texts)
+    picked = known.distinct().withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= n_texts)
     # The sample is bounded by the number of languages, and so is its broadcast.
-    picked = F.broadcast(picked.select("doc_id", F.col("lang").alias("_lang"), "n").distinct())
+    picked = F.broadcast(picked.select("doc_id", F.col("lang").alias("_lang"), "n"))
     texts = docs.select(doc_id.alias("doc_id"), "lang", "text", F.length("text").alias("n"))
-    rows = texts.join(picked, ["doc_id", "n"]).where(F.col("lang") == F.col("_lang")).select("lang", "text")
-    rows = spread_texts(rows, n_chars).collect()
+    rows = texts.join(picked, ["doc_id", "n"]).where(F.col("lang") == F.col("_lang")).select("lang", "doc_id", "n", "text")
+    # Of an id's rows of one length one, however many there are.
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    rows = spread_texts(rows, n_chars).groupBy("lang", "doc_id", "n").agg(one).select("lang", "text").collect()
     rows.sort()
     return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 

@@ -10,7 +10,7 @@ calibrated on labelled texts left out of training.
 
 Training takes at most ``TRAIN_TEXTS`` labelled texts of each class, of a text over
 ``TRAIN_CHARS`` characters pieces spread over it; scoring takes every text, whole. Null texts count as
-empty; an empty text has no window and gets the calibrated score of the bias.
+empty; an id with several texts teaches by one; an empty text has no window and gets the calibrated score of the bias.
 Every row is scored on its own, repeated ones alike. Of several labels of one id
 the highest holds; null labels and ids teach nothing. Without labels of both
 classes every score is the share of toxic labels (0 without any).
@@ -190,7 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars:
     picked = [known.where(F.col("label") == c).orderBy(sample_order("doc_id"), "doc_id").limit(n_texts) for c in (0, 1)]
     # At most 2 * n_texts ids, so the broadcast is bounded.
     rows = texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "text", "label")
-    rows = spread_texts(rows, n_chars).collect()
+    # Of an id's rows one, however many there are.
+    rows = spread_texts(rows, n_chars).groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"], r["label"]))
     return train([r["text"].encode() for r in rows], [r["label"] for r in rows])
 
