@@ -105,3 +105,8 @@ def test_a_repeated_id_teaches_by_one_text(spark, monkeypatch):
     labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality int, toxic int")
     toxicity.fit(documents(spark, data), labels)
     assert 30 < sizes[0] <= 60
+
+
+def test_a_run_counts_the_same_wherever_it_begins():
+    found = [toxicity._strongest(np.r_[np.zeros(k), np.ones(toxicity.WINDOW), np.zeros(20 - k)]) for k in range(20)]
+    assert np.allclose(found, 1)

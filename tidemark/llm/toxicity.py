@@ -68,20 +68,20 @@ def _buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (hashes % np.uint64(BUCKETS)).astype(np.int64), word
 
 
-def _starts(n: int) -> np.ndarray:
-    """Where the windows of a text begin; the last one reaches its end."""
-    return np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE) if n else np.zeros(0, np.int64)
+def _starts(n: int, stride: int = STRIDE) -> np.ndarray:
+    """Where the windows of a text begin; the last one reaches its end. Training steps, scoring takes every window."""
+    return np.arange(0, max(1, n - WINDOW + stride), stride) if n else np.zeros(0, np.int64)
 
 
-def _windowed(logits: np.ndarray) -> np.ndarray:
+def _windowed(logits: np.ndarray, stride: int = STRIDE) -> np.ndarray:
     total = np.concatenate([[0.0], np.cumsum(logits)])
-    start = _starts(len(logits))
+    start = _starts(len(logits), stride)
     end = np.minimum(start + WINDOW, len(logits))
     return (total[end] - total[start]) / (end - start)
 
 
 def _strongest(logits: np.ndarray) -> float:
-    return float(_windowed(logits).max()) if len(logits) else 0.0
+    return float(_windowed(logits, 1).max()) if len(logits) else 0.0
 
 
 def _fit(windows: list[np.ndarray], labels: np.ndarray, model: Model, words: tuple[np.ndarray, np.ndarray, np.ndarray], squares: list[np.ndarray], rng) -> None:
