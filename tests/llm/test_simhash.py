@@ -82,3 +82,10 @@ def test_keep_one(spark):
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty(spark)).collect() == []
     assert simhash.keep_one(empty(spark)).collect() == []
+
+
+def test_keep_one_by_row(spark):
+    one, two, three = (prose(s, 80) for s in (21, 22, 23))
+    rows = [(1, one), (1, two), (2, two), (3, one), (7, three), (7, three), (7, three + " "), (8, three), (9, one), (9, prose(24, 80)), (None, two)]
+    got = simhash.keep_one(documents(spark, [(i, t, "en", "s", 0) for i, t in rows])).collect()
+    assert sorted((r["doc_id"], r["text"].strip()) for r in got) == sorted([(1, one), (1, two), (7, three), (9, prose(24, 80))])

@@ -91,8 +91,8 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return at.join(near, "cell").where((F.col("a") != F.col("b")) & (bits <= max_bits)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id reachable over links."""
+def _named(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row; (fp, root, component_id) of every fingerprint, the root one to a component."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = components(links(firsts.select("fp"), max_bits))
@@ -100,7 +100,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
+    return prints, rooted.join(names, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id reachable over links."""
+    prints, named = _named(docs, shingle, max_bits)
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -109,11 +114,28 @@ def hex_digits(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of one document of each component, the one with the smallest doc_id; of repeated rows one.
+    """One row of each component, with its smallest doc_id; of several the one of the smallest fp, then of the smallest text hash.
 
-    Rows without a doc_id stay only if the component of one of them has no doc_id at all.
+    Rows without a doc_id stay only if their component has no doc_id at all.
     """
-    found = near_duplicates(docs, shingle, max_bits).where("doc_id <=> component_id")
-    kept = found.select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    prints, named = _named(docs, shingle, max_bits)
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("_id")
+    found = prints.join(named, "fp").where("doc_id <=> component_id")
+    heads = found.groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("_fp"))
+    heads = written(heads.select(key, "_fp"), "component-heads")
+    # A row's fingerprint is made again only where the rows of its doc_id have several.
+    of_id = prints.groupBy(key).agg(F.min("fp").alias("_fp"), F.max("fp").alias("_last"))
+    ids = of_id.join(heads.select("_id").distinct(), "_id").select("_id", F.when(F.col("_fp") == F.col("_last"), F.col("_fp")).alias("_fp"))
+    rows = docs.withColumn("_id", key).join(ids, "_id").select(*docs.columns, "_id", "_fp")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, at):
+            known = batch.column(batch.num_columns - 1).to_pylist()
+            texts = utf8(batch.column(at)) if None in known else [b""] * len(known)
+            bits = [np.uint64(fingerprint(t, shingle)).astype(np.int64).item() if fp is None else fp for t, fp in zip(texts, known, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bits, pa.int64())], batch.schema.names)
+
+    one = F.min_by(F.struct(*docs.columns), F.coalesce(F.xxhash64("text"), F.lit(0))).alias("_row")
+    firsts = rows.mapInArrow(run, rows.schema).groupBy("_id", "_fp").agg(one)
+    return firsts.join(heads, ["_id", "_fp"], "left_semi").select("_row.*")
