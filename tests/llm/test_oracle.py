@@ -19,4 +19,4 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 def test_everything_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
