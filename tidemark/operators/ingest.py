@@ -54,6 +54,8 @@ FLAT_COLUMNS = {
 ALL_COLUMNS = tuple(FLAT_COLUMNS)
 # The message text beside a dead letter.
 PAYLOAD = "message"
+# The text of a message that has fields no schema names.
+UNKNOWN = "unknown_fields"
 # What the validation rules look at.
 VALIDATED = ("event_id", "user_id", "event_type", "timestamp")
 
@@ -85,11 +87,25 @@ def _fields_for(columns: tuple[str, ...]) -> StructType:
     return StructType(fields)
 
 
+def has_unknown_fields(text: Column) -> Column:
+    """Whether a message has a field that no schema names, at the top or in one of its parts."""
+    schema = ddl(EVENT_JSON)
+    parts = {f.name: f.dataType.names for f in schema if isinstance(f.dataType, StructType)}
+    found = F.from_json(text, ", ".join(f"{name} MAP<STRING, STRING>" for name in parts))
+    more = lambda keys, known: F.size(F.array_except(keys, F.array(*map(F.lit, known)))) > 0
+    unknown = more(F.json_object_keys(text), schema.names)
+    for name, known in parts.items():
+        unknown = F.coalesce(unknown, F.lit(False)) | F.coalesce(more(F.map_keys(found[name]), known), F.lit(False))
+    return unknown
+
+
 def parse(
-    messages: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS, payload: bool = False
+    messages: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS, payload: bool = False, unknown: bool = False
 ) -> DataFrame:
     """Decode JSON. Text that is no JSON gives a row of nulls; ``payload`` keeps the text.
 
+    ``unknown`` keeps the text of those messages that have fields no schema names.
+
     ``inline`` makes the parsed fields plain columns of a generator. A filter on
     them cannot be pushed below it, so each message is parsed once, not once per
     field a later filter looks at. Only the fields behind ``columns`` are decoded.
@@ -98,6 +114,8 @@ def parse(
     decoded = F.from_json(text, _fields_for(columns))
     renamed = messages.select("value", F.col("timestamp").alias("kafka_timestamp"))
     kept = [text.alias(PAYLOAD)] if payload else []
+    if unknown:
+        kept.append(F.when(has_unknown_fields(text), text).alias(UNKNOWN))
     return renamed.select("kafka_timestamp", *kept, F.inline(F.array(decoded)))
 
 
@@ -107,7 +125,7 @@ def flatten(parsed: DataFrame, columns: tuple[str, ...] = ALL_COLUMNS) -> DataFr
         # A price that no decimal can hold counts as missing instead of failing the job.
         return (value.try_cast(MONEY) if name == "sale_price" else value).alias(name)
 
-    kept = [PAYLOAD] if PAYLOAD in parsed.columns else []
+    kept = [c for c in (PAYLOAD, UNKNOWN) if c in parsed.columns]
     return parsed.select(*[column(name) for name in columns], *kept)
 
 
@@ -154,8 +172,8 @@ def ingest(
     return clean, route(flatten(parse(messages, needed, payload=True), needed))[1]
 
 
-def to_stored(clean: DataFrame) -> DataFrame:
-    """The columns of the stored events table, plus its partition date."""
+def to_stored(clean: DataFrame, *more: str) -> DataFrame:
+    """The columns of the stored events table, plus its partition date, and others that are named."""
     stored = []
     for field in ddl(RAW_EVENTS):
         if field.name == "event_date":
@@ -164,7 +182,7 @@ def to_stored(clean: DataFrame) -> DataFrame:
             source = STORED_NAMES.get(field.name, field.name)
             value = F.col(source) if source in clean.columns else F.lit(None).cast(field.dataType)
         stored.append(value.alias(field.name))
-    return clean.select(*stored)
+    return clean.select(*stored, *more)
 
 
 def drop_repeats(events: DataFrame) -> DataFrame:

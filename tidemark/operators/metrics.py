@@ -234,8 +234,8 @@ def breakdown_1h(events: DataFrame, dimension: str = "user_segment") -> DataFram
     )
 
 
-def hourly_metrics(events: DataFrame, dimensions: tuple[str, ...] = ("user_segment",)) -> DataFrame:
-    """All hourly metrics from one read, one parse and one shuffle.
+def hourly_totals(events: DataFrame, dimensions: tuple[str, ...] = ("user_segment",)) -> DataFrame:
+    """The sums behind all hourly metrics, from one read, one parse and one shuffle.
 
     Each event becomes one small row per metric it counts towards; map-side
     partial sums shrink them before the shuffle.
@@ -261,19 +261,23 @@ def hourly_metrics(events: DataFrame, dimensions: tuple[str, ...] = ("user_segme
     )
     if always:
         entries = entries.otherwise(F.array(*always))
-    keys = ["metric_name", "dimension_key", "dimension_value"]
     return (
         events.select("timestamp", F.inline(entries))
-        .groupBy(F.window("timestamp", HOUR), *keys)
-        .agg(F.sum("amount").cast("double").alias("metric_value"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            F.lit("1h").alias("window_type"),
-            *keys,
-            "metric_value",
-        )
-        .select(*METRIC_COLUMNS)
+        .groupBy(F.window("timestamp", HOUR), "metric_name", "dimension_key", "dimension_value")
+        .agg(F.sum("amount").alias("amount"))
+    )
+
+
+def hourly_metrics(events: DataFrame, dimensions: tuple[str, ...] = ("user_segment",)) -> DataFrame:
+    """All hourly metrics."""
+    return hourly_totals(events, dimensions).select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        F.lit("1h").alias("window_type"),
+        "metric_name",
+        F.col("amount").cast("double").alias("metric_value"),
+        "dimension_key",
+        "dimension_value",
     )
 
 

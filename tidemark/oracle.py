@@ -386,6 +386,24 @@ def oracle_sql() -> dict[str, str]:
     snapshot_1m = _with(_MINUTES, f"rows_in AS ({_SUMMARY_1M})", body=_SNAPSHOT)
     daily = _with(_DAILY, body="SELECT * FROM daily")
     messages = _with(_MINUTES, body=_MESSAGES)
+    all_metrics = _with(
+        _MINUTES,
+        _SLIDING,
+        _HOURS,
+        body=" UNION ALL ".join([_SUMMARY_1M, _RATES, _TIME_ON_PAGE, _HOURLY]),
+    )
+    places = _with(
+        _MINUTES,
+        _SLIDING,
+        _HOURS,
+        f"""metric_rows AS (
+              {' UNION ALL '.join([_SUMMARY_1M, _RATES, _TIME_ON_PAGE, _HOURLY])})""",
+        body=f"""SELECT 'raw_events' AS place, event_id AS member, CAST(NULL AS DOUBLE) AS value
+                 FROM clean
+                 UNION ALL SELECT 'dead_letters', event_id, NULL FROM everything
+                           WHERE {_REASON} IS NOT NULL
+                 UNION ALL SELECT metric_name, dimension_value, metric_value FROM metric_rows""",
+    )
     return {
         "a1_event_stream": _with(
             body="SELECT event_id, event_type, user_id, ts AS timestamp FROM everything"
@@ -425,6 +443,14 @@ def oracle_sql() -> dict[str, str]:
                             time_on_page_sec FROM everything"""
         ),
         "b3_validate": _with(body=f"SELECT event_id, {_REASON} AS error_reason FROM everything"),
+        "b1_unknown_fields": _with(
+            body="""SELECT event_id, event_type,
+                           CASE WHEN CAST(event_id AS BIGINT) % 3 = 0
+                                THEN CAST(CAST(event_id AS BIGINT) % 5 AS INTEGER) END AS campaign,
+                           CASE WHEN CAST(event_id AS BIGINT) % 3 = 0
+                                THEN 't' || CAST(CAST(event_id AS BIGINT) % 2 AS VARCHAR) END AS tag
+                    FROM clean"""
+        ),
         "b4_route": _with(
             body=f"""SELECT event_id, event_type,
                             CASE WHEN {_REASON} IS NULL THEN 'clean' ELSE 'dead_letter' END AS route
@@ -466,21 +492,34 @@ def oracle_sql() -> dict[str, str]:
         "c5_revenue_by_category_1h": _with(_HOURS, body=_REVENUE_1H),
         "c6_product_purchases_1h": _with(_HOURS, body=_PURCHASES_1H),
         "c7_segment_distribution_1h": _with(_HOURS, body=_SEGMENTS_1H),
-        "c8_top_products_1h": _with(
+        "c1_user_sketches": _with(
+            _SLIDING,
+            body="""SELECT w AS window_start, CAST(count(DISTINCT user_id) AS DOUBLE) AS users, true AS within
+                    FROM slid GROUP BY w""",
+        ),
+        "m1_daily_from_minutes": _with(
+            _DAILY, body="SELECT * EXCLUDE (unique_users), true AS within FROM daily"
+        ),
+        "m6_hours_from_minutes": f"SELECT * EXCLUDE (active_users), true AS within FROM ({hourly_kpi})",
+        "c8_top_products_stream": _with(
             _HOURS,
             body=f"""SELECT * FROM (
                        SELECT window_start, dimension_value AS sku,
-                              metric_value AS purchase_count,
+                              CAST(metric_value AS BIGINT) AS purchase_count,
                               CAST(row_number() OVER (PARTITION BY window_start
                                 ORDER BY metric_value DESC, dimension_value) AS INTEGER) AS position
                        FROM ({_PURCHASES_1H})) WHERE position <= 10""",
         ),
-        "c_all_metrics": _with(
-            _MINUTES,
-            _SLIDING,
+        "c8_top_products_1h": _with(
             _HOURS,
-            body=" UNION ALL ".join([_SUMMARY_1M, _RATES, _TIME_ON_PAGE, _HOURLY]),
+            body=f"""SELECT * FROM (
+                       SELECT window_start, dimension_value AS sku,
+                              metric_value AS purchase_count,
+                              CAST(row_number() OVER (PARTITION BY window_start
+                                ORDER BY metric_value DESC, dimension_value) AS INTEGER) AS position
+                       FROM ({_PURCHASES_1H})) WHERE position <= 10""",
         ),
+        "c_all_metrics": all_metrics,
         "s1_watermarked_counts": counts,
         "s2_sliding_stream": rates,
         "s2_tumbling_stream": hourly,
@@ -497,32 +536,39 @@ def oracle_sql() -> dict[str, str]:
                     GROUP BY ALL"""
         ),
         "s5_trigger": _with(body="SELECT event_id, event_type FROM clean"),
+        "s6_state_rows": _with(
+            body="""SELECT 'counts_1m' AS query, 'stateStoreSave' AS operator, count(DISTINCT date_trunc('minute', ts)) AS rows
+                    FROM clean
+                    WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE > (SELECT max(ts) FROM clean) - INTERVAL 5 MINUTE"""
+        ),
         "s7_late_data": _with(_PIECES, _ON_TIME_MINUTES, body=_COUNTS_1M),
         "s6_restart": counts,
         "s8_stream_dedup": clean_ids,
-        "s9_all_streams": _with(
-            _MINUTES,
-            _SLIDING,
-            _HOURS,
-            f"""metric_rows AS (
-                  {' UNION ALL '.join([_SUMMARY_1M, _RATES, _TIME_ON_PAGE, _HOURLY])})""",
-            body=f"""SELECT 'raw_events' AS place, event_id AS member, CAST(NULL AS DOUBLE) AS value
-                     FROM clean
-                     UNION ALL SELECT 'dead_letters', event_id, NULL FROM everything
-                               WHERE {_REASON} IS NOT NULL
-                     UNION ALL SELECT metric_name, dimension_value, metric_value FROM metric_rows""",
-        ),
+        "s9_all_streams": places,
+        "s9_one_read": places,
+        "s7_late_in_sums": all_metrics,
+        "s7_repaired_windows": counts,
         "d1_raw_events": _with(
             body=f"""SELECT event_id, event_type, ts AS timestamp, event_date, user_id,
                             user_segment, country, product_id, category AS category_name, {_PRICE},
                             quantity, time_on_page_sec FROM clean"""
         ),
+        "d1_event_store": _with(
+            body=f"""SELECT event_id, event_type, ts AS timestamp, event_date, user_id,
+                            user_segment, country, product_id, category AS category_name, {_PRICE},
+                            quantity, time_on_page_sec FROM clean"""
+        ),
         "d1_late_events": _with(
             body=f"""SELECT event_id, event_type, ts AS timestamp, event_date, user_id,
                             user_segment, country, product_id, category AS category_name, {_PRICE},
                             quantity, time_on_page_sec FROM clean"""
         ),
         "d1_late_daily_summary": daily,
+        "d2_point_read": _with(
+            _HOURS,
+            body=f"""SELECT window_start, dimension_value, metric_value FROM ({_HOURLY})
+                     WHERE metric_name = 'product_click_count' AND dimension_value = 'SKU-7'""",
+        ),
         "d2_metric_upsert": _with(_HOURS, body=_SEGMENTS_1H),
         "d3_kpi_snapshot": _with(
             _MINUTES,
@@ -639,10 +685,23 @@ def oracle_sql() -> dict[str, str]:
                           UNION ALL SELECT max(event_date) FROM clean) d"""
         ),
         "p1_daily_run": daily,
+        "p1_known_ids": _with(
+            """bounds AS (SELECT min(event_date) AS low, max(event_date) AS high FROM clean),
+               cut AS (SELECT low + CAST((high - low) * 2 // 3 AS INTEGER) AS start FROM bounds)""",
+            body="""SELECT event_id, event_date < start AS known FROM clean, cut
+                    WHERE event_date >= start OR CAST(event_id AS BIGINT) % 7 = 0""",
+        ),
         "p1_daily_marts": _with(
             _DAILY, _PRODUCTS, _SESSIONS, _SEGMENTS, _FUNNEL, _GEO, _HOURS, _HOURLY_KPI,
             body=_MART_TOTALS,
         ),
+        "p3_delta_daily": daily,
+        "p3_delta_marts": _with(
+            _DAILY, _PRODUCTS, _SESSIONS, _SEGMENTS, _FUNNEL, _GEO, _HOURS, _HOURLY_KPI,
+            body=f"""SELECT * FROM ({_MART_TOTALS})
+                     WHERE mart IN ('mart_daily_summary', 'mart_product_performance',
+                                    'mart_funnel_analysis', 'mart_hourly_kpi')""",
+        ),
         "p3_emptied_date": _with(
             _DAILY,
             body="SELECT * FROM daily WHERE date <> (SELECT max(event_date) - 1 FROM clean)",

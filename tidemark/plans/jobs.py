@@ -8,8 +8,10 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ingest import is_valid
 from tidemark.operators.sessions import sessions
 from tidemark.plans import marts, quality, staging
+from tidemark.plans.ledger import IdLedger
 from tidemark.schemas import RAW_EVENTS, SESSION_IDLE_SECONDS
 from tidemark.sources import files
 from tidemark.sources.tables import Tables, read_products, read_raw_events, read_users
@@ -103,17 +105,23 @@ def new_events(
 ) -> DataFrame:
     """Staged form of the raw events of some dates.
 
-    An id that was staged on an earlier date does not come back. Only the id
-    column of the earlier dates is read; where ids are known not to repeat after
-    some days, ``repeats_since`` spares reading what is older.
+    An id that was staged on an earlier date does not come back. The ledger of
+    staged ids tells; of the earlier dates nothing is read but the buckets of
+    the ledger that may hold one of the ids. Where ids are known not to repeat
+    after some days, ``repeats_since`` spares looking at what is older.
     """
-    fresh = staging.stg_events(between_dates(read_raw_events(spark, tables), first, last))
+    raw = between_dates(read_raw_events(spark, tables), first, last)
+    fresh = staging.stg_events(raw)
     if not files.exists(spark, tables.path("stg_events")):
         return fresh
-    earlier = staged_events(spark, tables).filter(F.col("event_date") < F.lit(first))
-    if repeats_since is not None:
-        earlier = earlier.filter(F.col("event_date") >= F.lit(repeats_since))
-    return fresh.join(earlier.select("event_id"), "event_id", "left_anti")
+    ledger = id_ledger(spark, tables)
+    state = ledger.sync(tables.path("stg_events"), first)
+    ids = raw.filter(is_valid()).select("event_id")
+    return fresh.join(ledger.known(ids, state, first, repeats_since), "event_id", "left_anti")
+
+
+def id_ledger(spark: SparkSession, tables: Tables) -> IdLedger:
+    return IdLedger(spark, tables.path("id_ledger"))
 
 
 def staged_events(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -174,6 +182,7 @@ def run_daily(
     around = first - timedelta(days=1), today
     staged = new_events(spark, tables, *around, repeats_since)
     replace_dates(staged, tables.path("stg_events"), "event_date", *around)
+    id_ledger(spark, tables).sync(tables.path("stg_events"))
     built = build_daily_marts(spark, tables, first, last)
     with ThreadPoolExecutor(MARTS_AT_ONCE) as pool:
         for write in [

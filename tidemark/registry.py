@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ingest, metrics as m
 from tidemark.operators.sessions import session_stream, sessions
-from tidemark.plans import jobs, marts, quality, reads, staging
+from tidemark.plans import deltas, jobs, marts, quality, reads, rollups, staging
+from tidemark.plans.ledger import IdLedger
 from tidemark.session import shared_dir
 from tidemark.sources import adapter, files, streams, tables as t
-from tidemark.streaming import run, sinks
+from tidemark.streaming import fanout, repair, run, sinks, state, top
+from tidemark.streaming.event_store import EventStore
 from tidemark.streaming.metric_table import MetricTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +151,25 @@ def b1_parse_json(spark, sf):
     return plain_times(parsed.select("event_id", "event_type", "timestamp", "kafka_timestamp"))
 
 
+@query
+def b1_unknown_fields(spark, sf):
+    """Every third message has fields that no schema names: they are read back from the event store."""
+    number = F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("long")
+    more = F.concat(F.lit('{"campaign": {"id": '), (number % 5).cast("string"), F.lit(', "tags": ["t'), (number % 2).cast("string"), F.lit('"]}, '), F.expr("substr(CAST(value AS STRING), 2)"))
+    text = F.when(number % 3 == 0, more).otherwise(F.col("value").cast("string"))
+    messages = adapter.messages(spark, sf).select(text.cast("binary").alias("value"), "timestamp")
+    parsed = ingest.flatten(ingest.parse(messages, unknown=True))
+    store = EventStore(spark, shared_dir(spark, "unknown"))
+    store.batch_writer("batch")(ingest.route(parsed)[0], 0)
+    store.compact()
+    return store.current().select(
+        "event_id",
+        "event_type",
+        F.try_variant_get("extra", "$.campaign.id", "int").alias("campaign"),
+        F.try_variant_get("extra", "$.campaign.tags[0]", "string").alias("tag"),
+    )
+
+
 @query
 def b2_flatten(spark, sf):
     flat = ingest.flatten(ingest.parse(adapter.messages(spark, sf, user=True, product=True)))
@@ -311,6 +332,53 @@ def c_all_metrics(spark, sf):
     return m.all_metrics(clean(spark, sf, user=True, product=True), clean(spark, sf))
 
 
+def _rollup(spark, sf) -> DataFrame:
+    """Minutes with their sketches, stored and read again: what follows sees no events."""
+    where = shared_dir(spark, "rollup")
+    rollups.rollup_minutes(clean(spark, sf)).write.parquet(where)
+    return spark.read.parquet(where)
+
+
+def _within(estimate: str, exact: str):
+    """Whether an estimated number of users is within three standard errors, and one user, of the exact one."""
+    allowed = F.greatest(F.lit(1.0), 3 * rollups.RELATIVE_ERROR * F.col(exact))
+    return F.abs(F.col(estimate) - F.col(exact)) <= allowed
+
+
+@query
+def c1_user_sketches(spark, sf):
+    """Distinct users of five-minute windows from the sketches of minutes, against the exact count."""
+    exact = m.active_users_5m(clean(spark, sf)).select("window_start", F.col("metric_value").alias("users"))
+    slid = rollups.rolled_up(_rollup(spark, sf), "5 minutes", "1 minute").select("window_start", rollups.users_of().alias("estimate"))
+    both = exact.join(slid, "window_start", "full")
+    return both.select("window_start", "users", _within("estimate", "users").alias("within"))
+
+
+@query
+def m1_daily_from_minutes(spark, sf):
+    """The daily mart from minutes alone; its users within the stated error of the exact ones."""
+    exact = marts.daily_summary(staged(spark, sf)).select("date", F.col("unique_users").alias("exact"))
+    days = rollups.daily_summary(_rollup(spark, sf)).join(exact, "date", "full")
+    return days.withColumn("within", _within("unique_users", "exact")).drop("unique_users", "exact")
+
+
+@query
+def m6_hours_from_minutes(spark, sf):
+    exact = marts.hourly_kpi(staged(spark, sf)).select("hour_start", F.col("active_users").alias("exact"))
+    hours = rollups.hourly_kpi(_rollup(spark, sf)).join(exact, "hour_start", "full")
+    return plain_times(hours.withColumn("within", _within("active_users", "exact")).drop("active_users", "exact"))
+
+
+@query
+def c8_top_products_stream(spark, sf):
+    """The best products of each hour from a stream that holds a sketch for each hour; an event long after the last closes them."""
+    out = shared_dir(spark, "top")
+    events, _ = run.clean_stream(adapter.message_stream(spark, sf, product=True, sentinel=True), "5 minutes")
+    boards = top.TopProducts(spark, f"{out}/boards")
+    top.start_top_products(events, boards, f"{out}/checkpoint", ONCE).awaitTermination()
+    return plain_times(boards.current().select("window_start", "sku", "purchase_count", "position"))
+
+
 # -- streaming ------------------------------------------------------------------
 
 
@@ -433,6 +501,13 @@ def s6_restart(spark, sf):
     return plain_times(rows.select(*m.METRIC_COLUMNS))
 
 
+@query
+def s6_state_rows(spark, sf):
+    """What the minute counts hold in state at the end: the minutes the watermark has not passed."""
+    layout = _stream(spark, sf, "counts_1m", "raw_events")
+    return state.all_state(spark, layout, ("counts_1m", "raw_events")).select("query", "operator", "rows")
+
+
 @query
 def s7_late_data(spark, sf):
     """Some events come days late: the minute counts leave them out."""
@@ -469,9 +544,62 @@ def s9_all_streams(spark, sf):
     return quality.combine(places)
 
 
+def _fanned(spark, sf, **feed) -> run.Layout:
+    layout = run.Layout(shared_dir(spark, "fanout"))
+    messages = adapter.message_stream(spark, sf, user=True, product=True, **feed)
+    fanout.start_fanout(spark, messages, layout, ONCE, compact_every=4).awaitTermination()
+    return layout
+
+
+@query
+def s9_one_read(spark, sf):
+    """All sinks from one query that parses each batch once: what reached each place."""
+    layout = _fanned(spark, sf)
+    metrics = MetricTable(spark, layout.metrics).current()
+    none = F.lit(None).cast("double").alias("value")
+    places = [
+        EventStore(spark, layout.event_store).current().select(F.lit("raw_events").alias("place"), F.col("event_id").alias("member"), none),
+        fanout.DeadLetters(spark, layout.dead_letter_store).current().select(F.lit("dead_letters").alias("place"), F.col("event_id").alias("member"), none),
+        metrics.select(F.col("metric_name").alias("place"), F.col("dimension_value").alias("member"), F.col("metric_value").alias("value")),
+    ]
+    return quality.combine(places)
+
+
+@query
+def s7_late_in_sums(spark, sf):
+    """Some events come days late: with sums in place of state, all metrics have them."""
+    layout = _fanned(spark, sf, late=True)
+    return plain_times(MetricTable(spark, layout.metrics).current().select(*m.METRIC_COLUMNS))
+
+
+@query
+def s7_repaired_windows(spark, sf):
+    """Some events come days late and are left out; the windows they belong to are computed again."""
+    layout = _stream(spark, sf, "counts_1m", "event_store", late=True)
+    table = MetricTable(spark, layout.metrics)
+    repair.repair_late(spark, EventStore(spark, layout.event_store), table, run.WATERMARK, layout.run)
+    counts = ("events_1m", "revenue_1m", "click_1m", "cart_1m", "purchase_1m")
+    return plain_times(table.current().filter(F.col("metric_name").isin(*counts)).select(*m.METRIC_COLUMNS))
+
+
 # -- sinks ------------------------------------------------------------------------
 
 
+@query
+def d1_event_store(spark, sf):
+    """The stored events after batches, replays and compactions in between, some of them late."""
+    layout = run.Layout(shared_dir(spark, "store"))
+    store = EventStore(spark, layout.event_store)
+    feed = adapter.Feed(spark, sf, late=True)
+    for i in range(0, feed.PIECES, 2):
+        feed.put(i, i + 1)
+        messages = feed.messages(user=True, product=True)
+        finish(run.start_all(spark, messages, layout, ONCE, only=("event_store",)))
+        store.compact()
+    store.vacuum()
+    return _event_columns(store.current())
+
+
 @query
 def d1_raw_events(spark, sf):
     return _stored_events(spark, _stream(spark, sf, "raw_events", user=True, product=True))
@@ -493,8 +621,12 @@ def d1_late_daily_summary(spark, sf):
 
 
 def _stored_events(spark, layout: run.Layout) -> DataFrame:
+    return _event_columns(spark.read.parquet(layout.raw_events))
+
+
+def _event_columns(stored: DataFrame) -> DataFrame:
     return plain_times(
-        spark.read.parquet(layout.raw_events).select(
+        stored.select(
             "event_id",
             "event_type",
             "timestamp",
@@ -536,12 +668,24 @@ def d2_metric_upsert(spark, sf):
     return plain_times(table.current().select(*m.METRIC_COLUMNS))
 
 
+@query
+def d2_point_read(spark, sf):
+    """The hours of one product, from a compacted table and a batch after it: few files are read."""
+    table = MetricTable(spark, shared_dir(spark, "points"))
+    write = table.batch_writer("hourly")
+    metrics = m.hourly_metrics(clean(spark, sf, user=True, product=True))
+    write(metrics.withColumn("metric_value", F.col("metric_value") * 2), 0)
+    table.compact()
+    write(metrics, 1)
+    found = table.point("product_click_count", "sku", "SKU-7")
+    return plain_times(found.select("window_start", "dimension_value", "metric_value"))
+
+
 def _kept(spark, *metrics: DataFrame) -> MetricTable:
     """A metric table with these rows, as the dashboard's reads find it."""
     table = MetricTable(spark, shared_dir(spark, "metrics"))
     for number, rows in enumerate(metrics):
         table.batch_writer("batch")(rows, number)
-    table.compact()
     return table
 
 
@@ -827,6 +971,22 @@ def _daily_run(spark, sf) -> t.Tables:
     return where
 
 
+@query
+def p1_known_ids(spark, sf):
+    """The last third of the dates, and a seventh of the earlier events again: what the ledger knows of them."""
+    where = shared_dir(spark, "known")
+    ids = with_date(clean(spark, sf)).select("event_id", "event_date")
+    first, last = ids.agg(F.min("event_date"), F.max("event_date")).first()
+    start = first + (last - first) * 2 // 3
+    ids.filter(F.col("event_date") < F.lit(start)).write.partitionBy("event_date").parquet(f"{where}/stg_events")
+    ledger = IdLedger(spark, f"{where}/id_ledger", buckets=16)
+    state = ledger.sync(f"{where}/stg_events", start)
+    again = F.col("event_id").cast("long") % 7 == 0
+    fresh = ids.filter((F.col("event_date") >= F.lit(start)) | again).select("event_id")
+    known = ledger.known(fresh, state, start).withColumn("known", F.lit(True))
+    return fresh.join(known, "event_id", "left").select("event_id", F.coalesce("known", F.lit(False)).alias("known"))
+
+
 @query
 def p1_daily_marts(spark, sf):
     """All six marts of a daily run: rows, events, purchases and revenue by date."""
@@ -876,6 +1036,47 @@ def p3_incremental_rebuild(spark, sf):
     return jobs.read_mart(spark, where, "mart_user_segments")
 
 
+@query
+def p3_delta_marts(spark, sf):
+    """Marts of increments, one of them late and one written twice: totals of each mart and date."""
+    events = staged(spark, sf, user=True, product=True)
+    kept = deltas.DeltaMarts(spark, shared_dir(spark, "deltas"))
+    part = F.when(F.col("event_id").cast("long") % 20 == 0, 2).otherwise((F.dayofmonth("timestamp") > 15).cast("int"))
+    for number in (0, 1, 1, 2):
+        kept.add(events.filter(part == number), number)
+        if number == 0:
+            kept.upkeep()
+    names = {
+        "mart_daily_summary": (kept.daily_summary(), "total_events", "total_purchases", "total_revenue"),
+        "mart_product_performance": (kept.product_performance(staged_products(spark, sf)), "click_count", "purchase_count", "revenue"),
+        "mart_funnel_analysis": (kept.funnel_analysis(), "click_count", "purchase_count", "add_to_cart_count"),
+        "mart_hourly_kpi": (kept.hourly_kpi().withColumn("date", F.to_date("hour_start")), "total_events", "purchases", "revenue"),
+    }
+    return quality.combine(
+        [
+            mart.groupBy("date")
+            .agg(
+                F.count("*").alias("row_count"),
+                F.sum(events).alias("events"),
+                F.sum(purchases).alias("purchases"),
+                F.round(F.sum(amount), 2).cast("double").alias("amount"),
+            )
+            .withColumn("mart", F.lit(name))
+            for name, (mart, events, purchases, amount) in names.items()
+        ]
+    )
+
+
+@query
+def p3_delta_daily(spark, sf):
+    """The daily mart of increments by event number: every date is in each of them."""
+    events = staged(spark, sf)
+    kept = deltas.DeltaMarts(spark, shared_dir(spark, "deltas"))
+    for number in range(3):
+        kept.add(events.filter(F.col("event_id").cast("long") % 3 == number), number)
+    return kept.daily_summary()
+
+
 @query
 def p3_emptied_date(spark, sf):
     """A second run after all events of one date were withdrawn: the date goes from the marts."""

@@ -32,3 +32,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in the place of an older one of its name."""
+    fs, target = _resolve(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, target = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import PRODUCTS, RAW_EVENTS, USERS, require_columns
+from tidemark.streaming.event_store import EventStore
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,9 @@ class Tables:
 
 
 def read_raw_events(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The stored events: of the event store where there is one, else of the folder the raw sink writes."""
+    if EventStore.exists_at(spark, tables.path("event_store")):
+        return require_columns(EventStore(spark, tables.path("event_store")).current(), RAW_EVENTS, "event_store")
     found = spark.read.schema(RAW_EVENTS).parquet(tables.path("raw_events"))
     return require_columns(found, RAW_EVENTS, "raw_events")
 

@@ -1,43 +1,14 @@
-"""The metric table: streaming batches go in, the newest value per key comes out.
-
-Layout below one root:
-
-    updates/query=Q/run=R/batch_id=N/   what one micro-batch computed
-    base/version=V/window_date=D/       compacted rows
-    state/version=V/                    which base folder is current for each date,
-                                        and the last batch it contains
-    audit/query=Q/run=R/batch_id=N/     one line per non-empty batch
-
-A batch folder is overwritten when its batch is replayed, so a replay changes
-nothing. A compaction becomes visible only with its state file; one that dies
-half-way leaves folders nobody reads, and the next one overwrites them. Only
-committed batch folders are read or compacted, so a batch that is being written
-or replayed is never taken half.
-
-``run`` counts the checkpoints of a query: batch ids restart with a new one.
-"""
+"""The metric table: streaming batches go in, the newest value per key comes out."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import METRIC, METRIC_COLUMNS, METRIC_KEY
-from tidemark.sources import files
-
-_STORED = f"{METRIC}, computed_at TIMESTAMP, query STRING, run INT, batch_id LONG"
-_STATE = """
-    version INT,
-    dates ARRAY<STRUCT<window_date: STRING, version: INT>>,
-    batches ARRAY<STRUCT<query: STRING, run: INT, batch_id: LONG>>
-"""
-_AUDIT = "event STRING, metrics_count LONG, query STRING, run INT, batch_id LONG"
-# Files of one batch; the rows that changed in a batch are few.
-_BATCH_FILES = 2
-_OUTPUT = (*METRIC_COLUMNS, "computed_at", "run", "batch_id")
+from tidemark.streaming.batch_table import BatchTable
 
 
 def newest_per_key(rows: DataFrame) -> DataFrame:
@@ -52,171 +23,58 @@ def newest_per_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_place", place).groupBy(*METRIC_KEY).agg(*newest)
 
 
-class MetricTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _path(self, *parts: object) -> str:
-        return "/".join([self.root, *map(str, parts)])
-
-    # -- writing ------------------------------------------------------------
-
-    def batch_writer(self, query: str, run: int = 0) -> Callable[[DataFrame, int], None]:
-        """A ``foreachBatch`` function. Errors fail the batch; Spark then retries it."""
-        root = self.root
-
-        def write(batch: DataFrame, batch_id: int) -> None:
-            place = f"query={query}/run={run}/batch_id={batch_id}"
-            target = f"{root}/updates/{place}"
-            stamped = batch.select(*METRIC_COLUMNS, F.current_timestamp().alias("computed_at"))
-            # Counted while it is written: the batch is computed once.
-            seen = Observation()
-            counted = stamped.observe(seen, F.count(F.lit(1)).alias("n"))
-            counted.repartition(_BATCH_FILES).write.mode("overwrite").parquet(target)
-            spark, n = batch.sparkSession, seen.get["n"]
-            if not n:  # an empty batch leaves nothing behind
-                files.delete(spark, target)
-                files.delete(spark, f"{root}/audit/{place}")
-                return
-            line = spark.createDataFrame([("refresh", n)], "event STRING, metrics_count LONG")
-            line.coalesce(1).write.mode("overwrite").json(f"{root}/audit/{place}")
-
-        return write
-
-    # -- reading ------------------------------------------------------------
-
-    def _state(self) -> dict:
-        """The newest committed compaction; its size grows with the calendar only."""
-        versions = [
-            int(name.split("=")[1])
-            for name in files.children(self.spark, self._path("state"))
-            if files.exists(self.spark, self._path("state", name, "_SUCCESS"))
-        ]
-        if not versions:
-            return {"version": 0, "dates": [], "batches": []}
-        newest = self._path("state", f"version={max(versions)}")
-        return self.spark.read.schema(_STATE).json(newest).first().asDict(recursive=True)
-
-    def _base(self, state: dict, dates: set[str] | None = None) -> DataFrame | None:
-        wanted = [d for d in state["dates"] if dates is None or d["window_date"] in dates]
-        if not wanted:
-            return None
-        root = self._path("base")
-        folders = [f"{root}/version={d['version']}/window_date={d['window_date']}" for d in wanted]
-        rows = self.spark.read.option("basePath", root).schema(
-            f"{METRIC}, computed_at TIMESTAMP, run INT, batch_id LONG"
-        )
-        return rows.parquet(*folders).select(*_OUTPUT)
-
-    def _committed(self, state: dict) -> list[tuple[str, int, int, str]]:
-        """Query, run, number and folder of each finished batch that is not compacted yet."""
-        upto = {(b["query"], b["run"]): b["batch_id"] for b in state["batches"]}
-        found = []
-        for path in files.matching(self.spark, self._path("updates", "*", "*", "*", "_SUCCESS")):
-            folder = path.rpartition("/")[0]
-            query, run, batch = (part.partition("=")[2] for part in folder.split("/")[-3:])
-            if int(batch) > upto.get((query, int(run)), -1):
-                found.append((query, int(run), int(batch), folder))
-        return found
-
-    def _pending(self, committed: list[tuple[str, int, int, str]]) -> DataFrame | None:
-        if not committed:
-            return None
-        rows = self.spark.read.option("basePath", self._path("updates")).schema(_STORED)
-        return rows.parquet(*[folder for *_, folder in committed])
-
-    def _merged(
-        self, state: dict, pending: DataFrame | None, dates: set[str] | None = None
-    ) -> DataFrame:
-        base = self._base(state, dates)
-        parts = [p for p in (base, pending) if p is not None]
-        if not parts:
-            return self.spark.createDataFrame([], _STORED).select(*_OUTPUT)
-        rows = parts[0].select(*_OUTPUT)
-        for part in parts[1:]:
-            rows = rows.unionByName(part.select(*_OUTPUT))
-        return newest_per_key(rows)
+# What point reads ask for; the compacted rows of a date are sorted by it.
+_CLUSTER = ("metric_name", "dimension_key", "dimension_value")
+_RANGES = "file STRING, window_date STRING, low STRUCT<n: STRING, k: STRING, v: STRING>, high STRUCT<n: STRING, k: STRING, v: STRING>"
 
-    def current(self, first: date | None = None, last: date | None = None) -> DataFrame:
-        """The newest value of every metric key, of all dates or of a range.
 
-        A range reads only the base folders of its dates.
-        """
-        state = self._state()
-        dates = None
-        if first is not None or last is not None:
-            low, high = str(first or date.min), str(last or date.max)
-            dates = {d["window_date"] for d in state["dates"] if low <= d["window_date"] <= high}
-        pending = self._pending(self._committed(state))
-        rows = self._merged(state, pending, dates).select(*_OUTPUT)
-        day = F.to_date("window_start")
-        if first is not None:
-            rows = rows.filter(day >= F.lit(first))
-        if last is not None:
-            rows = rows.filter(day <= F.lit(last))
-        return rows
+class MetricTable(BatchTable):
+    """Beside the compacted rows lies, for each of their files, the range of keys it holds:
+
+        ranges/version=V/
+    """
 
-    def audit(self) -> DataFrame:
-        return self.spark.read.schema(_AUDIT).json(self._path("audit"))
+    schema = f"{METRIC}, computed_at TIMESTAMP"
 
-    # -- upkeep -------------------------------------------------------------
+    def day(self) -> Column:
+        return F.to_date("window_start")
 
-    def compact(self) -> int:
-        """Fold the pending batches into new base folders of the dates they touch.
+    def stamped(self, batch: DataFrame) -> DataFrame:
+        return batch.select(*METRIC_COLUMNS, F.current_timestamp().alias("computed_at"))
 
-        Returns the version now current. Batches that arrive meanwhile stay
-        pending.
-        """
-        state = self._state()
-        committed = self._committed(state)
-        fixed = self._pending(committed)
-        if fixed is None:
-            return state["version"]
-        upto = {(b["query"], b["run"]): b["batch_id"] for b in state["batches"]}
-        for query, run, batch, _ in committed:
-            upto[(query, run)] = max(batch, upto.get((query, run), -1))
-        batches = [{"query": q, "run": r, "batch_id": n} for (q, r), n in sorted(upto.items())]
-        dated = fixed.select(F.to_date("window_start").cast("string").alias("d")).distinct()
-        touched = {row["d"] for row in dated.collect()}
-        if not touched:
-            return state["version"]
-        version = state["version"] + 1
-        (
-            self._merged(state, fixed, touched)
-            .select(*_OUTPUT, F.to_date("window_start").alias("window_date"))
-            .write.mode("overwrite")
-            .partitionBy("window_date")
-            .parquet(self._path("base", f"version={version}"))
-        )
-        kept = {d["window_date"]: d["version"] for d in state["dates"]}
-        kept.update({d: version for d in touched})
-        dates = [{"window_date": d, "version": v} for d, v in sorted(kept.items())]
-        (
-            self.spark.createDataFrame([(version, dates, batches)], _STATE)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .json(self._path("state", f"version={version}"))
-        )
-        return version
-
-    def vacuum(self) -> None:
-        """Delete compacted batches and replaced base folders. Run it when nobody reads."""
-        state = self._state()
-        current = {(str(d["version"]), d["window_date"]) for d in state["dates"]}
-        for folder in files.children(self.spark, self._path("base")):
-            if not folder.startswith("version="):
-                continue
-            version = folder.split("=")[1]
-            if int(version) > state["version"]:
-                continue
-            for day in files.children(self.spark, self._path("base", folder)):
-                if day.startswith("window_date=") and (version, day.split("=")[1]) not in current:
-                    files.delete(self.spark, self._path("base", folder, day))
-        for done in state["batches"]:
-            place = ("updates", f"query={done['query']}", f"run={done['run']}")
-            for folder in files.children(self.spark, self._path(*place)):
-                number = folder.removeprefix("batch_id=")
-                if number.isdigit() and int(number) <= done["batch_id"]:
-                    files.delete(self.spark, self._path(*place, folder))
+    def merge(self, rows: DataFrame) -> DataFrame:
+        return newest_per_key(rows)
+
+    # -- point reads ----------------------------------------------------------
 
+    def _base_rows(self, rows: DataFrame) -> DataFrame:
+        order = [self.partition, *_CLUSTER, "window_start"]
+        return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def _base_written(self, version: int) -> None:
+        folder = self._path("base", f"version={version}")
+        rows = self.spark.read.schema(f"{METRIC}, {self.partition} STRING").parquet(folder)
+        key = F.struct(*(F.col(c).alias(a) for c, a in zip(_CLUSTER, "nkv", strict=True)))
+        files_ = rows.groupBy(F.col("_metadata.file_path").alias("file"), F.col(self.partition).alias("window_date"))
+        ranges = files_.agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        ranges.coalesce(1).write.mode("overwrite").json(self._path("ranges", f"version={version}"))
+
+    def point(self, metric: str, dimension_key: str = "", dimension_value: str = "", first: date | None = None, last: date | None = None) -> DataFrame:
+        """The windows of one metric and dimension value; of the compacted rows only the files that may hold it are read."""
+        state = self._state()
+        low, high = str(first or date.min), str(last or date.max)
+        held = {(d["version"], d["window_date"]) for d in state["dates"] if low <= d["window_date"] <= high}
+        found: list[str] = []
+        wanted = F.struct(F.lit(metric).alias("n"), F.lit(dimension_key).alias("k"), F.lit(dimension_value).alias("v"))
+        for version in sorted({v for v, _ in held}):
+            ranges = self.spark.read.schema(_RANGES).json(self._path("ranges", f"version={version}"))
+            inside = ranges.filter((F.col("low") <= wanted) & (wanted <= F.col("high")))
+            found += [r["file"] for r in inside.collect() if (version, r["window_date"]) in held]
+        base = self._folders(found)
+        pending = self._pending(self._committed(state))
+        parts = [p.select(*self._output) for p in (base, pending) if p is not None]
+        if not parts:
+            return self._empty()
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        same = (F.col("metric_name") == metric) & (F.col("dimension_key") == dimension_key) & (F.col("dimension_value") == dimension_value)
+        return self.merge(rows.filter(same & self.day().between(F.lit(low).cast("date"), F.lit(high).cast("date"))))

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import metrics as m
 from tidemark.operators.ingest import ALL_COLUMNS, ingest
 from tidemark.streaming import sinks
+from tidemark.streaming.event_store import EventStore
 from tidemark.streaming.metric_table import MetricTable
 
 WATERMARK = os.environ.get("SPARK_WATERMARK", "5 minutes")
@@ -49,6 +50,26 @@ class Layout:
     def dead_letters(self) -> str:
         return f"{self.root}/dead_letters"
 
+    @property
+    def event_store(self) -> str:
+        return f"{self.root}/event_store"
+
+    @property
+    def dead_letter_store(self) -> str:
+        return f"{self.root}/dead_letter_store"
+
+    @property
+    def sums(self) -> str:
+        return f"{self.root}/sums"
+
+    @property
+    def minute_users(self) -> str:
+        return f"{self.root}/minute_users"
+
+    @property
+    def rollup(self) -> str:
+        return f"{self.root}/rollup"
+
     @property
     def metrics(self) -> str:
         return f"{self.root}/metrics"
@@ -93,8 +114,10 @@ def start_all(
     """Start the raw, dead-letter and metric queries over one message stream.
 
     ``only`` restricts the run to some of them; the copy of the events without
-    repeats, ``unique_events``, runs only when named there. ``publish`` (kind,
-    location) also sends metrics and dead letters out as messages.
+    repeats, ``unique_events``, and the compacted store, ``event_store``, run only
+    when named there. ``publish`` (kind, location) also sends metrics and dead
+    letters out as messages. Each query reads the source on its own; see
+    ``fanout`` for all sinks from one read.
     """
     clean, dead = clean_stream(messages, watermark)
     table = MetricTable(spark, layout.metrics)
@@ -115,6 +138,13 @@ def start_all(
                 clean, layout.unique_events, layout.checkpoint("unique_events"), trigger
             )
         )
+    if only is not None and "event_store" in only:
+        store = EventStore(spark, layout.event_store)
+        started.queries.append(
+            sinks.start_event_store(
+                clean_stream(messages, watermark)[0], store, layout.checkpoint("event_store"), trigger, layout.run
+            )
+        )
     if wanted("dead_letters"):
         started.queries.append(
             sinks.start_dead_letters(

@@ -12,6 +12,7 @@ from tidemark.functions.columns import salt
 from tidemark.operators.ingest import PAYLOAD, to_stored
 from tidemark.schemas import DEAD_LETTER_TOPIC, METRICS_TOPIC
 from tidemark.sources import files
+from tidemark.streaming.event_store import EventStore
 from tidemark.streaming.metric_table import MetricTable
 
 
@@ -55,6 +56,14 @@ def start_raw_events(
     return _start(writer, "raw_events", checkpoint, trigger)
 
 
+def start_event_store(
+    clean: DataFrame, store: EventStore, checkpoint: str, trigger: Trigger, run: int = 0
+) -> StreamingQuery:
+    """Append every valid event to a store that can be compacted, however late it comes."""
+    writer = clean.writeStream.outputMode("append").foreachBatch(store.batch_writer("event_store", run))
+    return _start(writer, "event_store", checkpoint, trigger)
+
+
 def once_within_watermark(clean: DataFrame) -> DataFrame:
     """Each event id once; what lies behind the watermark is dropped.
 
@@ -180,7 +189,8 @@ def insert_absent(
     that failed may simply be repeated.
     """
     spark: SparkSession = incoming.sparkSession
-    fresh = incoming.filter(F.col(key).isNotNull())
+    seen = Observation()
+    fresh = incoming.observe(seen, F.count(F.lit(1)).alias("n")).filter(F.col(key).isNotNull())
     if files.exists(spark, path):
         table = spark.read.schema(incoming.schema).parquet(path)
         for column in (key, unique):
@@ -192,8 +202,9 @@ def insert_absent(
     alone = F.when(F.col(unique).isNull(), F.col(key))
     by_unique = Window.partitionBy(unique, alone).orderBy(key)
     fresh = fresh.withColumn("_place", F.row_number().over(by_unique)).filter("_place = 1")
+    # Both numbers come from the write: neither side is computed twice.
     written = Observation()
     fresh = fresh.select(*incoming.columns).observe(written, F.count(F.lit(1)).alias("n"))
     fresh.write.mode("append").parquet(path)
     inserted = written.get["n"]
-    return inserted, incoming.count() - inserted
+    return inserted, seen.get["n"] - inserted
