@@ -25,13 +25,13 @@ _TYPES = {
     "carts": "add_to_cart",
     "purchases": "purchase",
 }
-# Mart -> the column whose members have a row each.
+# Mart -> the SQL of its members, which have a row each.
 _MEMBERS = {
-    "summary": F.lit(""),
-    "product": F.col("product_id"),
-    "category": F.col("category_name"),
-    "segment": F.col("user_segment"),
-    "hour": F.date_trunc("hour", F.col("timestamp")).cast("string"),
+    "summary": "''",
+    "product": "product_id",
+    "category": "category_name",
+    "segment": "user_segment",
+    "hour": "CAST(date_trunc('hour', timestamp) AS STRING)",
 }
 # Marts that count users.
 _WITH_USERS = ("summary", "segment", "hour")
@@ -62,7 +62,7 @@ class MartUsers(BatchTable):
 
 def _by_mart(events: DataFrame, marts) -> DataFrame:
     """Each event once for each mart, with its member there."""
-    entries = F.array(*(F.struct(F.lit(m).alias("mart"), _MEMBERS[m].alias("member")) for m in marts))
+    entries = F.array(*(F.struct(F.lit(m).alias("mart"), F.expr(_MEMBERS[m]).alias("member")) for m in marts))
     return events.select(F.col("event_date").alias("date"), "event_type", "sale_price", "quantity", "user_id", F.inline(entries))
 
 

@@ -15,9 +15,10 @@ sees the sums of a later one.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -121,62 +122,79 @@ def minute_users_of(events: DataFrame) -> DataFrame:
     return events.select(F.window("timestamp", m.MINUTE)["start"].alias("window_start"), "user_id").distinct()
 
 
-def _metric(name: str, window_type: str, width: str, value: Column, key: Column | None = None, member: Column | None = None) -> list[Column]:
-    blank = F.lit("")
-    return [
-        F.col("window_start"),
-        (F.col("window_start") + F.expr(f"INTERVAL {width}")).alias("window_end"),
-        F.lit(window_type).alias("window_type"),
-        (F.lit(name) if name else F.col("name")).alias("metric_name"),
-        value.cast("double").alias("metric_value"),
-        (key if key is not None else blank).alias("dimension_key"),
-        (member if member is not None else blank).alias("dimension_value"),
-    ]
+_WHOLE = ("events", "revenue", "clicks", "carts", "purchases", "views", "users")
+_PAGES = ("page_seconds", "pages")
+
+
+def _minute_of(moment: str) -> Column:
+    return F.date_trunc("minute", moment)
 
 
-def _windows_of(minutes: DataFrame) -> DataFrame:
-    """The five-minute windows that hold a minute, one row for each."""
-    back = F.explode(F.array(*(F.expr(f"window_start - INTERVAL {i} MINUTE") for i in _FIVE)))
-    return minutes.select(back.alias("window_start"), *[c for c in minutes.columns if c != "window_start"])
+def _windows_of(minute: Column) -> Column:
+    """The windows a minute is part of: itself, five of five minutes, its hour."""
+
+    def window(kind: str, start: Column) -> Column:
+        return F.struct(F.lit(kind).alias("window_type"), start.alias("window_start"))
+
+    slid = [window("5m", minute - F.expr(f"INTERVAL {i} MINUTE")) for i in _FIVE]
+    return F.array(window("1m", minute), *slid, window("1h", F.date_trunc("hour", minute)))
 
 
 def metrics_of(sums: DataFrame, users: DataFrame, touched: DataFrame) -> DataFrame:
     """The metrics of the windows that hold a touched minute.
 
-    ``touched`` has the minutes as ``window_start``; ``sums`` and ``users`` those
-    minutes and the four on either side, and the hours.
+    ``touched`` has the minutes as ``window_start``; ``sums`` and ``users`` at least
+    those minutes, the four on either side, and the hours. Every sum goes to its
+    windows, and one aggregate has all that a window's metrics are made of.
     """
-    minutes = touched.select("window_start").distinct()
-    slid = _windows_of(minutes).distinct()
-    hours = minutes.select(F.date_trunc("hour", "window_start").alias("window_start")).distinct()
-    by_minute, by_hour = sums.filter("window_type = '1m'"), sums.filter("window_type = '1h'")
-
-    amount = lambda name: F.coalesce(F.sum(F.when(F.col("name") == name, F.col("amount"))), F.lit(0)).alias(name)
-    names = ("events", "revenue", "clicks", "carts", "purchases", "views")
-    whole = by_minute.filter(F.col("name").isin(*names))
-    # A minute is one row before it goes to its windows.
-    wide = whole.groupBy("window_start").agg(*(amount(n) for n in names))
-    own = wide.join(minutes, "window_start", "left_semi")
-    counts = {"events_1m": ("events", "events"), "revenue_1m": ("revenue", "revenue"), "click_1m": ("clicks", "click"), "cart_1m": ("carts", "add_to_cart"), "purchase_1m": ("purchases", "purchase")}
-    rows = [own.select(*_metric(metric, "1m", "1 MINUTE", F.col(column), F.lit(key))) for metric, (column, key) in counts.items()]
-
-    seen = users.join(minutes, "window_start", "left_semi").groupBy("window_start").agg(F.count("user_id").alias("users"))
-    rows.append(seen.select(*_metric("active_users_1m", "1m", "1 MINUTE", F.col("users"), F.lit("users"))))
-
-    rates = _windows_of(wide).join(slid, "window_start", "left_semi").groupBy("window_start").agg(*(F.sum(n).cast("long").alias(n) for n in ("clicks", "carts", "purchases", "views")))
-    rows.append(rates.select(*_metric("conversion_rate", "5m", "5 MINUTE", ratio(F.col("purchases"), F.col("clicks")))))
-    rows.append(rates.select(*_metric("add_to_cart_rate", "5m", "5 MINUTE", ratio(F.col("carts"), F.col("views")))))
-
-    pages = by_minute.filter("dimension_key = 'category'").groupBy("window_start", "dimension_value").agg(amount("page_seconds"), amount("pages"))
-    on_page = _windows_of(pages).join(slid, "window_start", "left_semi").groupBy("window_start", "dimension_value").agg(F.sum("page_seconds").cast("long").alias("seconds"), F.sum("pages").cast("long").alias("n"))
-    rows.append(on_page.select(*_metric("avg_time_on_page", "5m", "5 MINUTE", F.col("seconds") / F.col("n"), F.lit("category"), F.col("dimension_value"))))
-
-    hourly = by_hour.join(hours, "window_start", "left_semi")
-    rows.append(hourly.select(*_metric("", "1h", "1 HOUR", F.col("amount"), F.col("dimension_key"), F.col("dimension_value"))))
-    out = rows[0]
-    for each in rows[1:]:
-        out = out.unionByName(each)
-    return out.select(*METRIC_COLUMNS)
+    counted = users.groupBy("window_start").agg(F.count("user_id").cast("decimal(38,2)").alias("amount"))
+    blank = F.lit("")
+    rows = sums.select(*_SUM_KEY, "amount").unionByName(
+        counted.select("window_start", F.lit("1m").alias("window_type"), F.lit("users").alias("name"), blank.alias("dimension_key"), blank.alias("dimension_value"), "amount")
+    )
+    hour = F.array(F.struct(F.lit("1h").alias("window_type"), F.col("window_start").alias("window_start")))
+    targets = F.when(F.col("window_type") == "1h", hour).otherwise(F.filter(_windows_of(F.col("window_start")), lambda w: w["window_type"] != "1h"))
+    placed = rows.select(targets.alias("targets"), "name", "dimension_key", "dimension_value", "amount").select(F.inline("targets"), "name", "dimension_key", "dimension_value", "amount")
+    windows = touched.select(F.inline(_windows_of(F.col("window_start")))).distinct()
+    # The name tells hourly metrics apart; the sums of a minute go together.
+    hourly = F.when(F.col("window_type") == "1h", F.col("name")).otherwise(blank).alias("hourly")
+    amount = lambda n: F.coalesce(F.sum(F.when(F.col("name") == n, F.col("amount"))), F.lit(0)).alias(n)
+    grouped = (
+        placed.join(windows, ["window_type", "window_start"], "left_semi")
+        .groupBy("window_type", "window_start", hourly, "dimension_key", "dimension_value")
+        .agg(F.sum("amount").alias("amount"), *(amount(n) for n in (*_WHOLE, *_PAGES)))
+    )
+
+    def metric(name: Column, value: Column, key: Column = blank, member: Column = blank) -> Column:
+        return F.struct(name.alias("metric_name"), value.cast("double").alias("metric_value"), key.alias("dimension_key"), member.alias("dimension_value"))
+
+    minute = [
+        metric(F.lit(name), F.col(column), F.lit(key))
+        for name, column, key in (
+            ("events_1m", "events", "events"),
+            ("revenue_1m", "revenue", "revenue"),
+            ("click_1m", "clicks", "click"),
+            ("cart_1m", "carts", "add_to_cart"),
+            ("purchase_1m", "purchases", "purchase"),
+            ("active_users_1m", "users", "users"),
+        )
+    ]
+    whole = {n: F.col(n).cast("long") for n in (*_WHOLE, *_PAGES)}
+    rates = [
+        metric(F.lit("conversion_rate"), ratio(whole["purchases"], whole["clicks"])),
+        metric(F.lit("add_to_cart_rate"), ratio(whole["carts"], whole["views"])),
+    ]
+    by_category = F.col("dimension_key") == "category"
+    average = whole["page_seconds"] / F.nullif(whole["pages"], F.lit(0))
+    kind = F.col("window_type")
+    made = (
+        F.when(kind == "1h", F.array(metric(F.col("hourly"), F.col("amount"), F.col("dimension_key"), F.col("dimension_value"))))
+        .when((kind == "5m") & by_category, F.array(metric(F.lit("avg_time_on_page"), average, F.lit("category"), F.col("dimension_value"))))
+        .when(kind == "5m", F.array(*rates))
+        .when(~by_category, F.array(*minute))
+    )
+    width = F.when(kind == "1m", F.expr("INTERVAL 1 MINUTE")).when(kind == "5m", F.expr("INTERVAL 5 MINUTE")).otherwise(F.expr("INTERVAL 1 HOUR"))
+    return grouped.select("window_type", "window_start", (F.col("window_start") + width).alias("window_end"), F.inline(made)).select(*METRIC_COLUMNS)
 
 
 class FanOut:
@@ -206,12 +224,16 @@ class FanOut:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             clean, dead = rows.filter(is_valid()), rows.filter("error_reason IS NOT NULL")
-            self.write["store"](clean, batch_id)
-            self.write["dead"](dead, batch_id)
-            n = self.write["sums"](sums_of(clean), batch_id)
-            self.write["users"](minute_users_of(clean), batch_id)
-            self.write["rollup"](rollup_minutes(clean), batch_id)
-            metrics = self._metrics(clean) if n else self.metrics._empty()
+            days = Observation()
+            dated = clean.observe(days, F.collect_set(F.to_date("timestamp")).alias("days"))
+            # The first write parses and keeps the rows; the others do not wait for each other.
+            n = self.write["store"](dated, batch_id)
+            beside = {"dead": dead, "sums": sums_of(clean), "users": minute_users_of(clean), "rollup": rollup_minutes(clean)}
+            with ThreadPoolExecutor(len(beside)) as pool:
+                for done in [pool.submit(self.write[name], out, batch_id) for name, out in beside.items()]:
+                    done.result()
+            touched = clean.select(_minute_of("timestamp").alias("window_start")).distinct()
+            metrics = self._metrics(touched, days.get["days"]) if n else self.metrics._empty()
             self.write["metrics"](metrics, batch_id)
             if self.publish:
                 self._send(metrics, dead, batch_id)
@@ -223,10 +245,8 @@ class FanOut:
                 table.compact()
                 table.vacuum()
 
-    def _metrics(self, clean: DataFrame) -> DataFrame:
-        touched = clean.select(F.date_trunc("minute", "timestamp").alias("window_start")).distinct()
-        days = touched.select(F.to_date("window_start").alias("d")).distinct().collect()
-        around = {r["d"] + timedelta(days=n) for r in days for n in (-1, 0, 1)}
+    def _metrics(self, touched: DataFrame, days: list[date]) -> DataFrame:
+        around = {d + timedelta(days=n) for d in days for n in (-1, 0, 1)}
         return metrics_of(self.sums.on_dates(around), self.users.on_dates(around), touched)
 
     def _send(self, metrics: DataFrame, dead: DataFrame, batch_id: int) -> None:
