@@ -93,3 +93,50 @@ def test_short_blocks_between_content_stay_without_an_article(short):
     parts = [" ".join(p.split()) for p in re.split("<[^>]*>", short)]
     want = "\n".join([LONG.strip(), *filter(None, parts), LONG.strip()])
     assert main_text(f"<nav>{LONG}</nav><div><p>{LONG}</p>{short}<div class=ad>{LONG}</div><p>{LONG}</p></div><footer>{LONG}</footer>") == want
+
+
+COMMENT = "A reader says something about it, at length, and then some more. " * 6
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article><p>{LONG}</p></article><section id=comments><article>{COMMENT}</article><article>{COMMENT}</article></section>", LONG.strip()),
+        (f"<article><p>{LONG}</p><section class='comments-area'><article>{COMMENT}</article></section></article>", LONG.strip()),
+        (f"<main><article><p>{LONG}</p></article><div class='related-posts'><article><h2>Other</h2><p>{COMMENT}</p></article></div></main>", LONG.strip()),
+        (f"<article><p>{LONG}</p></article><article class=comment>{COMMENT}</article>", LONG.strip()),
+        (f"<div><p>{LONG}</p><p>{LONG}</p></div><section id=comments><article>{LONG}</article></section>", f"{LONG.strip()}\n{LONG.strip()}"),
+        (f"<div class='single comments-open'><article><h1>T</h1><p>{LONG}</p></article></div><article>x</article>", f"T\n{LONG.strip()}\nx"),
+        (f"<main><h1>T</h1><div class='has-comments'><article>{LONG}</article></div></main>", f"T\n{LONG.strip()}"),
+    ],
+)
+def test_comments_and_cards_go(html, text):
+    assert main_text(html) == text
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<body>{}</body>", "<div>{}</div>", "<nav><ul><li><a>menu</a></ul></nav><div>{}</div>"])
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_lists_at_the_ends_of_content_stay(wrap, order):
+    prose, items = f"<p>{LONG}</p><p>{LONG}</p>", "<ul><li>alpha<li>beta<li>gamma<li>delta</ul>"
+    lines = [f"{LONG.strip()}\n{LONG.strip()}", "alpha\nbeta\ngamma\ndelta"]
+    assert main_text(wrap.format("".join((prose, items)[i] for i in order))) == "\n".join(lines[i] for i in order)
+
+
+@pytest.mark.parametrize(
+    ("name", "kept"),
+    [("notice-board-content", True), ("share-price", True), ("search-results-story", True), ("ad", False), ("share-links", False), ("newsletter-box", False), ("related", False)],
+)
+def test_inside_an_article_a_name_must_say_nothing_else(name, kept):
+    got = main_text(f"<article><p>{LONG}</p><p>{LONG}</p><div class='{name}'>Some words here.</div></article>")
+    assert got == "\n".join([LONG.strip(), LONG.strip(), *(["Some words here."] if kept else [])])
+
+
+def test_paths_of_any_depth_and_far_siblings():
+    """Paths that differ only near the root are told apart; items end however deep the open elements are."""
+    deep = "<div>" * 60
+    page = f"<section>{deep}<p>{LONG}</p>{'</div>' * 60}</section><ul><li><a>x</a></ul>"
+    assert main_text(page) == LONG.strip()
+    inline = "<b><i><u><em><strong>"
+    assert main_text(f"<ul><li>{inline}one, {LONG}<li>{inline}two, {LONG}</ul>") == f"one, {LONG.strip()}\ntwo, {LONG.strip()}"
+    nested = f"<ul><li>one, {LONG}<ul><li>inner, {LONG}</ul><li>two, {LONG}</ul>"
+    assert main_text(nested) == f"one, {LONG.strip()}\ninner, {LONG.strip()}\ntwo, {LONG.strip()}"

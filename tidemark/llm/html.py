@@ -4,13 +4,16 @@ A page is cut into text blocks, each with the path of block elements from the
 root. Text length and punctuation are added up over the blocks of a path and
 divided by their number; the two ratios are fused on a log scale, smoothed along
 the page, and paths above a share of the page's best are content, with what
-stands between two of their blocks in one container. What an
+stands between two of their blocks in one container, and the lists, headings and
+paragraphs beside them there. What an
 element says about itself enters as a factor of its paths: none for navigation,
 notices, adverts, forms and the like, a higher one inside an article. Words in
 class, id or role, and forms, exclude nothing that is or has an article or main:
-wrappers of whole pages carry such words too. Nor do they exclude what has most
-of the page's unlinked text, unless that stands beside an article or main; there
-the ratios decide.
+wrappers of whole pages carry such words too. Only where they name comments or
+related pages, and there is an article besides, do the articles in them go. Nor
+do they exclude what has most of the page's unlinked text, unless that stands
+beside an article or main; there the ratios decide. Inside an article a name
+counts only if it says nothing else: ``share-row`` does, ``share-price`` does not.
 
 A null html is empty and gives an empty text; so does a page without text of its
 own. Broken markup is read as browsers do: elements left open end with their
@@ -43,17 +46,26 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea noscript template iframe svg object select button canvas audio video".split())
 _NO_CONTENT = frozenset("head title nav footer aside dialog menu search".split())
 _ARTICLE = frozenset(("article", "main"))
-# An element of these names ends when another of its list begins.
-_SIBLINGS = {name: names for names in (("li",), ("dt", "dd"), ("td", "th"), ("tr",), ("option",)) for name in names}
+# An element of these names ends when another of its list begins, unless a new list or table was begun in it.
+_LISTS = ((("li",), ("ul", "ol", "menu")), (("dt", "dd"), ("dl",)), (("td", "th"), ("tr", "table")), (("tr",), ("table", "tbody", "thead", "tfoot")))
+_SIBLINGS = {name: (names, frozenset(names), frozenset(around)) for names, around in _LISTS for name in names}
 # Elements that are parts of the container around them.
 _PARTS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup section li ul ol dl dt dd tr td th tbody thead tfoot pre blockquote figure figcaption hr".split())
 # Words in class, id or role that name what surrounds an article.
-_AROUND = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|notices?|alert|"
-    r"popup|modal|overlay|newsletter|subscri(?:be|ption)|sidebar|complementary|menu|nav|navbar|navigation|breadcrumbs?|"
-    r"footer|contentinfo|masthead|topbar|comments?|commentlist|disqus|repl(?:y|ies)|respond|related|recommended|share|sharing|"
-    r"social|widget|toolbar|pagination|pager|login|signup|search|skip)(?![a-z])"
+_AROUND_WORDS = (
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert "
+    "popup modal overlay newsletter subscribe subscription sidebar complementary menu nav navbar navigation breadcrumb breadcrumbs "
+    "footer contentinfo masthead topbar comment comments commentlist disqus reply replies respond related recommended share sharing "
+    "social widget toolbar pagination pager login signup search skip"
+).split()
+_AROUND = re.compile(rf"(?<![a-z])(?:{'|'.join(_AROUND_WORDS)})(?![a-z])")
+# Words beside them that say nothing of the content.
+_NEUTRAL = frozenset(
+    "area bar block bottom box button buttons card cards container form group header icons inner item items left link links list "
+    "outer posts right row section slot top unit wrap wrapper".split()
 )
+# Names that begin so are of what readers wrote, or of other pages.
+_SECONDARY = re.compile(r"(?:^|\s)(?:comments?|commentlist|disqus|repl(?:y|ies)|respond|related|recommended)(?![a-z])(?!-(?:open|closed|enabled|on|off)\b)")
 _HEADER = re.compile(r"(?<![a-z])header(?![a-z])")
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -67,7 +79,7 @@ _SMOOTHING = (0.25, 0.5, 0.25)
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: int  # number of its path of block elements
     element: int
     inline: bool  # whether only the border of an inline element parts it from the block before
     containers: tuple[int, ...] = ()  # numbers of the elements it is a part of
@@ -85,9 +97,12 @@ class Element:
     name: str
     gone: bool = False  # it has no content in any case
     around: bool = False  # its names are of what surrounds an article
+    only_around: bool = False  # and say nothing else
+    secondary: bool = False  # they are of comments or related pages
     header: bool = False
     unlinked: int = 0
     article: bool = False  # it is or has one
+    inner: int = 0  # unlinked text of its outermost articles
 
 
 def _element(name: str, attributes: str, above: int) -> Element | None:
@@ -97,19 +112,32 @@ def _element(name: str, attributes: str, above: int) -> Element | None:
         names = " ".join(m.strip("\"'") for m in _NAMED.findall(attributes)).lower()
         if names and name not in ("html", "body"):
             out.around |= bool(_AROUND.search(names))
+            out.only_around = out.around and _says_only(names)
+            out.secondary = bool(_SECONDARY.search(names))
             out.header |= bool(_HEADER.search(names))
         out.gone |= bool(_HIDDEN.search(attributes))
     return out if out.gone or out.around or out.header or name in _ARTICLE else None
 
 
+def _says_only(names: str) -> bool:
+    """Whether some name is made of nothing but words of what surrounds an article, and neutral ones."""
+    for name in names.split():
+        words = [w for w in re.split("[^a-z]+", name) if w]
+        if any(w in _AROUND_WORDS for w in words) and all(w in _AROUND_WORDS or w in _NEUTRAL for w in words):
+            return True
+    return False
+
+
 def _factors(elements: list[Element], page: list[Block]) -> list[float]:
     """Each element's factor for the paths through it: 0 once anything above has none."""
     for block in page:
         elements[block.element].unlinked += max(0, len(block.text) - block.linked)
     for e in elements[:0:-1]:  # elements come before what they have
         if not e.gone:
-            elements[e.above].unlinked += e.unlinked
-            elements[e.above].article |= e.article or e.name in _ARTICLE
+            above = elements[e.above]
+            above.unlinked += e.unlinked
+            above.article |= e.article or e.name in _ARTICLE
+            above.inner += e.unlinked if e.name in _ARTICLE else e.inner
     # The articles with text of their own, and how many of them each element is in.
     live = [e.name in _ARTICLE and e.unlinked > 0 for e in elements]
     inside, lost = [0], [False]
@@ -117,15 +145,24 @@ def _factors(elements: list[Element], page: list[Block]) -> list[float]:
         lost.append(lost[e.above] or e.gone)
         inside.append(inside[e.above] + (own and not lost[-1]))
     n_articles = sum(own and not off for own, off in zip(live, lost, strict=True))
+    in_articles = elements[0].inner
     out = [1.0]
     for i, e in enumerate(elements[1:], 1):
         above = out[e.above]
         if not above or e.gone or (e.name == "header" and above < ARTICLE_FACTOR):
             out.append(0.0)
+            continue
+        # The text of articles that is not in this element; of one around it, more than a heading.
+        beside = in_articles - (e.unlinked if inside[e.above] else e.inner if e.name not in _ARTICLE else e.unlinked)
+        if e.secondary and (e.article or e.name in _ARTICLE) and beside > (0.05 * e.unlinked if inside[e.above] else 0):
+            out.append(0.0)
+        elif e.secondary and e.article and not inside[e.above] and 4 * (elements[0].unlinked - e.unlinked) > e.unlinked:
+            out.append(0.0)  # the page has its text elsewhere, in no article
         elif e.name in _ARTICLE:
             out.append(ARTICLE_FACTOR)
         else:
-            named = e.around or (e.header and above < ARTICLE_FACTOR)
+            named = e.only_around if above == ARTICLE_FACTOR and e.name != "form" else e.around
+            named |= e.header and above < ARTICLE_FACTOR
             most = 2 * e.unlinked > elements[0].unlinked and inside[i] == n_articles
             out.append(0.0 if named and not e.article and not most else above)
     return out
@@ -143,7 +180,8 @@ def _raw_end(html: str, lower: str, name: str, at: int) -> int:
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page, in order; a block has the text between two borders of block elements."""
     lower = html.lower() if len(html.lower()) == len(html) else html
-    stack: list[tuple[str, tuple[str, ...], int, tuple[int, ...]]] = []
+    stack: list[tuple[str, int, int, tuple[int, ...]]] = []
+    paths: dict[tuple[int, str], int] = {}
     numbers = count(1)
     elements = [Element(0, "")]
     open_: Counter[str] = Counter()
@@ -156,7 +194,7 @@ def blocks(html: str) -> list[Block]:
         if now is None:
             if not inline and not text.strip():
                 return
-            _, path, element, containers = stack[-1] if stack else ("", (), 0, (0,))
+            _, path, element, containers = stack[-1] if stack else ("", 0, 0, (0,))
             out.append(now := Block(path, element, inline, containers))
         now.parts.append(text)
         if open_["a"]:
@@ -224,12 +262,15 @@ def blocks(html: str) -> list[Block]:
             border(name)
             if open_["p"]:
                 leave("p")
-            for sibling in _SIBLINGS.get(name, ()):
-                if open_[sibling] and any(e[0] == sibling for e in stack[-4:]):
-                    leave(sibling)
+            if name in _SIBLINGS:
+                ordered, siblings, around = _SIBLINGS[name]
+                if any(open_[sibling] for sibling in ordered):
+                    nearest = next(e[0] for e in reversed(stack) if e[0] in siblings or e[0] in around)
+                    if nearest in siblings:
+                        leave(nearest)
         elif attributes.endswith("/"):
             continue
-        _, path, at_element, containers = stack[-1] if stack else ("", (), 0, (0,))
+        _, path, at_element, containers = stack[-1] if stack else ("", 0, 0, (0,))
         if found := _element(name, attributes, at_element):
             at_element = len(elements)
             elements.append(found)
@@ -239,7 +280,9 @@ def blocks(html: str) -> list[Block]:
             containers = containers[:1]
         elif name in _BLOCK:  # its own text may be one part among others of the element around it
             containers = (next(numbers), containers[0])
-        stack.append((name, (*path[-31:], name) if name in _BLOCK else path, at_element, containers))
+        if name in _BLOCK:
+            path = paths.setdefault((path, name), len(paths) + 1)
+        stack.append((name, path, at_element, containers))
         open_[name] += 1
     for block in out:
         block.text = _plain(block.parts)
@@ -298,6 +341,11 @@ def main_text(html: str, threshold: float = THRESHOLD) -> str:
             until = max(until, *(last[c] for c in b.containers))
         elif i < until and b.factor:
             content[i] = True
+    # And the parts beside content in the container they are directly in, unless they are links.
+    holding = {b.containers[0] for b, c in zip(page, content, strict=True) if c}
+    for i, b in enumerate(page):
+        if b.factor and len(b.containers) == 1 and b.containers[0] in holding and 2 * b.linked < len(b.text):
+            content[i] = True
     # What stands between or beside content in one article belongs to it, however short; what is excluded parts nothing.
     inner = [i for i, b in enumerate(page) if b.factor]
     for order in (inner, inner[::-1]):
