@@ -72,3 +72,22 @@ def test_pieces_of_bounded_size_find_the_same(spark, monkeypatch):
 def test_odd_rows(spark):
     assert rows_of(substrings.remove_repeats(documents(spark))) == brute(odd_rows())
     assert substrings.remove_repeats(empty(spark)).collect() == []
+
+
+def test_rows_that_repeat_take_no_longer_than_copies(spark):
+    """2,000 rows of one id and text against 2,000 copies with ids of their own."""
+    import time
+
+    text = " ".join([prose(31, 300), prose(32, 200), prose(31, 300)])
+
+    def run(ids):
+        start = time.perf_counter()
+        rows = documents(spark, [(i, text, "en", "s", 0) for i in ids], extra=False)
+        got = substrings.remove_repeats(rows).select("doc_id", "n_words", "n_removed").collect()
+        return got, time.perf_counter() - start
+
+    run(range(10))
+    copies, own = run(range(2000))
+    repeats, alike = run([7] * 2000)
+    assert len(repeats) == 2000 and {tuple(r) for r in repeats} == {(7, 800, copies[0]["n_removed"] if copies[0]["doc_id"] == 0 else 300)}
+    assert alike < 2 * own + 5

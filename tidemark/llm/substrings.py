@@ -229,7 +229,8 @@ def _without_first(occurrences: DataFrame) -> DataFrame:
 
 
 def _spans(occurrences: DataFrame) -> DataFrame:
-    return occurrences.groupBy("key").agg(F.collect_list("span").alias("spans"))
+    # Rows that repeat an id and its text have one key; each of its spans is needed once.
+    return occurrences.groupBy("key").agg(F.collect_set("span").alias("spans"))
 
 
 def _result(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +275,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     places = repeated.select(
         F.shiftrightunsigned("at", _PLACE_BITS).alias("ref"), F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("place")
     )
-    places = places.groupBy("ref").agg(F.collect_list("place").alias("places"))
+    places = places.groupBy("ref").agg(F.collect_set("place").alias("places"))
     packed = rows.mapInArrow(_packed, "key long, doc_id long, n_words long, digest string, z binary")
     joined = packed.join(places, packed["key"].bitwiseAND(F.lit(_REF_MASK)) == places["ref"], "left").drop("ref")
     texts = written(joined.withColumn("z", F.when(F.col("places").isNotNull(), F.col("z"))), "texts")
