@@ -58,3 +58,20 @@ def test_long_vectors_add_up_exactly(spark):
 
 def test_empty_table(spark):
     assert ann.nearest(empty(spark, VECTORS), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_huge_doubles_lose_no_neighbour(spark):
+    """Squares beyond a double leave no bound; all such pairs are computed."""
+    rng = np.random.default_rng(3)
+    rows = [(0, [1.0, 0.0])] + [(i, rng.normal(size=2).tolist()) for i in range(1, 25)] + [(25, [1e200, 1.0]), (26, [1e308, -1e308]), (40, [1e308, 1e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=3).orderBy("query_id", "rank").collect()]
+    want = []
+    for q, x in rows:
+        if q % 20 == 0:
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = [(float(np.float64(x[0]) * c[0] + np.float64(x[1]) * c[1]), v) for v, c in rows if v != q]
+            scores = [(-np.inf if np.isnan(s) else s, v) for s, v in scores]
+            best = sorted((-s, v) for s, v in scores)[:3]
+            want += [(q, n, v, -s) for n, (s, v) in enumerate(best, 1)]
+    assert got == want

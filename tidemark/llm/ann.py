@@ -11,7 +11,9 @@ Vectors that are null, zero, or hold null or non-finite components take no part;
 neither do rows without an id. Only vectors of one length are compared. Rows
 that repeat an id with the same vector count once; other vectors of one id are
 vectors of their own, and none of them is a candidate for a query of that id.
-Equal scores go to the smaller id. Without vectors the result is empty.
+Equal scores go to the smaller id. A score beyond a double is infinite, one of
+infinite terms of either sign comes last, as minus infinity. Without vectors the
+result is empty.
 """
 
 from __future__ import annotations
@@ -51,7 +53,8 @@ def _int8(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     scale[scale == 0] = 1  # components too small to divide
     q = np.rint(x / scale[:, None])
     near = q * scale[:, None]
-    return q.astype(np.float32), scale, np.sqrt(np.square(x - near).sum(axis=1)), np.sqrt(np.square(near).sum(axis=1))
+    with np.errstate(over="ignore"):
+        return q.astype(np.float32), scale, np.sqrt(np.square(x - near).sum(axis=1)), np.sqrt(np.square(near).sum(axis=1))
 
 
 def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
@@ -61,18 +64,26 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
     about = np.zeros((len(queries), len(vectors)))
     for d in range(0, queries.shape[1], _EXACT):
         about += q8[:, d : d + _EXACT] @ c8[:, d : d + _EXACT].T
-    about *= q_scale[:, None] * c_scale
+    with np.errstate(over="ignore", invalid="ignore"):
+        about *= q_scale[:, None] * c_scale
     # q.c - q'.c' = (q - q').c + q'.(c - c'); the last term is for rounding in double precision.
     norm = c_norm + c_error
-    bound = q_error[:, None] * norm + q_norm[:, None] * c_error + 1e-12 * (q_norm + q_error)[:, None] * norm
+    with np.errstate(over="ignore", invalid="ignore"):
+        bound = q_error[:, None] * norm + q_norm[:, None] * c_error + 1e-12 * (q_norm + q_error)[:, None] * norm
+        lowest, highest = about - bound, about + bound
+    # Of huge components the squares are beyond a double; such pairs survive.
+    unknown = ~np.isfinite(lowest) | ~np.isfinite(highest)
+    lowest[unknown], highest[unknown] = -np.inf, np.inf
     for i, query in enumerate(query_ids):
         allowed = np.flatnonzero(ids != query)
-        low = about[i, allowed] - bound[i, allowed]
+        low = lowest[i, allowed]
         if len(low) > k:
             least = np.partition(low, len(low) - k)[len(low) - k]
-            allowed = allowed[about[i, allowed] + bound[i, allowed] >= least]
+            allowed = allowed[highest[i, allowed] >= least]
         # Added up one component after the other, so equal vectors score alike.
-        scores = np.cumsum(vectors[allowed] * queries[i], axis=1)[:, -1] if len(allowed) else np.zeros(0)
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = np.cumsum(vectors[allowed] * queries[i], axis=1)[:, -1] if len(allowed) else np.zeros(0)
+        scores[np.isnan(scores)] = -np.inf  # infinite terms of either sign: no order, so last
         best = heapq.nsmallest(k, zip(-scores, ids[allowed], strict=True))
         yield from ((int(query), int(v), -float(s)) for s, v in best)
 
