@@ -61,3 +61,15 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert mixing.taken(empty(spark)).collect() == []
+
+
+def test_rows_alike_spread_over_the_bins(spark):
+    """Null ids and repeated rows of one size are dealt like others, and reruns agree."""
+    rows = [(None, prose(i % 700, 20), "en", "a", 0) for i in range(3000)] + [(5, prose(1, 20), "en", "a", 0)] * 3000
+    docs = documents(spark, rows, extra=False)
+    bins = mixing.mix(docs).groupBy("bin").count().collect()
+    assert len(bins) > 50 and max(r["count"] for r in bins) < 400
+    once, again = (sorted(map(str, mixing.taken(d).collect())) for d in (docs, docs.repartition(7)))
+    assert once == again
+    one, two = (sorted(map(str, mixing.blocks(d).collect())) for d in (docs, docs.repartition(5)))
+    assert one == two

@@ -29,6 +29,8 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 SEED = 20240305
+# Copies of a row that are numbered in one array.
+_COPIES = 1 << 16
 
 
 def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> list[float]:
@@ -168,6 +170,22 @@ def _slots(plan: Plan, docs: DataFrame, seed: int) -> DataFrame:
     return docs.sparkSession.range(int(sum(plan.slots))).mapInArrow(run, "sid long, block long, words long, shard long, slot long")
 
 
+def _numbered_copies(docs: DataFrame, text: bool) -> DataFrame:
+    """(doc_id, source, size, text_id, copy) of every row, and its text if asked for; rows alike are numbered.
+
+    Rows that repeat an id, or have none, are told apart by a hash of their text
+    and by their number, so they spread over the bins like any others, and the
+    same rows come in the same order in every run.
+    """
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_id"), *(["text"] if text else []))
+    alike = rows.groupBy("doc_id", "source", "size", "text_id").agg(F.count("*").alias("n"), *([F.first("text").alias("text")] if text else []))
+    # Two steps, so that no array grows with the number of copies beyond its root.
+    many = alike.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {_COPIES}"))))
+    last = F.least(F.lit(_COPIES).cast("long"), F.col("n") - F.col("part") * _COPIES) - 1
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("place")
+    return many.select("*", copy).withColumn("copy", F.col("part") * _COPIES + F.col("place")).drop("n", "part", "place")
+
+
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED, text: bool = False, **how) -> DataFrame:
     """The pieces of the mix, one row for each document in a slot, and one with null shard for each not taken.
 
@@ -179,25 +197,24 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
     levels, bins of a source and rows of a bin; either has about the square
     root of the source's rows, so no task holds a whole source.
     """
-    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *(["text"] if text else []))
-    rows = written(rows, "sizes")
+    rows = written(_numbered_copies(docs, text), "sizes")
     p = plan(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect(), block_words, shards, seed, **how)
     known = docs.sparkSession.createDataFrame(
         [(i, *x, int(np.ceil(np.sqrt(x[1])))) for i, x in enumerate(zip(p.sources, p.rows, p.sizes, p.targets, strict=True))],
         "sid long, name string, rows long, source_size long, target double, bins long",
     )
     rows = rows.join(known, rows["source"].eqNullSafe(known["name"])).drop("name", "rows")
-    rows = rows.withColumn("bin", F.pmod(F.xxhash64("doc_id", "size"), "bins")).drop("bins")
+    rows = rows.withColumn("bin", F.pmod(F.xxhash64("doc_id", "size", "text_id", "copy"), "bins")).drop("bins")
     bins = rows.groupBy("sid", "bin").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("sid").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.select("sid", "bin", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
-    place = Window.partitionBy("sid", "bin").orderBy("doc_id", "size")
+    place = Window.partitionBy("sid", "bin").orderBy("doc_id", "size", "text_id", "copy")
     rows = (
         rows.withColumn("row", F.row_number().over(place))
         .withColumn("end", F.sum("size").over(place.rowsBetween(Window.unboundedPreceding, 0)))
         .join(bins, ["sid", "bin"])
         .withColumn("start", F.col("offset") + F.col("end") - F.col("size"))
-        .drop("offset", "end")
+        .drop("offset", "end", "text_id", "copy")
     )
     b = F.lit(block_words).cast("long")
     span = F.when(F.col("size") > 0, F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")))
