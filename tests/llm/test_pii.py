@@ -7,6 +7,7 @@ import pytest
 
 from tests.llm.cases import documents, empty, odd_rows, prose
 from tidemark.llm import pii
+from tidemark.llm.common import table
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -154,3 +155,38 @@ def test_long_texts_teach_by_pieces(spark):
     assert any("a.b@c.example.com" in p for p in parts) and sum(map(len, parts)) <= pii.TRAIN_CHARS
     model = pii.fit(documents(spark, [(1, long, "en", "a", len(long))]))
     assert max(model.thresholds.values()) <= 1
+
+
+def test_card_numbers_beside_another_number_are_added(spark, sf_dir):
+    """The fixed pattern takes two numbers in a row as one run of digits; the model takes them apart."""
+    model = pii.fit(table(spark, sf_dir, "documents"))
+    rng = random.Random(5)
+    added = wrong = 0
+    for _ in range(60):
+        while not pii.luhn(card := "5" + "".join(rng.choice("0123456789") for _ in range(15))):
+            pass
+        while pii.luhn(other := "".join(rng.choice("0123456789") for _ in range(16))):
+            pass
+        while pii.luhn(third := "".join(rng.choice("0123456789") for _ in range(16))):
+            pass
+        for text, span in ((f"Pay with {card} {other} today", (9, 25)), (f"Pay with {other} {card} today", (26, 42)), (f"Pay with {other} {third} today", None)):
+            base = pii.base_spans(text)
+            assert not base["card"]
+            found = pii.added_spans(model, text, base)["card"]
+            added += span in found
+            wrong += any(s != span for s in found)
+    assert added >= 108 and wrong <= 6
+
+
+def test_overlaps_are_found_however_many_spans_lie_between():
+    spans = sorted([(0, 1000), *((i, i + 1) for i in range(1, 60))])
+    taken = pii._reach(spans)
+    for start in range(0, 1100, 7):
+        for end in (start + 1, start + 9):
+            assert pii._meets(start, end, *taken) == any(start < e and s < end for s, e in spans)
+
+
+def test_long_local_parts_are_whole():
+    local = " dot ".join(["a" * 60] * 4)
+    text = f"write to {local} at example dot org"
+    assert ("email", 9, len(text)) in pii.candidates(text)

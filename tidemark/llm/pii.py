@@ -6,8 +6,8 @@ overlap: written-out addresses, bracketed dots, other separators, numbers
 without a country code. Boosted trees judge each by its format and its context,
 and a threshold for each kind, calibrated on texts left out of training, selects
 what is added. Nothing marks personal data in the tables, so the trees learn
-from the fixed patterns' finds, rewritten as people disguise them, against the
-candidates beside them and numbers of other kinds.
+from the fixed patterns' finds, rewritten as people disguise them or set beside
+another number, against the candidates beside them and numbers of other kinds.
 
 Training takes at most ``TRAIN_TEXTS`` texts, the same number for each kind from
 all that hold a find of it, and as many with other candidates and with none; of a
@@ -27,9 +27,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,8 @@ _DIGIT = re.compile(r"[0-9]")
 _AT = re.compile(r"@|[(\[{] ?at ?[)\]}]| at ")
 _WRITTEN_DOMAIN = re.compile(r" ?[A-Za-z0-9-]{1,63}(?:(?:\.| ?[(\[{] ?(?:dot|\.) ?[)\]}] ?| dot )[A-Za-z0-9-]{1,63}){1,6}")
 _WRITTEN_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:(?: ?[(\[{] ?(?:dot|\.) ?[)\]}] ?| dot )[A-Za-z0-9._%+-]{1,64}){0,3}\Z")
+# The longest local part that the pattern takes, with the signs in it.
+_LEAD = 4 * 64 + 3 * 7
 _GENERATORS = (
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?[\[(]?\.[\])]? ?[0-9]{1,3}){3}(?![0-9])")),
     ("card", re.compile(r"(?<![0-9])[0-9](?:[ ./_–-]{0,2}[0-9]){12,18}(?![0-9])")),
@@ -123,7 +127,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     out = []
     for at in _AT.finditer(text):
         domain = _WRITTEN_DOMAIN.match(text, at.end())
-        head = text[max(0, at.start() - 100) : at.start()]
+        head = text[max(0, at.start() - _LEAD) : at.start()]
         local = _WRITTEN_LOCAL.search(head.rstrip(" ")) if domain else None
         if local:
             out.append(("email", at.start() - len(head) + local.start(), domain.end()))
@@ -235,6 +239,20 @@ def _disguised(kind: str, span: str, rng: random.Random) -> str:
     return rng.choice([f"({area}) {rest}-{last}", f"{area}-{rest}-{last}", f"{area}.{rest}.{last}", f"00{digits[:-10]} {area} {rest} {last}", f"{area} {rest} {last}"])
 
 
+def _missed(kind: str, span: str, rng: random.Random) -> tuple[str, str, str]:
+    """A find that the fixed pattern misses, and what stands right before and after it.
+
+    It is disguised, or a card number beside another number: the pattern takes
+    both as one run of digits, which is too long for a card.
+    """
+    if kind != "card" or rng.random() < 0.7:
+        return "", _disguised(kind, span, rng), ""
+    while luhn(other := "".join(rng.choice("0123456789") for _ in range(rng.choice([12, 16, 16, 16, 19])))):
+        pass
+    digits = _only_digits(span)
+    return (f"{other} ", digits, "") if rng.random() < 0.5 else ("", digits, f" {other}")
+
+
 def _other_number(rng: random.Random) -> str:
     """Numbers and phrases that only look like personal data."""
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
@@ -305,14 +323,10 @@ def _hidden(kind: str, span: str) -> bool:
     return base_spans(plain)[kind] == [(0, len(plain))]
 
 
-def _overlaps(start: int, end: int, spans: list[Span]) -> bool:
-    return any(start < e and s < end for s, e in spans)
-
-
 def _other_examples(text: str, found: dict[str, list[Span]]) -> list[tuple[list[float], int]]:
     """Candidates of a text that are no finds, not even hidden ones."""
-    taken = sorted(s for spans in found.values() for s in spans)
-    return [(features(k, s, e, text), 0) for k, s, e in candidates(text) if not _near_overlap(s, e, taken) and not _hidden(k, text[s:e])]
+    taken = _reach(sorted(s for spans in found.values() for s in spans))
+    return [(features(k, s, e, text), 0) for k, s, e in candidates(text) if not _meets(s, e, *taken) and not _hidden(k, text[s:e])]
 
 
 def _find_examples(kind: str, before: str, span: str, after: str, rng: random.Random) -> list[tuple[list[float], int]]:
@@ -320,10 +334,13 @@ def _find_examples(kind: str, before: str, span: str, after: str, rng: random.Ra
     out = []
     for _ in range(_DISGUISES):
         other = _other_phrase(rng) if kind == "email" and rng.random() < 0.5 else _other_number(rng)
-        for label, written in ((1, _disguised(kind, span, rng)), (0, other)):
-            text, start, end = before + written + after, len(before), len(before) + len(written)
+        for label, (left, written, right) in ((1, _missed(kind, span, rng)), (0, ("", other, ""))):
+            text = before + left + written + right + after
+            start = len(before) + len(left)
+            end = start + len(written)
             for k, s, e in candidates(text):
-                if s < end and start < e and (not label or (k == kind and s <= start and e >= end)):
+                whole = (s, e) == (start, end) if left or right else s <= start and e >= end
+                if s < end and start < e and (not label or (k == kind and whole)):
                     out.append((features(k, s, e, text), label))
     return out
 
@@ -371,27 +388,30 @@ def added_spans(model: Model, text: str, base: dict[str, list[Span]]) -> dict[st
     out: dict[str, list[Span]] = {kind: [] for kind in KINDS}
     if model.trees is None or not (some := candidates(text)):
         return out
-    taken = sorted(s for spans in base.values() for s in spans)
-    free = [c for c in some if not _near_overlap(c[1], c[2], taken)]
+    taken = _reach(sorted(s for spans in base.values() for s in spans))
+    free = [c for c in some if not _meets(c[1], c[2], *taken)]
     if not free:
         return out
     chance = model.trees.chance(np.array([features(k, s, e, text) for k, s, e in free], float))
-    chosen: list[Span] = []
+    starts: list[int] = []
+    ends: list[int] = []  # of spans that do not overlap, so in order as well
     for p, start, kind, end in sorted((-p, s, k, e) for p, (k, s, e) in zip(chance, free, strict=True) if p >= model.thresholds[k]):
-        if not _near_overlap(start, end, chosen):
+        if not _meets(start, end, starts, ends):
             out[kind].append((start, end))
-            chosen.append((start, end))
-            chosen.sort()
+            insort(starts, start)
+            insort(ends, end)
     return {kind: sorted(spans) for kind, spans in out.items()}
 
 
-def _near_overlap(start: int, end: int, spans: list[Span]) -> bool:
-    """Whether a sorted list has a span that overlaps; fixed finds of two kinds may overlap each other a little."""
-    lo, hi = 0, len(spans)
-    while lo < hi:
-        mid = (lo + hi) // 2
-        lo, hi = (mid + 1, hi) if spans[mid][0] < end else (lo, mid)
-    return any(start < e and s < end for s, e in spans[max(0, lo - 8) : lo])
+def _reach(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Where sorted spans begin, and how far they and all before them reach."""
+    return [s for s, _ in spans], list(accumulate((e for _, e in spans), max))
+
+
+def _meets(start: int, end: int, starts: list[int], reach: list[int]) -> bool:
+    """Whether any of the spans overlaps: of those that begin before the end, one reaches beyond the start."""
+    i = bisect_left(starts, end)
+    return i > 0 and reach[i - 1] > start
 
 
 def joined(spans: dict[str, list[Span]]) -> str:
