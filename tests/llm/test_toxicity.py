@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -110,3 +111,14 @@ def test_a_repeated_id_teaches_by_one_text(spark, monkeypatch):
 def test_a_run_counts_the_same_wherever_it_begins():
     found = [toxicity._strongest(np.r_[np.zeros(k), np.ones(toxicity.WINDOW), np.zeros(20 - k)]) for k in range(20)]
     assert np.allclose(found, 1)
+
+
+def test_recall_on_supplied_texts(spark, sf_dir):
+    """Few toxic labels, 33 to learn from: most of the others are found all the same, and few clean texts with them."""
+    from tidemark.llm.common import table
+    from tidemark.llm.queries import op1_toxicity
+
+    small = f"{os.path.dirname(sf_dir)}/sf0.01"
+    found = op1_toxicity(spark, small).where("held_out").join(table(spark, small, "labels"), "doc_id").collect()
+    toxic, clean = ([r["predicted"] for r in found if r["toxic"] == t] for t in (1, 0))
+    assert sum(toxic) >= 0.5 * len(toxic) and sum(clean) <= 0.05 * len(clean)

@@ -111,14 +111,19 @@ def _fit(windows: list[np.ndarray], labels: np.ndarray, model: Model, words: tup
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, with a weak prior; scaled first so that few steps do."""
+    """Slope and offset of a logistic curve, with a weak prior; scaled first so that few steps do.
+
+    Either class weighs the same, however many of its texts there are: few toxic
+    labels say little about how rare toxic texts are, and must not silence the score.
+    """
     centre, spread = float(x.mean()), float(x.std()) or 1.0
     z = np.stack([(x - centre) / spread, np.ones_like(x)], axis=1)
+    weight = np.where(y == 1, len(y) / max(1.0, 2 * y.sum()), len(y) / max(1.0, 2 * (1 - y).sum()))
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (p - y) + 0.01 * w
-        curve = (z * (p * (1 - p))[:, None]).T @ z + 0.01 * np.eye(2)
+        slope = z.T @ (weight * (p - y)) + 0.01 * w
+        curve = (z * (weight * p * (1 - p))[:, None]).T @ z + 0.01 * np.eye(2)
         w -= np.linalg.solve(curve, slope)
     return float(w[0] / spread), float(w[1] - w[0] * centre / spread)
 
