@@ -109,3 +109,16 @@ def test_a_repeated_item_is_compared_once(spark, monkeypatch):
     got = d.find(documents(spark, [(1, item, "en", "s", 0), (1, item, "en", "s", 0)]), items, slice_words=10).collect()
     assert len(got) == 2 * 502 and sum(r["item_id"] == 7 for r in got) == 4 and sum(r["item_id"] is None for r in got) == 2
     assert sum(sizes) == 2
+
+
+def test_clean_is_the_same_with_and_without_a_broadcast(spark, monkeypatch, plan):
+    item = prose(50, 40)
+    rows = [(i, item if i % 3 == 0 else prose(100 + i, 60), "en", "s", 0) for i in range(30)] + [(None, item, "en", "s", 0), (None, prose(7, 30), "en", "s", 0)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = documents(spark, rows, extra=False)
+    few = d.clean(docs, items)
+    assert "Broadcast" in plan(few)
+    monkeypatch.setattr(d, "BROADCAST_BYTES", 0)
+    many = d.clean(docs, items)
+    kept = [sorted(r["doc_id"] for r in kept.collect()) for kept in (few, many)]
+    assert kept[0] == kept[1] == [i for i in range(30) if i % 3]

@@ -29,13 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import mix64, n_words, numbered, on_executors, pieces, utf8
+from tidemark.llm.common import mix64, n_words, numbered, on_executors, pieces, utf8, written
 
 MIN_MATCH = 5
 SHORTEST = 3
 COVERAGE = 0.6
 LONG_RUN = 25
 SLICE_WORDS = 1 << 20
+# Ids of documents to be taken out that are broadcast at most; a row of a hashed relation is about so long.
+BROADCAST_BYTES = 64 << 20
+_ID_BYTES = 64
 _BASE = 0x9E3779B97F4A7C15
 FOUND = "doc_id long, _item string, coverage double, tiles int, longest int"
 
@@ -281,5 +284,8 @@ def find(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of documents in which no item is covered or copied at length; rows without a doc_id are judged together."""
-    found = find(docs, benchmark, **how).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")
+    found = written(find(docs, benchmark, **how).select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
+    # Few ids go to the documents; the documents are dealt out only where the ids are too many for that.
+    few = found.count() * _ID_BYTES <= BROADCAST_BYTES
+    gone = F.broadcast(found) if few else found
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")
