@@ -178,7 +178,8 @@ def test_repair_of_late_windows(spark, folder):
 
 
 def test_nothing_late_nothing_repaired(spark, folder):
-    put(f"{folder}/in", cut(shop_rows(40), 2))
+    # Four minutes in all: no window can have been closed when an event came.
+    put(f"{folder}/in", cut(shop_rows(40, 0.1), 2))
     layout = run.Layout(f"{folder}/out")
     run.start_all(spark, json_stream(spark, f"{folder}/in"), layout, ONCE, only=("counts_1m", "event_store")).wait()
     table = MetricTable(spark, layout.metrics)

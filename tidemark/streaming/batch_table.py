@@ -20,7 +20,8 @@ or replayed is never taken half.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,9 +35,28 @@ _STATE = """
     dates ARRAY<STRUCT<window_date: STRING, version: INT>>,
     batches ARRAY<STRUCT<query: STRING, run: INT, batch_id: LONG>>
 """
+_ADAPTIVE = "spark.sql.adaptive.enabled"
 _AUDIT = "event STRING, metrics_count LONG, query STRING, run INT, batch_id LONG"
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for what is written of a micro-batch.
+
+    A stream turns it off in its session, since its own plan must not change from
+    batch to batch; the writes of a finished batch may adapt to its size.
+    """
+    before = spark.conf.get(_ADAPTIVE)
+    if before == "true":
+        yield
+        return
+    spark.conf.set(_ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADAPTIVE, before)
+
+
 class BatchTable:
     """What its rows are, and how rows of several batches become one, is up to the subclass."""
 
@@ -78,8 +98,10 @@ class BatchTable:
             # files as its bytes ask for.
             seen = Observation()
             counted = self.stamped(batch).observe(seen, F.count(F.lit(1)).alias("n"))
-            self._write(counted, target)
-            spark, n = batch.sparkSession, seen.get["n"]
+            spark = batch.sparkSession
+            with adaptive(spark):
+                counted.hint("rebalance").write.mode("overwrite").parquet(target)
+            n = seen.get["n"]
             if not n:  # an empty batch leaves nothing behind
                 files.delete(spark, target)
                 files.delete(spark, f"{root}/audit/{place}")
@@ -89,9 +111,6 @@ class BatchTable:
 
         return write
 
-    def _write(self, rows: DataFrame, target: str) -> None:
-        rows.hint("rebalance").write.mode("overwrite").parquet(target)
-
     # -- reading ------------------------------------------------------------
 
     def _state(self) -> dict:

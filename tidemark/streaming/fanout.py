@@ -30,7 +30,7 @@ from tidemark.plans.rollups import MinuteRollup, rollup_minutes
 from tidemark.schemas import METRIC_COLUMNS
 from tidemark.sources import files
 from tidemark.streaming import sinks
-from tidemark.streaming.batch_table import BatchTable
+from tidemark.streaming.batch_table import BatchTable, adaptive
 from tidemark.streaming.event_store import EventStore
 from tidemark.streaming.metric_table import MetricTable
 
@@ -219,6 +219,16 @@ class FanOut:
         The parsed rows are kept until the last writer is through; what an
         executor loses of them is read and parsed again.
         """
+        # Of the whole batch at once: the writers beside each other share the session.
+        with adaptive(messages.sparkSession):
+            self._take(messages, batch_id)
+        if (batch_id + 1) % self.compact_every == 0:
+            # Nobody but this query reads the sums, so what they replace may go at once.
+            for table in (self.sums, self.users):
+                table.compact()
+                table.vacuum()
+
+    def _take(self, messages: DataFrame, batch_id: int) -> None:
         parsed = validate(flatten(parse(messages, payload=True, unknown=True)))
         rows = parsed.withColumn(PAYLOAD, F.when(F.col("error_reason").isNotNull(), F.col(PAYLOAD)))
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -239,11 +249,6 @@ class FanOut:
                 self._send(metrics, dead, batch_id)
         finally:
             rows.unpersist()
-        if (batch_id + 1) % self.compact_every == 0:
-            # Nobody but this query reads the sums, so what they replace may go at once.
-            for table in (self.sums, self.users):
-                table.compact()
-                table.vacuum()
 
     def _metrics(self, touched: DataFrame, days: list[date]) -> DataFrame:
         around = {d + timedelta(days=n) for d in days for n in (-1, 0, 1)}
