@@ -63,9 +63,14 @@ def test_every_query_covers_its_whole_table(spark, sf_dir, name):
     if name == "op9_nearest":
         n = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(F.col("vec_id") % 20 == 0).count()
         assert df.count() == 20 * n
+    elif name == "op13_filter_audit":
+        # What the last step keeps and all steps remove are the rows of the table, in every order.
+        total = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+        left = df.groupBy("filter_order").agg(F.sum("removed"), F.sum(F.when(F.col("step") == 5, F.col("kept")))).collect()
+        assert len(left) == 120 and all(removed + kept == total for _, removed, kept in left)
     elif name != "op7_decontamination":
-        table = "pages" if name in ("op5_warc", "op10_main_text") else "documents"
-        key = "page_id" if table == "pages" else "doc_id"
+        table = {"op5_warc": "pages", "op10_main_text": "pages", "op11_centroids": "embeddings"}.get(name, "documents")
+        key = {"pages": "page_id", "embeddings": "vec_id"}.get(table, "doc_id")
         ids = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key).collect()
         assert sorted(df.select(key).collect()) == sorted(ids)
     assert language.UNDETERMINED == "und"
