@@ -60,12 +60,12 @@ def test_whole_reordered_and_partial_passages(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.select("doc_id").collect()} == {3, 5, 6}
 
 
-def test_slices_find_the_same(spark):
+def test_a_full_filter_finds_the_same(spark):
     texts = [" ".join(unique(f"i{k}w", 12 + k)) for k in range(20)]
     docs = documents(spark, [(k, f"{prose(k, 30)} {texts[k]} {texts[(k * 7) % 20]}", "en", "s", 0) for k in range(20)])
     items = spark.createDataFrame(list(enumerate(texts)), ITEMS)
     whole = sorted(map(tuple, d.find(docs, items).collect()))
-    assert whole == sorted(map(tuple, d.find(docs, items, slice_words=40).collect())) and len(whole) == 38
+    assert whole == sorted(map(tuple, d.find(docs, items, filter_bits=64).collect())) and len(whole) == 38
 
 
 def test_frequent_words_do_not_match_by_themselves(spark):
@@ -101,14 +101,12 @@ def test_long_runs_and_short_items(spark):
     assert sorted(r["doc_id"] for r in d.clean(docs, items).collect()) == [3, 5]
 
 
-def test_a_repeated_item_is_compared_once(spark, monkeypatch):
+def test_a_repeated_item_is_compared_once(spark):
     item = " ".join(unique("q", 40))
-    sizes, whole = [], d.make_slice
-    monkeypatch.setattr(d, "make_slice", lambda rows, least: sizes.append(len(rows)) or whole(rows, least))
     items = spark.createDataFrame([*((i, item) for i in range(500)), (None, item), (7, item), (900, "other words " * 10)], ITEMS)
-    got = d.find(documents(spark, [(1, item, "en", "s", 0), (1, item, "en", "s", 0)]), items, slice_words=10).collect()
+    got = d.find(documents(spark, [(1, item, "en", "s", 0), (1, item, "en", "s", 0)]), items).collect()
     assert len(got) == 2 * 502 and sum(r["item_id"] == 7 for r in got) == 4 and sum(r["item_id"] is None for r in got) == 2
-    assert sum(sizes) == 2
+    assert d._items(items, 3).count() == 2
 
 
 def test_clean_is_the_same_with_and_without_a_broadcast(spark, monkeypatch, plan):
@@ -122,3 +120,50 @@ def test_clean_is_the_same_with_and_without_a_broadcast(spark, monkeypatch, plan
     many = d.clean(docs, items)
     kept = [sorted(r["doc_id"] for r in kept.collect()) for kept in (few, many)]
     assert kept[0] == kept[1] == [i for i in range(30) if i % 3]
+
+
+def test_pairs_against_brute_force(spark):
+    rng = random.Random(11)
+    words = unique("w", 12)
+    items = [" ".join(rng.choice(words) for _ in range(rng.choice([2, 3, 4, 6, 9, 14, 40]))) for _ in range(40)]
+    texts = []
+    for _ in range(60):
+        parts = [" ".join(rng.choice(words) for _ in range(8))]
+        for item in rng.sample(items, 2):
+            cut = item.split()
+            start = rng.randrange(len(cut))
+            parts += [" ".join(cut[start:]), " ".join(cut[:start])] if rng.random() < 0.5 else [item, "x"]
+        texts.append(" ".join(parts))
+    want = set()
+    for i, text in enumerate(texts):
+        for j, item in enumerate(items):
+            a, b = ([int(w[1:]) if w != "x" else 99 for w in t.split()] for t in (text, item))
+            if len(b) < 3:
+                continue
+            if len(b) < 5:
+                if any(a[k : k + len(b)] == b for k in range(len(a))):
+                    want.add((i, j))
+            else:
+                tiles = d.tile(np.array(a), np.array(b))
+                if tiles and (sum(t[2] for t in tiles) >= 0.6 * len(b) or tiles[0][2] >= 25):
+                    want.add((i, j))
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    got = d.find(docs, spark.createDataFrame(list(enumerate(items)), ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+
+
+def test_items_of_one_word_where_asked_for(spark):
+    docs = documents(spark, [(1, "a Zebra!", "en", "s", 0), (2, "zebras x", "en", "s", 0)])
+    items = spark.createDataFrame([(1, "zebra"), (2, "zebras x")], ITEMS)
+    got = sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in d.find(docs, items, shortest=1).collect())
+    assert got == [(1, 1, 1.0), (2, 2, 1.0)]
+
+
+def test_a_phrase_of_all_items_and_texts_makes_no_pairs(spark):
+    phrase = "which of the following is the best answer here"
+    items = spark.createDataFrame([(i, f"{phrase} {' '.join(unique(f'i{i}w', 40))}") for i in range(50)], ITEMS)
+    docs = documents(spark, [(i, f"{phrase} {prose(i, 20)}", "en", "s", 0) for i in range(50)])
+    table = d._items(items, 3)
+    seeds = d._item_seeds(table, 5, 0.6, 25)
+    near = d._near(docs, [5], d._filter(seeds, 1 << 16))
+    assert near.count() == 50 and d._candidates(near.dropDuplicates(["key"]), seeds).count() == 0
