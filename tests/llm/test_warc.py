@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import heapq
 import random
@@ -66,11 +67,54 @@ def test_index_is_ordered_by_key_and_time(spark):
 
 def test_archives_hold_whole_records(spark):
     folder = warc.write_archives(spark.createDataFrame(ODD, PAGES))
-    files = spark.read.format("binaryFile").load(folder).where("length > 0").collect()
+    files = archives(spark, folder)
     payloads = [b.partition(b"\r\n\r\n")[2].decode() for f in files for _, _, h, b in warc.records(f["content"]) if h["WARC-Type"] == "response"]
     assert set(payloads) == {r[2] or "" for r in ODD}
 
 
+def archives(spark, folder):
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where("length > 0").collect()
+
+
+def test_a_record_is_read_at_its_offset_alone(spark):
+    folder = warc.write_archives(spark.createDataFrame(ODD, PAGES).coalesce(1))
+    files = {"/".join(r["path"].rsplit("/", 2)[1:]): r["content"] for r in archives(spark, folder)}
+    index = warc.capture_index(spark, folder).collect()
+    assert len(index) == len(ODD)
+    for r in index:
+        header, block = warc.record(gzip.decompress(files[r["archive"]][r["offset"] : r["offset"] + r["length"]]))
+        assert header["WARC-Type"] == r["record_type"]
+        if r["record_type"] == "response":
+            payload = block.partition(b"\r\n\r\n")[2]
+            assert base64.b32encode(hashlib.sha1(payload).digest()).decode() == r["payload_digest"]
+    # Any reader of gzip sees one file of records after records.
+    for content in files.values():
+        assert gzip.decompress(content) == b"".join(c for _, _, c in warc.members(content))
+
+
+def test_archives_are_bounded_by_bytes(spark):
+    rng = random.Random(4)
+    rows = [(i, f"http://h{i}.example.com/", rng.randbytes(500).hex()) for i in range(200)] + [(900, "http://l.example.com", rng.randbytes(40_000).hex())]
+    pages = spark.createDataFrame(rows, PAGES).coalesce(2)
+    folder = warc.write_archives(pages, archive_bytes=20_000)
+    sizes = [(len(list(warc.members(r["content"]))), sum(n for _, n, _ in warc.members(r["content"]))) for r in archives(spark, folder)]
+    assert sum(n for n, _ in sizes) == 201 and len(sizes) > 8
+    assert all(n == 1 or size <= 20_000 for n, size in sizes)
+    index = warc.capture_index(spark, folder)
+    assert rows_of(index) == expected(rows)
+    assert len({r["archive"] for r in index.collect()}) == len(sizes)
+
+
+def test_many_copies_without_a_broadcast_and_small_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", 0)
+    rows = [(i, f"http://h{i % 5}.example.com/{i}", "hot" if i % 3 else f"p{i % 9}") for i in range(90)] + ODD
+    index = warc.capture_index(spark, warc.write_archives(spark.createDataFrame(rows, PAGES).repartition(3), per_archive=7), per_range=10)
+    assert index.rdd.getNumPartitions() > 5
+    assert rows_of(index) == expected(rows)
+    order = [(r["url_key"], r["captured"], r["archive"], r["offset"]) for r in index.collect()]
+    assert order == sorted(order)
+
+
 def test_loser_tree_merges_like_a_heap():
     rng = random.Random(5)
     for n in (0, 1, 2, 3, 7, 16):

@@ -1,11 +1,13 @@
 """WARC archives of web pages, and a capture index merged from sorted runs.
 
 Pages with equal payloads share one response record; the others are revisits
-that refer to it. Archives are plain WARC/1.1 files, gzipped as a whole: a
-record ends with two line ends, so Spark's text writer with that separator
-writes the format as it is. Reading them back parses the bytes record by
-record, each archive giving a locally sorted run of captures; runs are dealt
-into ranges of URL key and time and merged there by a loser tree.
+that refer to it. Archives are WARC/1.1 files of bounded size, each record a gzip
+member of its own, so a record can be read at its offset alone. Spark's text
+writer writes them: an empty gzip member stands between two records. Reading
+them back parses the bytes record by record, each archive giving a locally
+sorted run of captures; runs are dealt into ranges of URL key and time, of a
+bounded number of captures, and merged there by a loser tree that holds a few
+rows of each run at a time, the rest staying in Arrow buffers.
 
 A null html is an empty payload, which takes part like any other. A null url is
 an empty target. Every row makes a record, also where page_ids repeat; rows
@@ -19,21 +21,32 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import pieces, written
 from tidemark.session import shared_dir
 
 RECORDS_PER_ARCHIVE = 4096
+ARCHIVE_BYTES = 64 << 20
+CAPTURES_PER_RANGE = 1 << 16
 MIN_REVISIT_BYTES = 0
+# First records of copies that are broadcast at most; a row of a hashed relation is about so long.
+BROADCAST_BYTES = 64 << 20
+_FIRST_BYTES = 128
+# Beyond that, copies of one payload are dealt over so many tasks.
+_SALTS = 64
+_ROWS_AT_ONCE = 64
+_BYTES_AT_ONCE = 16 << 10
 
 # The alphabets of base 32 with the digits first, and of RFC 4648.
 _DIGITS_FIRST = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _END = "\r\n"
+# A gzip member without content, as Latin-1.
+_EMPTY_MEMBER = "\x1f\x8b\x08\0\0\0\0\0\0\xff\x03\0\0\0\0\0\0\0\0\0"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 CAPTURE = (
@@ -59,23 +72,57 @@ def _record_id(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, per_archive: int = RECORDS_PER_ARCHIVE) -> str:
-    """Write a record per page; returns the folder of the archives.
+def _members(archive_bytes: int):
+    """Each record as a gzip member, and which archive of the task it goes to."""
 
-    Pages carry no time of capture, so their ids stand in for it, in seconds.
-    """
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    page = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
-    page = page.withColumn("digest", base32_sha1(F.col("payload"))).withColumn("bytes", F.octet_length("payload"))
-    # Digests are counted with partial sums first; only copies have a row here.
-    first = (
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, size = 0, 0
+        for batch in batches:
+            for some in pieces(iter([batch]), 0):
+                members, parts = [], []
+                for record in some.column(0):
+                    packer = zlib.compressobj(wbits=31)
+                    member = packer.compress(record.as_buffer()) + packer.flush()
+                    if size and size + len(member) > archive_bytes:
+                        part, size = part + 1, 0
+                    size += len(member)
+                    members.append(member)
+                    parts.append(part)
+                yield pa.record_batch({"member": pa.array(members, pa.binary()), "part": pa.array(parts, pa.int32())})
+
+    return run
+
+
+def _with_first(page: DataFrame, min_bytes: int) -> DataFrame:
+    """The pages with ``first``, the smallest page_id of their payload where it has copies."""
+    copies = (
         page.where(F.col("bytes") >= min_bytes)
         .groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .drop("n")
     )
-    page = page.join(first, "digest", "left")
+    copies = written(copies, "copied-payloads")
+    # Payloads are dealt out only where the digests with copies are too many to go to them.
+    if copies.count() * _FIRST_BYTES <= BROADCAST_BYTES:
+        return page.join(F.broadcast(copies), "digest", "left")
+    salted = copies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    page = page.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int"))
+    return page.join(salted, ["digest", "salt"], "left").drop("salt")
+
+
+def write_archives(
+    pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, per_archive: int = RECORDS_PER_ARCHIVE, archive_bytes: int = ARCHIVE_BYTES
+) -> str:
+    """Write a record per page; returns the folder of the archives.
+
+    An archive has at most ``per_archive`` records and ``archive_bytes`` bytes of
+    them, or one record. Pages carry no time of capture, so their ids stand in for it, in seconds.
+    """
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    page = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
+    page = page.withColumn("digest", base32_sha1(F.col("payload"))).withColumn("bytes", F.octet_length("payload"))
+    page = _with_first(page, min_bytes)
     revisit = (F.col("bytes") >= min_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{_END}Content-Type: text/html; charset=utf-8{_END}Content-Length: "),
@@ -100,11 +147,12 @@ def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, per_arc
         F.lit(_END * 2),
     )
     folder = shared_dir(pages.sparkSession, "llm-archives")
+    record = F.concat(head.cast("binary"), http.cast("binary"), kept, F.lit(_END * 2).cast("binary"))
+    members = page.select(record.alias("record")).mapInArrow(_members(archive_bytes), "member binary, part int")
     # The bytes pass through a string column unchanged; nothing validates them on the way.
-    record = F.concat(head.cast("binary"), http.cast("binary"), kept).cast("string")
-    page.select(record.alias("value")).write.option("lineSep", _END * 2).option("compression", "gzip").option(
-        "maxRecordsPerFile", per_archive
-    ).text(folder)
+    members.select(F.col("member").cast("string").alias("value"), "part").write.partitionBy("part").option("encoding", "ISO-8859-1").option(
+        "lineSep", _EMPTY_MEMBER
+    ).option("maxRecordsPerFile", per_archive).text(folder)
     return folder
 
 
@@ -116,21 +164,38 @@ def url_key(url: str) -> str:
     return ",".join(reversed(host.split("."))) + ")" + (slash + path if slash else "/")
 
 
-def records(archive: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """Offset, length, header and block of each record of a gzipped archive; offsets are in the plain file."""
-    data = memoryview(zlib.decompressobj(31).decompress(archive))
-    whole, at = data.obj, 0
+def members(archive: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and content of each gzip member that has content."""
+    data, at = memoryview(archive), 0
     while at < len(data):
-        end = whole.index(b"\r\n\r\n", at)
-        lines = whole[at:end].decode("utf-8").split(_END)
-        if lines[0] != "WARC/1.1":
-            raise ValueError(f"no record at {at}")
-        header = dict(line.split(": ", 1) for line in lines[1:])
-        stop = end + 4 + int(header["Content-Length"])
-        if whole[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at {at} is cut short")
-        yield at, stop + 4 - at, header, whole[end + 4 : stop]
-        at = stop + 4
+        opened, begin, content = zlib.decompressobj(31), at, []
+        while not opened.eof:
+            some = data[at : at + _BYTES_AT_ONCE]
+            if not some:
+                raise ValueError(f"member at {begin} is cut short")
+            content.append(opened.decompress(some))
+            at += len(some) - len(opened.unused_data)
+        if any(content):
+            yield begin, at - begin, b"".join(content)
+
+
+def record(content: bytes) -> tuple[dict[str, str], bytes]:
+    """Header and block of one record."""
+    end = content.index(b"\r\n\r\n")
+    lines = content[:end].decode("utf-8").split(_END)
+    if lines[0] != "WARC/1.1":
+        raise ValueError("no record")
+    header = dict(line.split(": ", 1) for line in lines[1:])
+    stop = end + 4 + int(header["Content-Length"])
+    if content[stop:] != b"\r\n\r\n":
+        raise ValueError("record is cut short")
+    return header, content[end + 4 : stop]
+
+
+def records(archive: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """Offset, length, header and block of each record of an archive; offset and length are those of its gzip member."""
+    for at, length, content in members(archive):
+        yield at, length, *record(content)
 
 
 def _page(urn: str) -> int | None:
@@ -179,7 +244,7 @@ def _order(row: tuple) -> tuple:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            name = path.rpartition("/")[2]
+            name = "/".join(path.rsplit("/", 2)[1:])  # files of two parts may share a name
             if rows := sorted((_capture(name, *record) for record in records(content.as_py())), key=_order):
                 yield _rows(rows)
 
@@ -223,12 +288,24 @@ class LoserTree:
             self._play(winner)
 
 
+def _reader(slices: list[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of a run, of which only a few are Python objects at a time."""
+    for run in slices:
+        for begin in range(0, run.num_rows, _ROWS_AT_ONCE):
+            yield from zip(*(c.to_pylist() for c in run.slice(begin, _ROWS_AT_ONCE).columns), strict=True)
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge what the runs have in this range; rows come run by run."""
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-    runs = [iter(list(run)) for _, run in groupby(rows, key=lambda row: row[8])]
+    runs: dict[str, list[pa.RecordBatch]] = {}
+    for batch in batches:
+        ends = pc.run_end_encode(batch.column(8))
+        begin = 0
+        for name, end in zip(ends.values.to_pylist(), ends.run_ends.to_pylist(), strict=True):
+            runs.setdefault(name, []).append(batch.slice(begin, end - begin))
+            begin = end
     some: list[tuple] = []
-    for row in LoserTree(runs):
+    for row in LoserTree([_reader(run) for run in runs.values()]):
         some.append(row)
         if len(some) == 4096:
             yield _rows(some)
@@ -237,11 +314,15 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(some)
 
 
-def capture_index(spark: SparkSession, folder: str) -> DataFrame:
-    """The captures of all archives in a folder, by URL key and time over all partitions."""
-    archives = spark.read.format("binaryFile").load(folder).where("length > 0").select("path", "content")
+def capture_index(spark: SparkSession, folder: str, per_range: int = CAPTURES_PER_RANGE) -> DataFrame:
+    """The captures of all archives in a folder, by URL key and time over all partitions.
+
+    Ranges grow in number with the captures, not in size, so what a merge holds is bounded.
+    """
+    archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where("length > 0").select("path", "content")
     runs = written(archives.mapInArrow(_runs, CAPTURE), "runs")
-    ranges = runs.repartitionByRange("url_key", "captured", "archive", "offset")
+    n_ranges = max(1, -(-runs.count() // per_range))
+    ranges = runs.repartitionByRange(n_ranges, "url_key", "captured", "archive", "offset")
     return ranges.sortWithinPartitions("archive", "url_key", "captured", "offset").mapInArrow(_merge, CAPTURE)
 
 
