@@ -89,3 +89,31 @@ def test_keep_one_by_row(spark):
     rows = [(1, one), (1, two), (2, two), (3, one), (7, three), (7, three), (7, three + " "), (8, three), (9, one), (9, prose(24, 80)), (None, two)]
     got = simhash.keep_one(documents(spark, [(i, t, "en", "s", 0) for i, t in rows])).collect()
     assert sorted((r["doc_id"], r["text"].strip()) for r in got) == sorted([(1, one), (1, two), (7, three), (9, prose(24, 80))])
+
+
+def test_keep_one_against_brute_force_with_and_without_a_broadcast(spark, monkeypatch):
+    rng = random.Random(17)
+    rows = list(odd_rows())
+    for i in range(120):
+        base = prose(200 + i % 30, 60).split()
+        if rng.random() < 0.4:
+            base[rng.randrange(60)] = "Changed"
+        rows.append((rng.choice([None, *range(40, 90)]), " ".join(base), "en", rng.choice("ab"), i % 2))
+    rows += rng.sample(rows, 20)
+    prints = [slow_fingerprint(r[1]) for r in rows]
+    names = slow_components([r[0] for r in rows], prints)
+    docs = documents(spark, rows, extra=False)
+    hashes = {r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    # Components by their fingerprints: those reached from one another.
+    groups = []
+    for p in set(prints):
+        linked = [g for g in groups if any((p ^ q).bit_count() <= 3 for q in g)]
+        groups = [g for g in groups if g not in linked] + [{p}.union(*linked)]
+    want = []
+    for g in groups:
+        members = [(p - 2**64 if p >= 2**63 else p, hashes[r[1]], r[0], r[1]) for r, p, n in zip(rows, prints, names, strict=True) if p in g and r[0] == n]
+        want.append(min(members, key=lambda m: m[:2])[2:])
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr(simhash, "BROADCAST_BYTES", limit)
+        got = simhash.keep_one(docs).collect()
+        assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)

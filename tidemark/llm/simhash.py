@@ -18,7 +18,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.common import components, pieces, utf8, written
 
@@ -26,6 +26,9 @@ SEED = 42
 SHINGLE = 3
 MAX_BITS = 3
 _CHUNK = 1 << 16
+# Keys of rows to be taken out that are broadcast at most; a row of a hashed relation is about so long.
+BROADCAST_BYTES = 64 << 20
+_KEY_BYTES = 96
 # Two-bit segments, 16 in each half of a fingerprint. Points within three steps
 # are within one step in one of the halves.
 _SEGMENTS = 16
@@ -50,15 +53,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) of every row, with text_hash where asked for; fp is the fingerprint's bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
             bits = np.array([fingerprint(t, shingle) for t in utf8(batch.column(1))], np.uint64)
-            yield pa.record_batch({"doc_id": batch.column(0), "fp": pa.array(bits.view(np.int64))})
+            names = ["doc_id", "fp", "text_hash"][: 2 + hashed]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64)), *batch.columns[2:]], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *[F.xxhash64("text")] * hashed)
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", text_hash long" * hashed)
 
 
 def _cells(fp: Column, half: int) -> tuple[Column, list[Column]]:
@@ -91,9 +96,9 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return at.join(near, "cell").where((F.col("a") != F.col("b")) & (bits <= max_bits)).select("a", "b")
 
 
-def _named(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row; (fp, root, component_id) of every fingerprint, the root one to a component."""
-    prints = written(fingerprints(docs, shingle), "fingerprints")
+def _named(docs: DataFrame, shingle: int, max_bits: int, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of every row; (fp, root, component_id) of every fingerprint, the root one to a component."""
+    prints = written(fingerprints(docs, shingle, hashed), "fingerprints")
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = components(links(firsts.select("fp"), max_bits))
     rooted = firsts.join(roots, firsts.fp == roots.node, "left").select(
@@ -113,29 +118,35 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _id(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long").cast("string"), F.lit("")).alias("_id")
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, with its smallest doc_id; of several the one of the smallest fp, then of the smallest text hash.
 
-    Rows without a doc_id stay only if their component has no doc_id at all.
+    Rows without a doc_id stay only if their component has no doc_id at all. Of
+    rows that repeat an id and its text one stays, that with the smallest hash
+    over its plain columns. The rows themselves are dealt out only where those that go are too many
+    to be sent to them by key.
     """
-    prints, named = _named(docs, shingle, max_bits)
-    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("_id")
-    found = prints.join(named, "fp").where("doc_id <=> component_id")
-    heads = found.groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("_fp"))
-    heads = written(heads.select(key, "_fp"), "component-heads")
-    # A row's fingerprint is made again only where the rows of its doc_id have several.
-    of_id = prints.groupBy(key).agg(F.min("fp").alias("_fp"), F.max("fp").alias("_last"))
-    ids = of_id.join(heads.select("_id").distinct(), "_id").select("_id", F.when(F.col("_fp") == F.col("_last"), F.col("_fp")).alias("_fp"))
-    rows = docs.withColumn("_id", key).join(ids, "_id").select(*docs.columns, "_id", "_fp")
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, at):
-            known = batch.column(batch.num_columns - 1).to_pylist()
-            texts = utf8(batch.column(at)) if None in known else [b""] * len(known)
-            bits = [np.uint64(fingerprint(t, shingle)).astype(np.int64).item() if fp is None else fp for t, fp in zip(texts, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bits, pa.int64())], batch.schema.names)
-
-    one = F.min_by(F.struct(*docs.columns), F.coalesce(F.xxhash64("text"), F.lit(0))).alias("_row")
-    firsts = rows.mapInArrow(run, rows.schema).groupBy("_id", "_fp").agg(one)
-    return firsts.join(heads, ["_id", "_fp"], "left_semi").select("_row.*")
+    prints, named = _named(docs, shingle, max_bits, hashed=True)
+    heads = (
+        prints.join(named, "fp")
+        .where("doc_id <=> component_id")
+        .groupBy("root")
+        .agg(F.first("doc_id").alias("doc_id"), F.min(F.struct("fp", "text_hash")).alias("least"))
+        .select(_id(F.col("doc_id")), F.col("least.text_hash").alias("_text"), F.lit(True).alias("_head"))
+    )
+    counts = prints.groupBy(_id(F.col("doc_id")), F.col("text_hash").alias("_text")).agg(F.count("*").alias("n"))
+    # What is not a row of its own to be kept: rows that go, and repeated ones of which one stays.
+    judged = counts.join(heads, ["_id", "_text"], "left").where("_head IS NULL OR n > 1")
+    judged = written(judged.select("_id", "_text", "_head"), "judged")
+    few = judged.count() * _KEY_BYTES <= BROADCAST_BYTES
+    near = F.broadcast if few else (lambda side: side)
+    rows = docs.withColumn("_id", _id(F.col("doc_id"))).withColumn("_text", F.xxhash64("text"))
+    single = rows.join(near(judged), ["_id", "_text"], "left_anti").select(*docs.columns)
+    plain = [f.name for f in docs.schema if isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType))]
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("_row")
+    repeated = rows.join(near(judged.where("_head")), ["_id", "_text"], "left_semi").groupBy("_id", "_text").agg(one)
+    return single.union(repeated.select("_row.*"))
