@@ -75,3 +75,11 @@ def test_huge_doubles_lose_no_neighbour(spark):
             best = sorted((-s, v) for s, v in scores)[:3]
             want += [(q, n, v, -s) for n, (s, v) in enumerate(best, 1)]
     assert got == want
+
+
+def test_many_vectors_of_one_id_are_dealt_over_the_tiles(spark, monkeypatch):
+    monkeypatch.setattr(ann, "_QUERIES_AT_ONCE", 3)
+    rng = np.random.default_rng(8)
+    rows = [(i if i % 3 else 40, rng.normal(size=6).round(2).tolist(), 0) for i in range(120)]
+    df = spark.createDataFrame(rows, VECTORS)
+    assert rows_of(ann.nearest(df, F.col("vec_id") % 20 == 0, 3, query_block=16, candidate_block=16)) == brute(rows, 3)

@@ -28,8 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 K = 20
-QUERY_BLOCK = 1024
+# Candidates are copied once a query block, so the blocks of a tile are alike in size;
+# its queries are multiplied some at a time.
+QUERY_BLOCK = 8192
 CANDIDATE_BLOCK = 8192
+_QUERIES_AT_ONCE = 1024
 # Sums of products of int8 values are exact in float32 below 2^24: up to this many components at a time.
 _EXACT = 1024
 
@@ -93,7 +96,9 @@ def _tiles(k: int):
         rows: list[tuple] = []
         if len(queries) and len(candidates):
             one, many = (np.array([np.asarray(v, np.float64) for v in side["embedding"]]) for side in (queries, candidates))
-            rows = list(tile(queries["vec_id"].to_numpy(), one, candidates["vec_id"].to_numpy(), many, k))
+            asked, ids = queries["vec_id"].to_numpy(), candidates["vec_id"].to_numpy()
+            for i in range(0, len(one), _QUERIES_AT_ONCE):
+                rows += tile(asked[i : i + _QUERIES_AT_ONCE], one[i : i + _QUERIES_AT_ONCE], ids, many, k)
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"}
         )
@@ -136,7 +141,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, query_block: int =
     n_queries, n = (int(x or 0) for x in vectors.agg(F.count_if(is_query), F.count("*")).first())
     rows, columns = max(1, -(-n_queries // query_block)), max(1, -(-n // candidate_block))
     v = vectors.withColumn("size", F.size("embedding"))
-    block = lambda parts: F.pmod(F.xxhash64("vec_id"), F.lit(parts))
+    block = lambda parts: F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(parts))
     spread = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
     queries = v.where(is_query).withColumn("row", block(rows)).withColumn("column", spread(columns))
     candidates = v.withColumn("column", block(columns)).withColumn("row", spread(rows))
