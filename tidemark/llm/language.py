@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tidemark.llm.common import char_ngrams, mix64, numbered, on_executors, pieces, sample_order, spread_texts, sums_by, utf8
 
 TRAIN_TEXTS = 200
+_SALTS = 32
 TRAIN_CHARS = 40_000
 BUCKETS = 1 << 16
 UNDETERMINED = "und"
@@ -231,8 +232,11 @@ def fit(docs: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars: int = TRAIN_CHARS)
     known = docs.select(doc_id.alias("doc_id"), "lang", F.length("text").alias("n")).where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("n") > 0) & ~held_out(F.col("doc_id"))
     )
-    turn = Window.partitionBy("lang").orderBy(sample_order("doc_id"), "doc_id", "n")
-    picked = known.distinct().withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= n_texts)
+    picked = known.distinct().withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)))
+    # A language is put in order by parts first, so that one task sees no more than their best.
+    for keys in (("lang", "salt"), ("lang",)):
+        turn = Window.partitionBy(*keys).orderBy(sample_order("doc_id"), "doc_id", "n")
+        picked = picked.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= n_texts)
     # The sample is bounded by the number of languages, and so is its broadcast.
     picked = F.broadcast(picked.select("doc_id", F.col("lang").alias("_lang"), "n"))
     texts = docs.select(doc_id.alias("doc_id"), "lang", "text", F.length("text").alias("n"))
