@@ -60,6 +60,47 @@ def test_marginals_against_all_paths():
     assert np.allclose(p, np.concatenate(want)) and np.allclose(expected, steps)
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 50])
+def test_pieces_of_a_long_text_give_the_same_marginals(n):
+    rng = np.random.default_rng(n)
+    e, t = 3 * rng.normal(size=(n, 3)), rng.normal(size=(3, 3))
+    want, _ = language.marginals(e, np.array([n]), t)
+    got = dict(language._long(lambda x, y: e[x:y], n, t, 7))
+    assert sorted(got) == list(range(0, n, 7))
+    assert np.allclose(np.concatenate([got[x] for x in sorted(got)]), want)
+
+
+def test_long_texts_are_read_like_short_ones(model):
+    several = [t.encode() for t, _ in texts(12, 5)] + [b"", b"1 2 3", prose(1, 400, WORDS["de"]).encode()]
+    whole, cut = (language.shares(model, several, at_once=n) for n in (1 << 18, 16))
+    for a, b in zip(whole, cut, strict=True):
+        assert (a is None) == (b is None) and (a is None or (np.allclose(a, b) and np.isclose(a.sum(), 1)))
+    assert language.switches(model, several) == language.switches(model, several, at_once=16)
+    assert [k for k, _ in language.predict(model, several, 16)] == [k for k, _ in language.predict(model, several)]
+
+
+def test_runs_of_a_switching_text(spark, model):
+    text = "12 " + prose(7, 40, WORDS["en"]) + " -- " + prose(8, 60, WORDS["de"])
+    rows = [(1, text, None, "s", 0), (2, None, None, "s", 0), (3, "", None, "s", 0), (4, "7 8 9", None, "s", 0), (4, text, None, "s", 0)]
+    found = language.runs(documents(spark, rows), model).collect()
+    mine = [(r["first_word"], r["end_word"], r["lang"]) for r in found if r["doc_id"] == 1]
+    assert mine[0][0] == 0 and mine[-1][1] == 102 and all(a[1] == b[0] and a[2] != b[2] for a, b in itertools.pairwise(mine))
+    right = sum(max(0, min(y, 42) - x) if k == "en" else max(0, y - max(x, 42)) if k == "de" else 0 for x, y, k in mine)
+    assert right > 0.9 * 102
+    assert [(r["first_word"], r["end_word"], r["lang"]) for r in found if r["doc_id"] == 4][:1] == [(0, 3, "und")]
+    assert sorted(r["doc_id"] for r in found) == sorted([1] * len(mine) + [4] * (len(mine) + 1))
+    assert language.runs(empty(spark), model).collect() == []
+
+
+def test_shares_name_every_language(spark, model):
+    got = language.label(documents(spark), model, ("lang_pred", "score", "shares")).collect()
+    for r in got:
+        assert (r["shares"] == {}) == (r["lang_pred"] == "und")
+        if r["shares"]:
+            assert sorted(r["shares"]) == model.languages and np.isclose(sum(r["shares"].values()), 1)
+            assert max(r["shares"], key=r["shares"].get) == r["lang_pred"]
+
+
 def test_odd_rows(spark, model):
     labelled = language.label(documents(spark), model)
     assert labelled.columns.count("score") == 1

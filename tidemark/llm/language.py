@@ -6,10 +6,12 @@ the training texts says of it; transitions between labels are learned with them.
 The training labels are those of whole texts, so sequences are spliced from
 segments of texts of several languages: that is where the transitions see a
 switch. Marginals come from forward-backward. A text's language is the one with
-the highest mean marginal over its words, and that mean is its score.
+the highest mean marginal over its words, and that mean is its score. The shares
+of the other languages and the runs of words of one language can be had as well.
 
 Training takes at most ``TRAIN_TEXTS`` texts of each language, of a text over
-``TRAIN_CHARS`` characters pieces spread over it; prediction takes every text, whole. Null texts and
+``TRAIN_CHARS`` characters pieces spread over it; prediction takes every text, whole,
+a long one piece by piece with the messages carried on. Null texts and
 texts without a letter are ``und`` with score 0, and so is everything where no
 language could be learned. Equal means go to the language that sorts first.
 Every row is labelled on its own, repeated ones alike; null languages and ids
@@ -19,8 +21,9 @@ teach nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -196,29 +199,118 @@ def train(texts: list[bytes], languages: list[str], seed: int = 13) -> Model:
     return model
 
 
-def predict(model: Model, texts: list[bytes]) -> list[tuple[str, float]]:
-    """Language and score of each text."""
-    out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
-    if not model.languages:
+def _long(emissions: Callable[[int, int], np.ndarray], n: int, transitions: np.ndarray, at_once: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first position, marginals) of the pieces of one sequence, the last piece first.
+
+    On the way forward only the message into each piece is kept; on the way back
+    the messages within a piece are computed again. So a sequence of any length
+    holds one piece at a time.
+    """
+    a = np.exp(transitions - transitions.max())
+    begins = range(0, n, at_once)
+
+    def potentials(begin: int) -> np.ndarray:
+        e = emissions(begin, min(n, begin + at_once))
+        return np.exp(e - e.max(axis=1, keepdims=True)) + 1e-30
+
+    def forwards(e: np.ndarray, into: np.ndarray) -> np.ndarray:
+        out, last = np.empty_like(e), into
+        for t in range(len(e)):
+            x = last * e[t]
+            out[t] = x / x.sum()
+            last = out[t] @ a
         return out
+
+    into = [np.ones(len(a))]
+    for begin in begins[:-1]:
+        into.append(forwards(potentials(begin), into[-1])[-1] @ a)
+    back = np.ones(len(a))
+    for begin, message in zip(reversed(begins), reversed(into), strict=True):
+        e = potentials(begin)
+        both = forwards(e, message)
+        for t in range(len(e) - 1, -1, -1):
+            both[t] *= back
+            back = a @ (e[t] * back)
+            back /= back.sum()
+        yield begin, both / both.sum(axis=1, keepdims=True)
+
+
+def _follow(model: Model, texts: list[bytes], use: Callable[[int, int, np.ndarray], None], at_once: int) -> list[np.ndarray]:
+    """Calls ``use(text, begin, marginals)`` for the words with a letter of each text, maybe in several pieces.
+
+    ``begin`` counts such words only; the result tells which words of each text they are.
+    """
     docs, raw = numbered(texts)
     words = _plain(raw)
     lettered = np.fromiter((bool(_LETTER.search(w)) for w in words), bool, len(words))
+    marked = [lettered[d] for d in docs]
+    if not model.languages:
+        return marked
     scores = np.zeros((len(words), len(model.languages)))
     scores[lettered] = model.emissions([w for w, ok in zip(words, lettered, strict=True) if ok])
-    docs = [d[lettered[d]] for d in docs]
+    docs = [d[m] for d, m in zip(docs, marked, strict=True)]
     order = sorted((i for i, d in enumerate(docs) if len(d)), key=lambda i: -len(docs[i]))
+    while order and len(docs[order[0]]) > at_once:
+        i = order.pop(0)
+        for begin, p in _long(lambda x, y, d=docs[i]: scores[d[x:y]], len(docs[i]), model.transitions, at_once):
+            use(i, begin, p)
     while order:
         size, n = 0, 0
-        while n < len(order) and (not n or size + len(docs[order[n]]) <= _WORDS_AT_ONCE):
+        while n < len(order) and size + len(docs[order[n]]) <= at_once:
             size += len(docs[order[n]])
             n += 1
         some, order = order[:n], order[n:]
         lengths = np.array([len(docs[i]) for i in some])
         p, _ = marginals(scores[np.concatenate([docs[i] for i in some])], lengths, model.transitions)
-        mean = np.add.reduceat(p, np.cumsum(lengths) - lengths) / lengths[:, None]
-        for i, row in zip(some, mean, strict=True):
-            out[i] = (model.languages[int(row.argmax())], float(min(1.0, row.max())))
+        for i, own in zip(some, np.split(p, np.cumsum(lengths)[:-1]), strict=True):
+            use(i, 0, own)
+    return marked
+
+
+def shares(model: Model, texts: list[bytes], at_once: int = _WORDS_AT_ONCE) -> list[np.ndarray | None]:
+    """The mean marginal of each language over the words of each text; None for texts without a letter."""
+    sums = np.zeros((len(texts), len(model.languages)))
+    n = np.zeros(len(texts), np.int64)
+
+    def use(i: int, begin: int, p: np.ndarray) -> None:
+        sums[i] += p.sum(axis=0)
+        n[i] += len(p)
+
+    _follow(model, texts, use, at_once)
+    return [total / k if k else None for total, k in zip(sums, n.tolist(), strict=True)]
+
+
+def _best(model: Model, share: np.ndarray | None) -> tuple[str, float]:
+    if share is None:
+        return UNDETERMINED, 0.0
+    return model.languages[int(share.argmax())], float(min(1.0, share.max()))
+
+
+def predict(model: Model, texts: list[bytes], at_once: int = _WORDS_AT_ONCE) -> list[tuple[str, float]]:
+    """Language and score of each text."""
+    return [_best(model, share) for share in shares(model, texts, at_once)]
+
+
+def switches(model: Model, texts: list[bytes], at_once: int = _WORDS_AT_ONCE) -> list[list[tuple[int, int, str]]]:
+    """(first word, word after the last, language) of the runs of one language in each text, by the likeliest label of each word.
+
+    Words without a letter go with the word before them, leading ones with the
+    first that has one. A text without a letter is one ``und`` run, an empty one none.
+    """
+    found: dict[int, dict[int, np.ndarray]] = {}
+
+    def use(i: int, begin: int, p: np.ndarray) -> None:
+        found.setdefault(i, {})[begin] = p.argmax(axis=1).astype(np.int16)
+
+    out = []
+    for i, marked in enumerate(_follow(model, texts, use, at_once)):
+        if i not in found:
+            out.append([(0, len(marked), UNDETERMINED)] if len(marked) else [])
+            continue
+        label = np.concatenate([found[i][begin] for begin in sorted(found[i])])
+        each = label[np.maximum(np.cumsum(marked) - 1, 0)]
+        cuts = [0, *(np.flatnonzero(np.diff(each)) + 1).tolist(), len(each)]
+        out.append([(x, y, model.languages[each[x]]) for x, y in pairwise(cuts)])
     return out
 
 
@@ -248,23 +340,50 @@ def fit(docs: DataFrame, n_texts: int = TRAIN_TEXTS, n_chars: int = TRAIN_CHARS)
     return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 
 
-def label(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The rows with two more columns, language and score; columns of these names are replaced."""
+def label(docs: DataFrame, model: Model, names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """The rows with two more columns, language and score; columns of these names are replaced.
+
+    A third name adds the share of each language, as a map that is empty for ``und``.
+    """
     docs = docs.drop(*names)
     load = on_executors(docs.sparkSession, model)
     at = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    kinds = (T.StringType(), T.DoubleType(), T.MapType(T.StringType(), T.DoubleType()))
+    schema = T.StructType([*docs.schema.fields, *map(T.StructField, names, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
         for batch in pieces(batches, at):
-            found = predict(m, utf8(batch.column(at)))
-            columns = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])
+            found = shares(m, utf8(batch.column(at)))
+            best = [_best(m, x) for x in found]
+            parts = [[] if x is None else list(zip(m.languages, x.tolist(), strict=True)) for x in found]
+            more = [
+                pa.array([x for x, _ in best], pa.string()),
+                pa.array([s for _, s in best], pa.float64()),
+                pa.array(parts, pa.map_(pa.string(), pa.float64())),
+            ][: len(names)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
 
+def runs(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, first_word, end_word, lang) of the runs of one language in every text, as ``switches`` gives them."""
+    load = on_executors(docs.sparkSession, model)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = load()
+        for batch in pieces(batches, 1):
+            found = [(at, *one) for at, several in enumerate(switches(m, utf8(batch.column(1)))) for one in several]
+            at, first, end, lang = zip(*found, strict=True) if found else [()] * 4
+            ids = batch.column(0).take(pa.array(at, pa.int32()))
+            columns = [ids, pa.array(first, pa.int64()), pa.array(end, pa.int64()), pa.array(lang, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first_word", "end_word", "lang"])
+
+    return rows.mapInArrow(run, "doc_id long, first_word long, end_word long, lang string")
+
+
 def accepted(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
     """The rows whose language can be told: not ``und``, and the mean marginal is at least ``least``."""
     names = ("_language", "_language_score")

@@ -19,8 +19,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of each document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    labelled = language.label(docs.select("doc_id", "text"), language.fit(docs))
-    return labelled.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    labelled = language.label(docs.select("doc_id", "text"), language.fit(docs), ("lang_pred", "score", "shares"))
+    parts = F.transform(F.map_entries("shares"), lambda s: F.concat(s["key"], F.lit(":"), F.format_string("%.4f", s["value"])))
+    held_out = language.held_out(F.col("doc_id")).alias("held_out")
+    return labelled.select("doc_id", held_out, "lang_pred", "score", F.array_join(parts, ",").alias("lang_shares"))
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
