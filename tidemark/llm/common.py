@@ -54,13 +54,14 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 
 def pieces(
-    batches: Iterator[pa.RecordBatch], column: int, size: Callable[[pa.Array], np.ndarray] | None = None
+    batches: Iterator[pa.RecordBatch], column: int, size: Callable[[pa.Array], np.ndarray] | None = None, most: int | None = None
 ) -> Iterator[pa.RecordBatch]:
     """The batches' rows in pieces of bounded text size, so that what a worker holds is bounded too.
 
     ``size`` tells the bytes of each row from the column, its own length unless
-    given. A longer text is a piece of its own.
+    given, and ``most`` how many a piece has. A longer text is a piece of its own.
     """
+    most = most or PIECE_BYTES
     for batch in batches:
         own = batch.column(column)
         bytes_ = size(own) if size else pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False)
@@ -68,7 +69,7 @@ def pieces(
         begin = 0
         while begin < batch.num_rows:
             before = total[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(total, before + PIECE_BYTES, side="right")))
+            end = max(begin + 1, int(np.searchsorted(total, before + most, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
 

@@ -42,8 +42,10 @@ _AFFIXES = (1, 2, 3, 4)
 _SEQUENCE = 48
 _BATCH = 128
 _STEPS = 240
-_WORDS_AT_ONCE = 1 << 18
-_TYPES_AT_ONCE = 1 << 14
+# What a worker holds beside its batch: the words and the distinct words of a piece, with their features.
+_PIECE_BYTES = 8 << 20
+_WORDS_AT_ONCE = 1 << 17
+_TYPES_AT_ONCE = 1 << 12
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -353,7 +355,7 @@ def label(docs: DataFrame, model: Model, names: tuple[str, ...] = ("lang_pred",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
-        for batch in pieces(batches, at):
+        for batch in pieces(batches, at, most=_PIECE_BYTES):
             found = shares(m, utf8(batch.column(at)))
             best = [_best(m, x) for x in found]
             parts = [[] if x is None else list(zip(m.languages, x.tolist(), strict=True)) for x in found]
@@ -374,7 +376,7 @@ def runs(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
-        for batch in pieces(batches, 1):
+        for batch in pieces(batches, 1, most=_PIECE_BYTES):
             found = [(at, *one) for at, several in enumerate(switches(m, utf8(batch.column(1)))) for one in several]
             at, first, end, lang = zip(*found, strict=True) if found else [()] * 4
             ids = batch.column(0).take(pa.array(at, pa.int32()))
