@@ -590,10 +590,10 @@ def d1_event_store(spark, sf):
     """The stored events after batches, replays and compactions in between, some of them late."""
     layout = run.Layout(shared_dir(spark, "store"))
     store = EventStore(spark, layout.event_store)
-    feed = adapter.Feed(spark, sf, late=True)
+    feed = adapter.Feed(spark, sf, user=True, product=True, late=True)
     for i in range(0, feed.PIECES, 2):
         feed.put(i, i + 1)
-        messages = feed.messages(user=True, product=True)
+        messages = feed.messages()
         finish(run.start_all(spark, messages, layout, ONCE, only=("event_store",)))
         store.compact()
     store.vacuum()

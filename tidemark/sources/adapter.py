@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.joins import broadcast_if_small
 from tidemark.schemas import MONEY
 from tidemark.session import apply_settings, shared_dir
+from tidemark.sources import files, streams
 
 EVENTS = "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING"
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+MESSAGE = "value BINARY, timestamp TIMESTAMP"
 
 
 _DEVICES = ("desktop", "mobile", "tablet")
@@ -42,8 +44,8 @@ def _event_type() -> Column:
     )
 
 
-def _map_events(raw: DataFrame) -> DataFrame:
-    """Event columns that need no dimension table."""
+def _map_events(raw: DataFrame, *more: str) -> DataFrame:
+    """Event columns that need no dimension table, and others that are named."""
     typed = raw.withColumn("product_id", _product_key().cast("string")).withColumn(
         "event_type", _event_type()
     )
@@ -66,6 +68,7 @@ def _map_events(raw: DataFrame) -> DataFrame:
         F.when(kind.isin("product_view", "click"), 5 + number % 296)
         .cast("int")
         .alias("time_on_page_sec"),
+        *more,
     )
 
 
@@ -182,21 +185,32 @@ def messages(
 class Feed:
     """The supplied events as a producer would deliver them: pieces of time, one after the other.
 
-    ``put`` writes pieces as files of their own, and a stream takes one file a
-    micro-batch, so windows close, state goes and batches follow each other.
+    ``put`` writes the messages of a piece as ``files`` files, and a stream takes so
+    many a micro-batch. So a piece is a batch at any size, windows close, state
+    goes and batches follow each other. The producer joins what it knows of users
+    and products once, before the first piece.
     ``late`` holds back every twentieth event of the first half for three pieces.
     ``sentinel`` adds one event of an unknown user long after the last.
     """
 
     PIECES = 6
-
-    def __init__(self, spark: SparkSession, sf_dir: str, late: bool = False, sentinel: bool = False):
+    FILE_ROWS = 100_000
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        user: bool = False,
+        product: bool = False,
+        late: bool = False,
+        sentinel: bool = False,
+    ):
         apply_settings(spark)
         self.spark = spark
-        self.sf_dir = sf_dir
         self.folder = shared_dir(spark, "feed")
         raw = _table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
-        low, high = raw.agg(F.min("ts"), F.max("ts")).first()
+        low, high, rows = raw.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
+        self.files = max(1, -(-rows // (self.PIECES * self.FILE_ROWS)))
         width = (high - low) / self.PIECES
         ends = [low + width * (i + 1) for i in range(self.PIECES - 1)]
         piece = F.lit(0)
@@ -204,22 +218,36 @@ class Feed:
             piece = piece + (F.col("ts") >= F.lit(end)).cast("int")
         if late:
             piece = piece + held_back(piece)
-        self.pieces = raw.withColumn("piece", piece)
-        self.sentinel = high + timedelta(days=2) if sentinel else None
+        known = lambda events: _add_dimensions(events, sf_dir, user, product)
+        flat = known(_map_events(raw.withColumn("piece", piece), "piece"))
+        produced = shared_dir(spark, "produced")
+        flat.write.partitionBy("piece").parquet(produced)
+        self.pieces = spark.read.schema(flat.schema).parquet(produced)
+        # The sentinel is of no user and no product, so it needs no join.
+        end = [(-1, high + timedelta(days=2), -1, "click", 0.0, "{}")]
+        nobody = _add_dimensions(_map_events(spark.createDataFrame(end, EVENTS)), sf_dir, False, False)
+        self.sentinel = nobody if sentinel else None
 
     def put(self, first: int = 0, last: int = PIECES - 1) -> None:
         for i in range(first, last + 1):
-            rows = self.pieces.filter(F.col("piece") == i).drop("piece")
-            rows.write.mode("append").parquet(self.folder)
+            self._deliver(self.pieces.filter(F.col("piece") == i).drop("piece"), self.files)
         if self.sentinel and last == self.PIECES - 1:
-            row = (-1, self.sentinel, -1, "click", 0.0, "{}")
-            end = self.spark.createDataFrame([row], EVENTS).coalesce(1)
-            end.write.mode("append").parquet(self.folder)
+            self._deliver(self.sentinel, 1)
+
+    def _deliver(self, events: DataFrame, count: int) -> None:
+        """Messages as exactly ``count`` files. A task without rows writes none, so empty ones make up the number."""
+        before = self._delivered()
+        _payload(events.repartition(count)).write.mode("append").parquet(self.folder)
+        for _ in range(before + count - self._delivered()):
+            self.spark.createDataFrame([], MESSAGE).coalesce(1).write.mode("append").parquet(self.folder)
 
-    def messages(self, user: bool = False, product: bool = False) -> DataFrame:
-        raw = self.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(self.folder)
-        events = _map_events(raw)
-        return _payload(_add_dimensions(events, self.sf_dir, user, product))
+    def _delivered(self) -> int:
+        return sum(name.startswith("part-") for name in files.children(self.spark, self.folder))
+
+    def messages(self) -> DataFrame:
+        return streams.read_events_stream(
+            self.spark, "parquet", self.folder, maxFilesPerTrigger=str(self.files)
+        )
 
 
 def held_back(piece: Column) -> Column:
@@ -236,6 +264,6 @@ def message_stream(
     sentinel: bool = False,
 ) -> DataFrame:
     """The messages as a stream of several micro-batches."""
-    feed = Feed(spark, sf_dir, late, sentinel)
+    feed = Feed(spark, sf_dir, user, product, late, sentinel)
     feed.put()
-    return feed.messages(user, product)
+    return feed.messages()
