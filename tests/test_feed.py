@@ -76,3 +76,19 @@ def test_users_and_products_are_joined_before_the_stream(spark, folder):
     known = {int(x["event_id"]): (x["user"].get("country"), x["product"].get("sku")) for b in taken for x in b}
     assert known == {i: ("ASIA" if i % 5 else None, f"SKU-{i % 3}" if i % 3 < 2 else None) for i in range(120)}
     assert {0, 20, 40}.isdisjoint(ids(taken[0])) and 0 in ids(taken[3])
+
+
+def test_state_is_as_wide_as_a_batch_asks_for(spark, folder, monkeypatch):
+    tables(spark, folder, range(120))
+    monkeypatch.setattr(adapter.Feed, "FILE_ROWS", 2, raising=False)
+    feed = adapter.Feed(spark, folder)
+    width = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(width)
+    try:
+        for given, used in ((200, max(10, spark.sparkContext.defaultParallelism)), (3, 3)):
+            spark.conf.set(width, given)
+            with feed.state_width():
+                assert int(spark.conf.get(width)) == used
+            assert int(spark.conf.get(width)) == given
+    finally:
+        spark.conf.set(width, before)

@@ -373,9 +373,12 @@ def m6_hours_from_minutes(spark, sf):
 def c8_top_products_stream(spark, sf):
     """The best products of each hour from a stream that holds a sketch for each hour; an event long after the last closes them."""
     out = shared_dir(spark, "top")
-    events, _ = run.clean_stream(adapter.message_stream(spark, sf, product=True, sentinel=True), "5 minutes")
+    feed = adapter.delivered(spark, sf, product=True, sentinel=True)
+    events, _ = run.clean_stream(feed.messages(), "5 minutes")
     boards = top.TopProducts(spark, f"{out}/boards")
-    top.start_top_products(events, boards, f"{out}/checkpoint", ONCE).awaitTermination()
+    with feed.state_width():
+        started = top.start_top_products(events, boards, f"{out}/checkpoint", ONCE)
+    started.awaitTermination()
     return plain_times(boards.current().select("window_start", "sku", "purchase_count", "position"))
 
 
@@ -385,11 +388,18 @@ def c8_top_products_stream(spark, sf):
 def _stream(spark, sf, *only: str, **feed) -> run.Layout:
     """Run some of the streaming queries over the supplied events, in several batches."""
     layout = run.Layout(shared_dir(spark, "stream"))
-    messages = adapter.message_stream(spark, sf, **feed)
-    finish(run.start_all(spark, messages, layout, ONCE, only=only))
+    _run_once(adapter.delivered(spark, sf, **feed), layout, only)
     return layout
 
 
+def _run_once(feed: adapter.Feed, layout: run.Layout, only: tuple[str, ...] | None = None, messages: DataFrame | None = None) -> None:
+    """Run streaming queries over what a feed has put and they have not taken yet."""
+    messages = feed.messages() if messages is None else messages
+    with feed.state_width():
+        started = run.start_all(feed.spark, messages, layout, ONCE, only=only)
+    finish(started)
+
+
 def _streamed_metrics(spark, sf, *only: str, **feed) -> DataFrame:
     layout = _stream(spark, sf, *only, **feed)
     rows = MetricTable(spark, layout.metrics).current()
@@ -451,13 +461,14 @@ def s3_session_stream(spark, sf):
 @query
 def s4_output_modes(spark, sf):
     """Minute counts by type: closed windows once in append mode, beside the newest of update mode."""
-    messages = adapter.message_stream(spark, sf, sentinel=True)
+    feed = adapter.delivered(spark, sf, sentinel=True)
     table = MetricTable(spark, shared_dir(spark, "modes"))
     started = []
     for mode in ("append", "update"):
-        counts = m.event_types_1m(run.clean_stream(messages, "5 minutes", ())[0])
+        counts = m.event_types_1m(run.clean_stream(feed.messages(), "5 minutes", ())[0])
         checkpoint = f"{table.root}/checkpoint-{mode}"
-        started.append(sinks.start_metrics(counts, table, mode, checkpoint, ONCE, mode=mode))
+        with feed.state_width():
+            started.append(sinks.start_metrics(counts, table, mode, checkpoint, ONCE, mode=mode))
     for each in started:
         each.awaitTermination()
     stored = spark.read.parquet(f"{table.root}/updates")
@@ -496,7 +507,7 @@ def s6_restart(spark, sf):
     half = feed.PIECES // 2
     for first, last in ((0, half - 1), (half, feed.PIECES - 1), (0, -1)):
         feed.put(first, last)
-        finish(run.start_all(spark, feed.messages(), layout, ONCE, only=("counts_1m",)))
+        _run_once(feed, layout, ("counts_1m",))
     rows = MetricTable(spark, layout.metrics).current()
     return plain_times(rows.select(*m.METRIC_COLUMNS))
 
@@ -518,10 +529,9 @@ def s7_late_data(spark, sf):
 def s8_stream_dedup(spark, sf):
     """Every message arrives twice; each event is in the copy without repeats once."""
     layout = run.Layout(shared_dir(spark, "dedup"))
-    feed = adapter.Feed(spark, sf)
-    feed.put()
+    feed = adapter.delivered(spark, sf)
     twice = feed.messages().unionByName(feed.messages())
-    finish(run.start_all(spark, twice, layout, ONCE, only=("unique_events",)))
+    _run_once(feed, layout, ("unique_events",), twice)
     return plain_times(
         spark.read.parquet(layout.unique_events).select("event_id", "event_type", "timestamp")
     )
@@ -531,8 +541,7 @@ def s8_stream_dedup(spark, sf):
 def s9_all_streams(spark, sf):
     """All queries at once: what reached each place."""
     layout = run.Layout(shared_dir(spark, "all"))
-    messages = adapter.message_stream(spark, sf, user=True, product=True)
-    finish(run.start_all(spark, messages, layout, ONCE))
+    _run_once(adapter.delivered(spark, sf, user=True, product=True), layout)
     metrics = MetricTable(spark, layout.metrics).current()
     value = F.col("metric_value").alias("value")
     none = F.lit(None).cast("double").alias("value")
@@ -593,8 +602,7 @@ def d1_event_store(spark, sf):
     feed = adapter.Feed(spark, sf, user=True, product=True, late=True)
     for i in range(0, feed.PIECES, 2):
         feed.put(i, i + 1)
-        messages = feed.messages()
-        finish(run.start_all(spark, messages, layout, ONCE, only=("event_store",)))
+        _run_once(feed, layout, ("event_store",))
         store.compact()
     store.vacuum()
     return _event_columns(store.current())

@@ -7,6 +7,8 @@ Table sizes decide between broadcast and shuffle; AQE splits hot join keys.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +22,7 @@ from tidemark.sources import files, streams
 EVENTS = "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING"
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 MESSAGE = "value BINARY, timestamp TIMESTAMP"
-
+_WIDTH = "spark.sql.shuffle.partitions"
 
 _DEVICES = ("desktop", "mobile", "tablet")
 
@@ -249,21 +251,33 @@ class Feed:
             self.spark, "parquet", self.folder, maxFilesPerTrigger=str(self.files)
         )
 
+    @contextmanager
+    def state_width(self) -> Iterator[None]:
+        """Streams started herein keep their state in as many stores as a batch has files, or the cluster cores.
+
+        A stream's shuffle does not adapt to its batches, and every store costs a
+        commit a batch, full or not. Fewer shuffle partitions than that stay as they are.
+        """
+        before = int(self.spark.conf.get(_WIDTH))
+        self.spark.conf.set(_WIDTH, min(before, max(self.files, self.spark.sparkContext.defaultParallelism)))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_WIDTH, before)
+
 
 def held_back(piece: Column) -> Column:
     """By how many pieces an event comes late."""
     return F.when((F.col("event_id") % 20 == 0) & (piece < Feed.PIECES // 2), 3).otherwise(0)
 
 
-def message_stream(
-    spark: SparkSession,
-    sf_dir: str,
-    user: bool = False,
-    product: bool = False,
-    late: bool = False,
-    sentinel: bool = False,
-) -> DataFrame:
+def delivered(spark: SparkSession, sf_dir: str, **feed: bool) -> Feed:
+    """A feed that has put all of its pieces."""
+    whole = Feed(spark, sf_dir, **feed)
+    whole.put()
+    return whole
+
+
+def message_stream(spark: SparkSession, sf_dir: str, **feed: bool) -> DataFrame:
     """The messages as a stream of several micro-batches."""
-    feed = Feed(spark, sf_dir, user, product, late, sentinel)
-    feed.put()
-    return feed.messages()
+    return delivered(spark, sf_dir, **feed).messages()
