@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import shared_dir
 
-PIECE_BYTES = 12 << 20
+PIECE_BYTES = 4 << 20
 T = TypeVar("T")
 # A word is a run of characters other than ASCII white space; bytes.split() cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -53,6 +54,17 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(kind).to_pylist()]
 
 
+def hand_back() -> None:
+    """Returns freed memory to the system.
+
+    Python workers outlive their tasks, and Arrow and the C library keep what a
+    task has freed: it would count beside whatever the executor does next.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], column: int, size: Callable[[pa.Array], np.ndarray] | None = None, most: int | None = None
 ) -> Iterator[pa.RecordBatch]:
@@ -60,8 +72,10 @@ def pieces(
 
     ``size`` tells the bytes of each row from the column, its own length unless
     given, and ``most`` how many a piece has. A longer text is a piece of its own.
+    What earlier pieces and tasks have freed is handed back with each batch.
     """
     most = most or PIECE_BYTES
+    hand_back()
     for batch in batches:
         own = batch.column(column)
         bytes_ = size(own) if size else pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False)
@@ -72,6 +86,7 @@ def pieces(
             end = max(begin + 1, int(np.searchsorted(total, before + most, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+        hand_back()
 
 
 def forest(pairs: Iterator[tuple[int, int]]) -> dict[int, int]:

@@ -188,7 +188,7 @@ def _cells(percent: int):
     """Rows come cell by cell; links come back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        rows = (row for b in pieces(batches, 7) for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
         links: list[tuple[int, int]] = []
         for _, members in groupby(rows, key=lambda row: row[:3]):
             left, right = [], []

@@ -85,7 +85,7 @@ def _unpacked(batch: pa.RecordBatch, column: str = "z") -> list[bytes]:
 
 
 def _sizes_unpacked(packed: pa.Array) -> np.ndarray:
-    return np.array([zstandard.frame_content_size(z) for z in packed.to_pylist()], np.int64)
+    return np.array([zstandard.frame_content_size(z) if z else 0 for z in packed.to_pylist()], np.int64)
 
 
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +234,7 @@ def _spans(occurrences: DataFrame) -> DataFrame:
 
 
 def _result(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, 3, _sizes_unpacked):
         removed, digests, kept_texts = [], batch.column("digest").to_pylist(), []
         unpack = zstandard.ZstdDecompressor()
         for i, (z, spans) in enumerate(zip(batch.column("z"), batch.column("spans"), strict=True)):
