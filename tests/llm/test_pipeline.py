@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.cases import documents, empty, odd_rows, words
+from tests.llm.cases import documents, empty, odd_rows, prose, words
 from tests.llm.test_simhash import slow_components, slow_fingerprint
-from tidemark.llm import decontaminate, language, mixing, pii, queries
+from tidemark.llm import common, decontaminate, language, mixing, pii, queries, simhash
 
 
 def stage(name):
@@ -57,6 +57,32 @@ def test_stages_stand_odd_and_empty_tables(spark, sf_dir):
         assert all(sizes[r[0]] == len(words(r[1])) for r in rows if r[0] in sizes and r[0] == 4)
 
 
+def test_near_duplicates_are_dealt_out_whatever_size_spark_takes_them_for(spark, monkeypatch, plan):
+    made, real = {}, common.written
+
+    def seen(df, name):
+        made.setdefault(name, plan(df))
+        return real(df, name)
+
+    monkeypatch.setattr(common, "written", seen)
+    monkeypatch.setattr(simhash, "written", seen)
+    rows = [(i, prose(i % 30, 60) + " more" * (i % 3), "en", "s", 0) for i in range(90)]
+    docs = documents(spark, rows, extra=False)
+    first = stage("near_duplicates")(spark, docs, None)
+    assert "SortMergeJoin [cell#" in made["links"] and "BroadcastHashJoin" not in made["links"]
+    assert "SortMergeJoin [fp#" in made["judged"] and "BroadcastHashJoin [fp#" not in made["judged"]
+    assert "BroadcastHashJoin" in plan(first)  # the keys of the rows that go, counted
+
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", 0)
+    again = stage("near_duplicates")(spark, docs, None)
+    assert "BroadcastHashJoin" not in plan(again)
+    assert sorted(again.collect()) == sorted(first.collect())
+
+    items = spark.createDataFrame([(1, rows[0][1])], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    assert "BroadcastHashJoin" not in plan(decontaminate.clean(docs, items))
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_every_query_covers_its_whole_table(spark, sf_dir, name):
     df = queries.QUERIES[name](spark, sf_dir)

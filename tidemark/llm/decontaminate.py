@@ -355,5 +355,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     found = written(find(docs, benchmark, **how).select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
     # Few ids go to the documents; the documents are dealt out only where the ids are too many for that.
     few = found.count() * _ID_BYTES <= BROADCAST_BYTES
-    gone = F.broadcast(found) if few else found
+    gone = F.broadcast(found) if few else found.hint("merge")
     return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")

@@ -93,7 +93,8 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         fp.alias("b"), F.explode(F.array_compact(reach)).alias("cell")
     )
     bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return at.join(near, "cell").where((F.col("a") != F.col("b")) & (bits <= max_bits)).select("a", "b")
+    # Spark takes either side to be as large as what was exploded, and would broadcast some 26 rows a fingerprint.
+    return at.join(near.hint("merge"), "cell").where((F.col("a") != F.col("b")) & (bits <= max_bits)).select("a", "b")
 
 
 def _named(docs: DataFrame, shingle: int, max_bits: int, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -101,7 +102,8 @@ def _named(docs: DataFrame, shingle: int, max_bits: int, hashed: bool = False) -
     prints = written(fingerprints(docs, shingle, hashed), "fingerprints")
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = components(links(firsts.select("fp"), max_bits))
-    rooted = firsts.join(roots, firsts.fp == roots.node, "left").select(
+    # Files of longs are far smaller than the same rows hashed, so their size does not tell what fits the driver.
+    rooted = firsts.join(roots.hint("merge"), firsts.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -132,7 +134,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     """
     prints, named = _named(docs, shingle, max_bits, hashed=True)
     heads = (
-        prints.join(named, "fp")
+        prints.join(named.hint("merge"), "fp")
         .where("doc_id <=> component_id")
         .groupBy("root")
         .agg(F.first("doc_id").alias("doc_id"), F.min(F.struct("fp", "text_hash")).alias("least"))
@@ -143,7 +145,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     judged = counts.join(heads, ["_id", "_text"], "left").where("_head IS NULL OR n > 1")
     judged = written(judged.select("_id", "_text", "_head"), "judged")
     few = judged.count() * _KEY_BYTES <= BROADCAST_BYTES
-    near = F.broadcast if few else (lambda side: side)
+    near = F.broadcast if few else (lambda side: side.hint("merge"))
     rows = docs.withColumn("_id", _id(F.col("doc_id"))).withColumn("_text", F.xxhash64("text"))
     single = rows.join(near(judged), ["_id", "_text"], "left_anti").select(*docs.columns)
     plain = [f.name for f in docs.schema if isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType))]
