@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 from tests.llm.cases import documents, empty, odd_rows, prose, words
-from tidemark.llm import simhash
+from tidemark.llm import common, simhash
 from tidemark.llm.common import components
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -64,6 +64,19 @@ def test_links_against_brute_force(spark):
         assert got == want
 
 
+def test_no_broadcast_by_a_size_taken_too_low(spark, monkeypatch, plan):
+    made, real = {}, common.written
+
+    def seen(df, name):
+        made.setdefault(name, plan(df))
+        return real(df, name)
+
+    monkeypatch.setattr(common, "written", seen)
+    found = simhash.near_duplicates(documents(spark))
+    assert "SortMergeJoin [cell#" in made["links"] and "BroadcastHashJoin" not in made["links"]
+    assert "SortMergeJoin [fp#" in plan(found) and "BroadcastHashJoin [fp#" not in plan(found)
+
+
 def test_long_chain_is_one_component(spark):
     n = 300
     order = np.random.default_rng(1).permutation(n).tolist()

@@ -113,7 +113,7 @@ def _named(docs: DataFrame, shingle: int, max_bits: int, hashed: bool = False) -
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id reachable over links."""
     prints, named = _named(docs, shingle, max_bits)
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
